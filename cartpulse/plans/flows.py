@@ -47,6 +47,13 @@ def served(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return serving.read_serving(spark, name, path)
 
 
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read back, for an intermediate used several times."""
+    path = work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def split_by_time(df: DataFrame, column: str, days: list[str]) -> list[DataFrame]:
     """``df`` cut into consecutive deliveries that start at the given days."""
     starts = [F.lit(day).cast("timestamp_ntz") for day in days]

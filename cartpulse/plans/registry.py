@@ -139,16 +139,19 @@ def board_diff(spark, sf_dir):
 # --- checks ------------------------------------------------------------------------------
 
 def stage_counts(spark, sf_dir):
+    """Each stage feeds the next one: events -> stored hours -> serving table."""
     marketing, cart = flows.marketing(spark, sf_dir), flows.cart(spark, sf_dir)
-    campaign_hours = rollups.campaign_hourly(marketing)
-    cart_hours = rollups.cart_hourly(cart)
+    campaign_hours = flows.stored(spark, rollups.campaign_hourly(marketing), "campaign-hours")
+    cart_hours = flows.stored(spark, rollups.cart_hourly(cart), "cart-hours")
+    performance = rollups.campaign_performance(campaign_hours)
+    funnel = rollups.cart_funnel(cart_hours)
     return quality.stage_counts({
         "marketing_events": marketing,
         "campaign_hourly_metrics": campaign_hours,
-        "campaign_performance": _served_performance(spark, sf_dir),
+        "campaign_performance": flows.served(spark, performance, "campaign_performance"),
         "cart_events": cart,
         "cart_hourly_metrics": cart_hours,
-        "cart_conversion_funnel": _served_funnel(spark, sf_dir),
+        "cart_conversion_funnel": flows.served(spark, funnel, "cart_conversion_funnel"),
         "campaign_snapshots": flows.campaign_snapshots(spark, sf_dir),
         "cart_snapshots": flows.cart_snapshots(spark, sf_dir),
     })
@@ -247,15 +250,15 @@ def publish_roundtrip(spark, sf_dir):
 
 
 def parse_json_quarantine(spark, sf_dir):
-    """Messages of which some are cut off and some carry text for a number."""
-    lines = events.to_lines(flows.marketing(spark, sf_dir))
-    value = F.col("value")
-    broken = lines.select(
-        F.when(value.contains('"device_type":"Tablet"'), F.substring_index(value, '"channel"', 1))
-        .when(value.contains('"event_type":"click"'),
-              F.regexp_replace(value, r'"cost":[0-9.E-]+', '"cost":"unknown"'))
-        .otherwise(value).alias("value"))
-    parsed = events.parse_json(broken, MARKETING_EVENTS)
+    """Published messages of which some are cut off and some carry text for a number."""
+    marketing = flows.marketing(spark, sf_dir)
+    tablet, click = F.col("device_type") == "Tablet", F.col("event_type") == "click"
+    cut = F.substring_index("value", '"channel"', 1).alias("value")
+    topic = work_dir(spark, "damaged-topic")
+    events.publish(marketing.where(~tablet & ~click), topic)
+    events.publish(marketing.where(~tablet & click).withColumn("cost", F.lit("unknown")), topic)
+    events.publish_lines(events.to_lines(marketing.where(tablet)).select(cut), topic)
+    parsed = events.parse_json(events.read_lines(spark, topic), MARKETING_EVENTS)
     kind = (F.when(F.col(events.CORRUPT).isNull(), "good")
             .when(F.col(events.CORRUPT).endswith("}"), "unconvertible").otherwise("malformed"))
     return parsed.groupBy(kind.alias("line")).agg(

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Skip the call-site lookup on every column expression while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Distinct-visitor state is large and long-lived: keep it off the JVM heap
     # and upload only what changed in each micro-batch.
     "spark.sql.streaming.stateStore.providerClass":

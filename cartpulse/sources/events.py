@@ -53,7 +53,10 @@ def parse_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
     )
     value = F.col("value").cast("string")
     decoded = F.from_json(value, wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rows = lines.where(F.trim(value) != "").select(value.alias("value"), decoded.alias("row"))
+    # Unnesting a one-element array keeps later filters above the decoder. A plain
+    # projection would be repeated inside them and decode every line twice.
+    once = F.inline(F.array(F.struct(decoded.alias("row"))))
+    rows = lines.where(F.trim(value) != "").select(value.alias("value"), once)
     columns = [F.col("row")[schemas.WIRE_NAMES.get(f.name, f.name)].alias(f.name) for f in schema]
     corrupt = F.when(F.col("row").isNull(), F.col("value")).otherwise(F.col("row")[CORRUPT])
     return rows.select(*columns, corrupt.alias(CORRUPT))
@@ -103,7 +106,11 @@ def to_lines(df: DataFrame) -> DataFrame:
 
 def publish(df: DataFrame, target: str | Topic) -> None:
     """Append every row as one message to a topic or a folder of JSON lines."""
-    lines = to_lines(df)
+    publish_lines(to_lines(df), target)
+
+
+def publish_lines(lines: DataFrame, target: str | Topic) -> None:
+    """Append ready-made messages, one per ``value``."""
     if isinstance(target, Topic):
         lines.write.format("kafka").options(**target.write_options()).save()
     else:

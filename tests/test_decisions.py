@@ -1,0 +1,230 @@
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+
+from cartpulse import schemas
+from cartpulse.operators import decisions, journeys
+
+T0 = datetime(2024, 1, 1)
+
+PERFORMANCE = ("campaign_id string, campaign_name string, channel string, spend_to_date double, "
+               "purchases long, revenue double, roas double, roi double, conversion_rate double, "
+               "cost_per_acquisition double")
+
+
+def performance(spark):
+    rows = []
+    for campaign, spend, purchases, roi in [
+            ("Display", 44000.0, 6086, 909.72), ("Influencer", 52000.0, 6023, 652.88),
+            ("Email", 60000.0, 6000, 633.25), ("Search", 68000.0, 6000, 469.41),
+            ("Social", 96000.0, 5911, 294.07), ("Idle", 0.0, 0, None)]:
+        revenue = spend * (1 + (roi or 0) / 100)
+        rows.append((campaign, campaign, campaign, spend, purchases, revenue,
+                     revenue / spend if spend else None, roi, purchases / 1000,
+                     spend / purchases if purchases else None))
+    return spark.createDataFrame(rows, PERFORMANCE)
+
+
+def test_top_campaigns(spark):
+    top = decisions.top_campaigns(performance(spark), 2).collect()
+    assert [r.campaign_id for r in top] == ["Display", "Influencer"]
+    assert top[0].mean_conversion_rate == pytest.approx(30.02 / 6)
+    assert decisions.top_campaigns(performance(spark), 99).collect()[-1].campaign_id == "Idle"
+
+
+def test_budget_reallocation(spark):
+    budgets = spark.createDataFrame(
+        [("Display", 55000.0), ("Influencer", 65000.0), ("Email", 75000.0), ("Search", 85000.0),
+         ("Social", 120000.0)], "campaign_id string, budget double")
+    plan = {r.campaign_id: r for r in
+            decisions.budget_reallocation(performance(spark), budgets).collect()}
+    observed = {"Display": (11000, 14300), "Influencer": (13000, 13000), "Email": (15000, 15000),
+                "Search": (17000, 13600), "Social": (24000, 14400)}
+    for campaign, (remaining, new) in observed.items():
+        assert plan[campaign].remaining == pytest.approx(remaining)
+        assert plan[campaign].new_allocation == pytest.approx(new)
+    assert plan["Idle"].remaining == 75000.0  # default budget, no ROI: lowest band
+    assert plan["Idle"].unallocated == pytest.approx(3400 + 9600 - 3300 + 30000)
+
+
+def test_overspent_campaign_has_nothing_to_move(spark):
+    budgets = spark.createDataFrame([("Social", 1.0)], "campaign_id string, budget double")
+    plan = decisions.budget_reallocation(performance(spark), budgets).where("campaign_id = 'Social'")
+    assert (plan.first().remaining, plan.first().new_allocation) == (0.0, 0.0)
+
+
+def test_budget_shift(spark):
+    row = decisions.budget_shift_impact(performance(spark), "Social", "Display", 0.3).first()
+    assert row.moved_spend == pytest.approx(28800)
+    assert row.additional_revenue == pytest.approx(261999.36)
+
+
+def test_peer_gap(spark):
+    rows = {r.campaign_id: r for r in decisions.peer_gap(performance(spark)).collect()}
+    social = rows["Social"]
+    assert social.cost_per_acquisition == pytest.approx(16.24, abs=0.005)
+    assert social.roas_gap_percent == pytest.approx(-43.05, abs=0.1)
+    others = [rows[c].cost_per_acquisition for c in ("Display", "Influencer", "Email", "Search")]
+    assert social.others_cost_per_acquisition == pytest.approx(sum(others) / 4)
+    assert rows["Idle"].cost_gap_percent is None
+
+
+FUNNEL = ("device_type string, traffic_source string, product_category string, "
+          "total_page_views long, total_product_views long, total_add_to_carts long, "
+          "total_checkout_starts long, total_purchases long, total_revenue double")
+
+
+def funnel(spark):
+    return spark.createDataFrame([
+        ("Mobile", "Email", "Toys", 9, 100, 50, 9, 20, 2000.0),
+        ("Mobile", "Direct", "Beauty", 9, 100, 30, 9, 20, 400.0),
+        ("Desktop", "Email", "Toys", 9, 100, 40, 9, 10, 100.0),
+        ("Tablet", "Direct", "Toys", 9, 0, 0, 9, 0, 0.0)], FUNNEL)
+
+
+def test_cart_abandonment(spark):
+    big = spark.createDataFrame([("Mobile", "x", "y", 0, 0, 46238, 0, 22532, 22532 * 99.253)], FUNNEL)
+    row = decisions.cart_abandonment(big).first()
+    assert row.abandoned_carts == 23706 and round(row.abandonment_rate, 2) == 51.27
+    assert row.revenue_at_risk == pytest.approx(2352891.6, abs=1)
+    rows = decisions.cart_abandonment(funnel(spark)).collect()
+    assert [r.device_type for r in rows] == ["Mobile", "Desktop", "Tablet"]
+    assert rows[0].revenue_at_risk == 40 * 60.0 and rows[2].revenue_at_risk is None
+
+
+def test_growth_segments(spark):
+    rows = decisions.growth_segments(funnel(spark), 2).collect()
+    assert [(r.device_type, r.headroom) for r in rows] == [("Mobile", 3000.0), ("Desktop", 300.0)]
+
+
+def test_sources_categories_devices(spark):
+    sources = {r.traffic_source: r for r in
+               decisions.source_effectiveness(funnel(spark)).collect()}
+    assert sources["Direct"].is_highest_converting and sources["Email"].is_lowest_converting
+    assert sources["Email"].is_highest_order_value
+    categories = decisions.category_insights(funnel(spark)).collect()
+    assert [(r.product_category, round(r.abandonment_rate, 2)) for r in categories] == [
+        ("Toys", 66.67), ("Beauty", 33.33)]
+    gaps = {r.device_type: r.rate_gap for r in decisions.device_gap(funnel(spark)).collect()}
+    assert gaps == {"Mobile": 25.0, "Desktop": 0.0, "Tablet": None}
+
+
+def test_revenue_forecast(spark):
+    days = 30
+    daily = spark.createDataFrame(
+        [((T0 + timedelta(days=d)).date(), 67000.0) for d in range(days) if d != 7]
+        + [((T0 + timedelta(days=7)).date(), 67000.0 - (67000.0 * days - 2010000.0))],
+        "day date, revenue double")
+    row = decisions.revenue_forecast(daily, 5_000_000, 32).first()
+    assert row.run_rate == 67000.0
+    assert row.projected_revenue == 2010000.0 + 32 * 67000.0
+    assert row.shortfall == 5_000_000 - row.projected_revenue
+    assert row.required_run_rate == pytest.approx((5_000_000 - 2010000.0) / 32)
+    gap = spark.createDataFrame([(T0.date(), 10.0), ((T0 + timedelta(days=9)).date(), 10.0)],
+                                "day date, revenue double")
+    assert decisions.revenue_forecast(gap, 100, 1).first().run_rate == 2.0  # 10 calendar days
+
+
+def test_rate_anomalies(spark):
+    rates = {0: 10, 1: 12, 2: 11, 3: 10, 4: 10, 5: 90, 7: 10, 30: 10, 60: 10}  # hours 6, 8.. missing
+    rows = [(T0 + timedelta(hours=h), "Mobile", 100, n) for h, n in rates.items()]
+    hourly = spark.createDataFrame(rows, "hour timestamp_ntz, device_type string, "
+                                         "checkout_starts long, purchases long")
+    got = {(r.hour - T0).total_seconds() / 3600: r
+           for r in decisions.rate_anomalies(hourly, ["device_type"]).collect()}
+    assert [h for h, r in got.items() if r.is_anomaly] == [5.0]
+    assert got[5].change_percent == pytest.approx(800.0)
+    assert got[7].previous_rate is None            # hour 6 is missing, not hour 5
+    assert got[0].score is None and got[1].score is None
+    assert got[30].trailing_mean == 10.0           # only hour 7 is within 24 hours
+    assert got[60].trailing_mean is None
+
+
+def cart(spark, rows):
+    full = [(kind, str(i), time, session, user, "Mobile", "Email", product, "Toys", 1.0, 1, None,
+             None, None, None) for i, (kind, time, session, user, product) in enumerate(rows)]
+    return spark.createDataFrame(full, schemas.CART_EVENTS)
+
+
+def brute_return_rate(rows, hours):
+    known = [r for r in rows if r[3] is not None]
+    sessions, events = defaultdict(list), defaultdict(list)
+    for r in known:
+        sessions[(r[3], r[2])].append(r)
+        events[r[3]].append(r[1])
+    left, back = set(), set()
+    for (user, _), session in sessions.items():
+        kinds = {r[0] for r in session}
+        if "add_to_cart" in kinds and "purchase" not in kinds:
+            end = max(r[1] for r in session)
+            left.add(user)
+            if any(end < t <= end + timedelta(hours=hours) for t in events[user]):
+                back.add(user)
+    return len(left), len(back)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_return_rate_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(1500):
+        user = "bot" if rng.random() < 0.35 else f"u{rng.randrange(150)}"
+        session = f"{user}-{rng.randrange(4)}"
+        time = T0 + timedelta(minutes=rng.randrange(60 * 24 * 20), seconds=rng.choice([0, 0, 30]))
+        kind = rng.choice(["page_view", "page_view", "add_to_cart", "purchase"])
+        rows.append((kind, time, session, None if rng.random() < 0.2 else user, "p"))
+    for hours in (1, 48):
+        row = decisions.return_rate(cart(spark, rows).repartition(5), hours).first()
+        assert (row.users_with_abandoned_cart, row.returning_users) == brute_return_rate(rows, hours)
+
+
+def test_return_rate_limits(spark):
+    def run(gap):
+        return decisions.return_rate(cart(spark, [
+            ("add_to_cart", T0, "s1", "u", "p"), ("page_view", T0 + gap, "s2", "u", "p"),
+            ("add_to_cart", T0, "s3", None, "p")])).first()
+    assert run(timedelta(hours=48)).return_rate == 100.0
+    assert run(timedelta(hours=48, microseconds=1)).return_rate == 0.0
+    assert run(timedelta(0)).return_rate == 0.0
+
+
+def test_views_and_first_visits(spark):
+    rows = [("product_view", T0, "s1", "u", p) for p in ("a", "b", "c", "c")]
+    rows += [("purchase", T0, "s1", "u", "a"), ("product_view", T0, "s2", "w", "a"),
+             ("add_to_cart", T0, "s2", "w", "a"),
+             ("add_to_cart", T0 + timedelta(days=1), "s3", "w", "a"),
+             ("purchase", T0 + timedelta(days=1), "s3", "w", "a"),
+             ("add_to_cart", T0, "s4", None, "a")]
+    got = {r.products_viewed: (r.visitors, r.buyers)
+           for r in decisions.views_vs_conversion(cart(spark, rows)).collect()}
+    assert got == {"3+": (1, 1), "under 3": (1, 1)}
+    visits = {r.visit: (r.sessions, r.carts, r.abandoned, r.abandonment_rate)
+              for r in decisions.first_visit_abandonment(cart(spark, rows)).collect()}
+    assert visits == {"first": (2, 1, 1, 100.0), "returning": (1, 1, 0, 0.0)}
+
+
+def test_session_depth(spark):
+    rows = [("page_view", T0, "s1", "u", "p"), ("checkout_start", T0, "s1", "u", "p"),
+            ("add_to_cart", T0, "s1", "u", "p"), ("other", T0, "s2", "u", "p")]
+    got = {r.session_id: (r.depth, r.furthest_stage, r.events)
+           for r in journeys.session_depth(cart(spark, rows)).collect()}
+    assert got == {"s1": (4, "checkout_start", 3), "s2": (0, None, 1)}
+
+
+def test_attribution(spark):
+    def event(kind, number, minute, campaign, impression=None, click=None, revenue=None):
+        return (kind, number, T0 + timedelta(minutes=minute), campaign, "N", "Email", "u", "Mobile",
+                impression, click, None, 1.0, revenue)
+    events = spark.createDataFrame([
+        event("impression", "i1", 0, "A"), event("click", "c1", 5, "A", "i1"),
+        event("purchase", "p1", 20, "A", click="c1", revenue=9.0),
+        event("click", "c2", 5, "B", "gone"), event("purchase", "p2", 6, "B", click="c2", revenue=1.0),
+        event("purchase", "p3", 90, "A", click="c1", revenue=5.0),      # too late
+        event("purchase", "p4", 6, "A", click=None, revenue=5.0),       # no click
+        event("purchase", "p5", 6, "A", click="i1", revenue=5.0),       # not a click
+    ], schemas.MARKETING_EVENTS)
+    got = {r.purchase_id: (r.click_id, r.impression_id, r.impression_campaign, r.revenue)
+           for r in journeys.attribution(events).collect()}
+    assert got == {"p1": ("c1", "i1", "A", 9.0), "p2": ("c2", None, None, 1.0)}
