@@ -12,20 +12,24 @@ def attribution(events: DataFrame, click_minutes: int = 30,
                 purchase_minutes: int = 30) -> DataFrame:
     """Every purchase that follows a click in time, with the impression of that click.
 
-    Ids are unique, so each join is an even equi-join; the time bounds are checked
-    on the matched pair. A click without a matching impression keeps its purchase.
-    Each event is expected once (see the streaming ``dedup`` option).
+    Every id is first reduced to one row, so copies of an event neither multiply
+    nor pile up in one task, and the sides are already partitioned for the equi-joins.
+    The time bounds are checked on the matched pair. A click without a matching
+    impression keeps its purchase.
     """
-    kind = F.col("event_type")
-    impressions = events.where(kind == "impression").select(
-        F.col("event_id").alias("impression_id"), F.col("event_time").alias("seen_at"),
-        F.col("campaign_id").alias("impression_campaign"))
-    clicks = events.where((kind == "click") & F.col("event_id").isNotNull()).select(
-        F.col("event_id").alias("click_id"), "impression_id",
-        F.col("event_time").alias("clicked_at"), F.col("campaign_id").alias("click_campaign"))
-    purchases = events.where(kind == "purchase").select(
-        F.col("event_id").alias("purchase_id"), "click_id",
-        F.col("event_time").alias("bought_at"), "revenue")
+    def once(stage: str, **columns: str) -> DataFrame:
+        id_name, *others = columns
+        rows = events.where((F.col("event_type") == stage) & F.col("event_id").isNotNull())
+        values = F.struct(*[F.col(columns[name]).alias(name) for name in others])
+        return rows.groupBy(F.col("event_id").alias(id_name)).agg(
+            F.min(values).alias("event")).select(id_name, "event.*")
+
+    impressions = once("impression", impression_id="event_id", seen_at="event_time",
+                       impression_campaign="campaign_id")
+    clicks = once("click", click_id="event_id", clicked_at="event_time",
+                  impression_id="impression_id", click_campaign="campaign_id")
+    purchases = once("purchase", purchase_id="event_id", bought_at="event_time",
+                     click_id="click_id", revenue="revenue")
 
     def within(later: str, earlier: str, minutes: int):
         limit = F.col(earlier) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))

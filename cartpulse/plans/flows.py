@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators import rollups
-from cartpulse.session import work_dir
+from cartpulse.session import streaming_session, work_dir
 from cartpulse.sources import event_table, events, serving
 
 Start = Callable[[DataFrame, str, str], StreamingQuery]
@@ -71,9 +71,10 @@ def streamed(spark: SparkSession, label: str, read: Callable[..., DataFrame], ki
     each, resuming from its checkpoint. Returns the changelog it wrote."""
     base = work_dir(spark, label)
     topic, out, checkpoint = f"{base}/topic", f"{base}/changelog", f"{base}/checkpoint"
+    session = streaming_session(spark)
     for delivery in deliveries:
         events.publish(delivery, topic)
-        query = start(read(spark, kind, topic, streaming=True), out, checkpoint)
+        query = start(read(session, kind, topic, streaming=True), out, checkpoint)
         query.awaitTermination()
     return serving.read_changelog(spark, out)
 

@@ -38,6 +38,21 @@ def build_session(app: str = "cartpulse", master: str | None = None, **settings)
     return builder.getOrCreate()
 
 
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session beside ``spark`` for stateful streams, with this library's settings.
+
+    The number of state partitions is fixed for the life of a checkpoint and does
+    not adapt; by default there is one per core of the cluster.
+    """
+    session = spark.newSession()
+    for key, value in SETTINGS.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    return session
+
+
 def shared_base(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 

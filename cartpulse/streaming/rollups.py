@@ -2,9 +2,14 @@
 
 Every query writes its changed rows per micro-batch to a changelog folder
 (`cartpulse.sources.serving`); `latest_version` of it is the current table.
+
 Exact distinct counts do not collect users in a state row: a first sighting is
 found by deduplicating (group, hour, user) in its own state, spread over all
 partitions, and then adds 1 to the same plain sum as every other measure.
+Deduplication in a stream has no map-side step, so it runs twice: within a salt,
+which spreads one user's many events over many tasks, and then on what is left.
+
+Start the streams from a `cartpulse.session.streaming_session`.
 """
 
 from __future__ import annotations
@@ -15,10 +20,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions import kpis
 from cartpulse.operators import rollups
-from cartpulse.schemas import CAMPAIGN_KEYS, CART_STAGES, FUNNEL_KEYS, MARKETING_STAGES
+from cartpulse.schemas import (
+    CAMPAIGN_KEYS, CART_STAGES, DEVICE_SOURCE_KEYS, FUNNEL_KEYS, MARKETING_STAGES,
+)
 from cartpulse.sources.serving import append_changelog
 
 
+SALTS = 256
+
+
 def _flag(condition: Column) -> Column:
     return F.coalesce(condition.cast("long"), F.lit(0).cast("long"))
 
@@ -60,10 +70,11 @@ def _increments(events: DataFrame, domain: _Domain, time: str) -> DataFrame:
         *[c.alias(name) for name, c in domain.amounts.items()],
         nothing.alias(domain.distinct),
     )
+    salt = F.pmod(F.xxhash64("event_id", "event_time"), F.lit(SALTS)).alias("salt")
     sighted = events.where(
         (F.col("event_type") == domain.first_stage) & F.col(domain.visitor).isNotNull()
-    ).select(*domain.keys, time, domain.visitor).dropDuplicates()
-    first = sighted.select(
+    ).select(*domain.keys, time, domain.visitor, salt).dropDuplicates()
+    first = sighted.drop("salt").dropDuplicates().select(
         *domain.keys, time,
         *[(nothing if m in domain.flags else F.lit(None).cast("double")).alias(m)
           for m in measures],
@@ -81,17 +92,40 @@ def _hourly(events: DataFrame, domain: _Domain) -> DataFrame:
     return rows.groupBy(*domain.keys, "hour").agg(*_sums(domain))
 
 
-def _deduplicated(events: DataFrame, dedup: str | None) -> DataFrame:
-    return events.dropDuplicates([dedup]) if dedup else events
+def _deduplicated(events: DataFrame, dedup: str | None, watermarked: bool = False) -> DataFrame:
+    """Drops events whose ``dedup`` id was seen before. Events without an id are all
+    kept. Copies have nothing to salt by but the input partition they arrive in."""
+    if dedup is None:
+        return events
+    marked = events.withColumns({
+        "_id": F.coalesce(F.col(dedup), F.expr("uuid()")),
+        "_salt": F.spark_partition_id() % SALTS,
+    })
+    if watermarked:
+        once = marked.dropDuplicatesWithinWatermark(["_id", "_salt"])
+        return once.dropDuplicatesWithinWatermark(["_id"]).drop("_id", "_salt")
+    return marked.dropDuplicates(["_id", "_salt"]).dropDuplicates(["_id"]).drop("_id", "_salt")
 
 
-def _start(rows: DataFrame, out: str, checkpoint: str, mode: str,
+def _start(rows: DataFrame, keys: list[str], out: str, checkpoint: str, mode: str,
            every: str | None) -> StreamingQuery:
     """``every`` is the live trigger interval; without it all available input is
     processed and the query ends. The checkpoint resumes where it left off."""
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        # A stateful stream plans without adaptive execution, which would leave one
+        # small file per state partition. The finished batch may be merged again.
+        conf = batch.sparkSession.conf
+        planned = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            merged = batch.hint("rebalance", *[F.col(k) for k in keys])
+            append_changelog(merged, out, batch_id)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", planned)
+
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (rows.writeStream.outputMode(mode)
-            .foreachBatch(lambda batch, batch_id: append_changelog(batch, out, batch_id))
+    return (rows.writeStream.outputMode(mode).foreachBatch(append)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
@@ -103,14 +137,14 @@ def start_campaign_performance(events: DataFrame, out: str, checkpoint: str,
     rows = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
     totals = _increments(rows, domain, "hour").groupBy(*CAMPAIGN_KEYS).agg(
         F.min("hour").alias("start_date"), F.max("hour").alias("last_updated"), *_sums(domain))
-    return _start(rollups.with_campaign_kpis(totals), out, checkpoint, "update", every)
+    return _start(rollups.with_campaign_kpis(totals), CAMPAIGN_KEYS, out, checkpoint, "update", every)
 
 
 def start_cart_funnel(events: DataFrame, out: str, checkpoint: str, dedup: str | None = None,
                       every: str | None = None) -> StreamingQuery:
     """Funnel rollup with all stage rates."""
     rows = rollups.cart_funnel_from_events(_deduplicated(events, dedup))
-    return _start(rows, out, checkpoint, "update", every)
+    return _start(rows, FUNNEL_KEYS, out, checkpoint, "update", every)
 
 
 def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
@@ -124,27 +158,25 @@ def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
     """
     domain = {"marketing": _marketing, "cart": _cart}[kind]()
     if watermark is None:
-        return _start(_hourly(_deduplicated(events, dedup), domain), out, checkpoint,
-                      "update", every)
+        return _start(_hourly(_deduplicated(events, dedup), domain), domain.keys, out,
+                      checkpoint, "update", every)
     timed = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    timed = timed.withWatermark("event_time", watermark)
-    if dedup:
-        timed = timed.dropDuplicatesWithinWatermark([dedup])
+    timed = _deduplicated(timed.withWatermark("event_time", watermark), dedup, watermarked=True)
     windowed = timed.withColumn("window", F.window("event_time", "1 hour"))
     closed = _increments(windowed, domain, "window").groupBy("window", *domain.keys).agg(
         *_sums(domain))
     hour = F.col("window.start").cast("timestamp_ntz").alias("hour")
     rows = closed.select(*domain.keys, hour,
                          *[c for c in closed.columns if c not in (*domain.keys, "window")])
-    return _start(rows, out, checkpoint, "append", every)
+    return _start(rows, domain.keys, out, checkpoint, "append", every)
 
 
 def start_snapshot_latest(snapshots: DataFrame, kind: str, out: str, checkpoint: str,
                           every: str | None = None) -> StreamingQuery:
     """Highest counters per key of ``campaign`` or ``cart`` snapshots."""
-    latest = {"campaign": rollups.campaign_snapshot_latest,
-              "cart": rollups.cart_snapshot_latest}[kind]
-    return _start(latest(snapshots), out, checkpoint, "update", every)
+    latest, keys = {"campaign": (rollups.campaign_snapshot_latest, CAMPAIGN_KEYS),
+                    "cart": (rollups.cart_snapshot_latest, DEVICE_SOURCE_KEYS)}[kind]
+    return _start(latest(snapshots), keys, out, checkpoint, "update", every)
 
 
 def run_available(query: StreamingQuery) -> None:

@@ -225,6 +225,8 @@ def test_attribution(spark):
         event("purchase", "p4", 6, "A", click=None, revenue=5.0),       # no click
         event("purchase", "p5", 6, "A", click="i1", revenue=5.0),       # not a click
     ], schemas.MARKETING_EVENTS)
+    copies = events.unionByName(events.where("event_id IN ('p1', 'c1', 'i1')"))
     got = {r.purchase_id: (r.click_id, r.impression_id, r.impression_campaign, r.revenue)
-           for r in journeys.attribution(events).collect()}
+           for r in journeys.attribution(copies).collect()}
+    assert journeys.attribution(copies).count() == 2
     assert got == {"p1": ("c1", "i1", "A", 9.0), "p2": ("c2", None, None, 1.0)}

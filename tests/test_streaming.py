@@ -1,3 +1,4 @@
+import os
 import random
 import tempfile
 from datetime import datetime, timedelta
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from cartpulse import schemas
 from cartpulse.operators import rollups
 from cartpulse.plans import flows
+from cartpulse.session import streaming_session
 from cartpulse.sources import events, serving
 from cartpulse.streaming import rollups as streaming
 
@@ -141,6 +143,38 @@ def test_dedup_drops_resent_events(spark):
     assert (row.impressions, row.unique_visitors, row.spend_to_date) == (5, 5, 5.0)
 
 
+def test_dedup_keeps_every_event_without_an_id(spark):
+    rows = [("1", "impression", T0, "u")] + [(None, "impression", T0, f"u{i}") for i in range(4)]
+    run = Run()
+    run.publish(marketing(spark, rows * 3).repartition(4))
+    run.catch_up(spark, lambda stream, out, checkpoint: streaming.start_campaign_performance(
+        stream, out, checkpoint, dedup="event_id"))
+    row = run.latest(spark, schemas.CAMPAIGN_KEYS).first()
+    assert (row.impressions, row.unique_visitors) == (1 + 4 * 3, 5)
+
+
+def test_dedup_with_a_watermark(spark):
+    rows = [("1", "impression", T0, "u"), (None, "click", T0, "u"), (None, "click", T0, "u"),
+            ("2", "click", T0 + timedelta(hours=3), "u")]
+    run = Run()
+    run.publish(marketing(spark, rows + rows[:1] * 5).repartition(3))
+    run.catch_up(spark, lambda stream, out, checkpoint: streaming.start_hourly(
+        stream, "marketing", out, checkpoint, watermark="20 minutes", dedup="event_id"))
+    row, = serving.read_changelog(spark, run.out).collect()
+    assert (row.hour, row.impressions, row.clicks, row.unique_visitors) == (T0, 1, 2, 1)
+
+
+def test_changelog_files_are_merged(spark):
+    run = Run()
+    run.publish(flows.cart(spark, SF))
+    session = streaming_session(spark, 16)
+    stream = events.read_events(session, "cart", run.topic, streaming=True)
+    streaming.run_available(streaming.start_hourly(stream, "cart", run.out, run.checkpoint))
+    assert serving.read_changelog(spark, run.out).count() > 500
+    written = os.listdir(f"{run.out}/batch_id=0")
+    assert len([name for name in written if name.endswith(".parquet")]) == 1
+
+
 def test_watermark_closes_hours_and_drops_later_events(spark):
     def at(hours, minutes=0):
         return T0 + timedelta(hours=hours, minutes=minutes)
