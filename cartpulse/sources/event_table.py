@@ -38,7 +38,10 @@ def _renamed(kind: Column, names: dict[str, str]) -> Column:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    """The integer ``k`` of ``props``. A pattern reads the usual ``{"k": 7}`` at a
+    fraction of the cost of a JSON parser, which is left with any other object."""
+    usual = F.regexp_extract("props", r'^\{\s*"k"\s*:\s*(-?(?:0|[1-9][0-9]*))\s*\}$', 1)
+    return F.coalesce(F.nullif(usual, F.lit("")), F.get_json_object("props", "$.k")).cast("int")
 
 
 def _amount() -> Column:

@@ -7,7 +7,7 @@ import pytest
 
 from cartpulse import schemas
 from cartpulse.session import shared_base, work_dir
-from cartpulse.sources import events, serving
+from cartpulse.sources import event_table, events, serving
 
 
 def fresh():
@@ -115,6 +115,14 @@ def test_bucketed_table_joins_without_a_shuffle(spark):
     assert "Exchange" not in plan
 
 
+@pytest.mark.parametrize("props,expected", [
+    ('{"k": 87}', 87), ('{"k":0}', 0), (' {"k": 5}', 5), ('{"a": {"k": 1}, "k": 12}', 12),
+    ('{"k": "34"}', 34), ('{"k": 007}', None), ('{"j": 1}', None), ("no json", None), (None, None)])
+def test_k_of_any_object(spark, props, expected):
+    df = spark.createDataFrame([(props,)], "props string")
+    assert df.select(event_table._k()).first()[0] == expected
+
+
 def test_working_folders(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_base(spark) == configured
