@@ -14,6 +14,8 @@ Start the streams from a `cartpulse.session.streaming_session`.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,71 +27,78 @@ from cartpulse.schemas import (
 )
 from cartpulse.sources.serving import append_changelog
 
-
 SALTS = 256
 
 
-def _flag(condition: Column) -> Column:
-    return F.coalesce(condition.cast("long"), F.lit(0).cast("long"))
-
+@dataclass(frozen=True)
+class Kind:
+    """What is counted for one kind of events."""
 
-class _Domain:
-    """What one event kind counts: stage flags, amounts and who is counted once."""
+    keys: list[str]
+    counters: dict[str, str]             # counter -> stage
+    amounts: dict[str, tuple[str, str]]  # sum -> (stage, column)
+    visitors: tuple[str, str, str]       # distinct count, stage, column
 
-    def __init__(self, keys, stages, counters, amounts, visitor, first_stage, distinct):
-        self.keys, self.visitor, self.distinct = keys, visitor, distinct
-        self.first_stage = first_stage
-        kind = F.col("event_type")
-        self.flags = {name: _flag(kind == stage) for stage, name in zip(stages, counters)}
-        self.amounts = {name: kpis.value_when(kind == stage, F.col(column))
-                        for name, (stage, column) in amounts.items()}
 
-
-def _marketing() -> _Domain:
-    return _Domain(
-        CAMPAIGN_KEYS, MARKETING_STAGES, rollups.MARKETING_COUNTERS,
+KINDS = {
+    "marketing": Kind(
+        CAMPAIGN_KEYS, dict(zip(rollups.MARKETING_COUNTERS, MARKETING_STAGES)),
         {"impression_cost": ("impression", "cost"), "click_cost": ("click", "cost"),
          "revenue": ("purchase", "revenue")},
-        "user_id", "impression", "unique_visitors")
-
-
-def _cart() -> _Domain:
-    return _Domain(
-        FUNNEL_KEYS, CART_STAGES, rollups.CART_COUNTERS, {"revenue": ("purchase", "revenue")},
-        "session_id", "page_view", "unique_sessions")
+        ("unique_visitors", "impression", "user_id")),
+    "cart": Kind(
+        FUNNEL_KEYS, dict(zip(rollups.CART_COUNTERS, CART_STAGES)),
+        {"revenue": ("purchase", "revenue")},
+        ("unique_sessions", "page_view", "session_id")),
+}
+
+
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
+
+
+def _counted(events: DataFrame, kind: Kind, time: str, visitors: Column) -> DataFrame:
+    """One row per event with its share of every measure."""
+    stage = F.col("event_type")
+    return events.select(
+        *kind.keys, time,
+        *[F.coalesce((stage == s).cast("long"), _long(0)).alias(name)
+          for name, s in kind.counters.items()],
+        *[kpis.value_when(stage == s, F.col(column)).alias(name)
+          for name, (s, column) in kind.amounts.items()],
+        visitors.alias(kind.visitors[0]),
+    )
 
 
-def _increments(events: DataFrame, domain: _Domain, time: str) -> DataFrame:
-    """Rows whose plain sums are the rollup: one per event, and one per first
-    sighting of a visitor in a group and hour."""
-    nothing = F.lit(0).cast("long")
-    measures = [*domain.flags, *domain.amounts]
-    counted = events.select(
-        *domain.keys, time,
-        *[c.alias(name) for name, c in domain.flags.items()],
-        *[c.alias(name) for name, c in domain.amounts.items()],
-        nothing.alias(domain.distinct),
-    )
+def _first_sightings(events: DataFrame, kind: Kind, time: str) -> DataFrame:
+    """One row per visitor of a group and hour that counts the visitor and nothing else."""
+    name, stage, visitor = kind.visitors
     salt = F.pmod(F.xxhash64("event_id", "event_time"), F.lit(SALTS)).alias("salt")
-    sighted = events.where(
-        (F.col("event_type") == domain.first_stage) & F.col(domain.visitor).isNotNull()
-    ).select(*domain.keys, time, domain.visitor, salt).dropDuplicates()
-    first = sighted.drop("salt").dropDuplicates().select(
-        *domain.keys, time,
-        *[(nothing if m in domain.flags else F.lit(None).cast("double")).alias(m)
-          for m in measures],
-        F.lit(1).cast("long").alias(domain.distinct),
+    seen = events.where((F.col("event_type") == stage) & F.col(visitor).isNotNull()).select(
+        *kind.keys, time, visitor, salt)
+    return seen.dropDuplicates().drop("salt").dropDuplicates().select(
+        *kind.keys, time,
+        *[_long(0).alias(c) for c in kind.counters],
+        *[F.lit(None).cast("double").alias(c) for c in kind.amounts],
+        _long(1).alias(name),
     )
-    return counted.unionByName(first)
-
 
-def _sums(domain: _Domain) -> list[Column]:
-    return [F.sum(c).alias(c) for c in [*domain.flags, domain.distinct, *domain.amounts]]
 
-
-def _hourly(events: DataFrame, domain: _Domain) -> DataFrame:
-    rows = _increments(events.withColumn("hour", rollups.hour()), domain, "hour")
-    return rows.groupBy(*domain.keys, "hour").agg(*_sums(domain))
+def _rollup(events: DataFrame, kind: Kind, time: str, by: list[str], exact: bool,
+            *more: Column) -> DataFrame:
+    """All measures of ``events`` grouped by ``by``; ``time`` is the hour's column."""
+    name, stage, visitor = kind.visitors
+    if exact:
+        rows = _counted(events, kind, time, _long(0)).unionByName(
+            _first_sightings(events, kind, time))
+        distinct = F.sum(name)
+    else:
+        visit = (F.col("event_type") == stage) & F.col(visitor).isNotNull()
+        rows = _counted(events, kind, time, F.when(visit, F.struct(time, visitor)))
+        distinct = F.approx_count_distinct(name)
+    return rows.groupBy(*by).agg(
+        *more, *[F.sum(c).alias(c) for c in kind.counters], distinct.alias(name),
+        *[F.sum(c).alias(c) for c in kind.amounts])
 
 
 def _deduplicated(events: DataFrame, dedup: str | None, watermarked: bool = False) -> DataFrame:
@@ -130,14 +139,18 @@ def _start(rows: DataFrame, keys: list[str], out: str, checkpoint: str, mode: st
 
 
 def start_campaign_performance(events: DataFrame, out: str, checkpoint: str,
-                               dedup: str | None = None,
+                               dedup: str | None = None, exact_visitors: bool = True,
                                every: str | None = None) -> StreamingQuery:
-    """Campaign rollup with all KPIs, updated by every event however late it is."""
-    domain = _marketing()
-    rows = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
-    totals = _increments(rows, domain, "hour").groupBy(*CAMPAIGN_KEYS).agg(
-        F.min("hour").alias("start_date"), F.max("hour").alias("last_updated"), *_sums(domain))
-    return _start(rollups.with_campaign_kpis(totals), CAMPAIGN_KEYS, out, checkpoint, "update", every)
+    """Campaign rollup with all KPIs, updated by every event however late it is.
+
+    ``exact_visitors=False`` estimates ``unique_visitors`` (5% standard deviation)
+    with a small sketch per campaign instead of the state of first sightings.
+    """
+    timed = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
+    totals = _rollup(timed, KINDS["marketing"], "hour", CAMPAIGN_KEYS, exact_visitors,
+                     F.min("hour").alias("start_date"), F.max("hour").alias("last_updated"))
+    return _start(rollups.with_campaign_kpis(totals), CAMPAIGN_KEYS, out, checkpoint,
+                  "update", every)
 
 
 def start_cart_funnel(events: DataFrame, out: str, checkpoint: str, dedup: str | None = None,
@@ -149,26 +162,25 @@ def start_cart_funnel(events: DataFrame, out: str, checkpoint: str, dedup: str |
 
 def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
                  watermark: str | None = None, dedup: str | None = None,
-                 every: str | None = None) -> StreamingQuery:
+                 exact_visitors: bool = True, every: str | None = None) -> StreamingQuery:
     """Hourly metrics of ``marketing`` or ``cart`` events.
 
     Without a watermark every hour stays open for late events. With one, an hour
     is written once, when the watermark has passed its end, and its state is
     dropped; events later than that are not counted.
     """
-    domain = {"marketing": _marketing, "cart": _cart}[kind]()
+    counted = KINDS[kind]
     if watermark is None:
-        return _start(_hourly(_deduplicated(events, dedup), domain), domain.keys, out,
-                      checkpoint, "update", every)
+        timed = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
+        rows = _rollup(timed, counted, "hour", [*counted.keys, "hour"], exact_visitors)
+        return _start(rows, counted.keys, out, checkpoint, "update", every)
     timed = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
     timed = _deduplicated(timed.withWatermark("event_time", watermark), dedup, watermarked=True)
-    windowed = timed.withColumn("window", F.window("event_time", "1 hour"))
-    closed = _increments(windowed, domain, "window").groupBy("window", *domain.keys).agg(
-        *_sums(domain))
-    hour = F.col("window.start").cast("timestamp_ntz").alias("hour")
-    rows = closed.select(*domain.keys, hour,
-                         *[c for c in closed.columns if c not in (*domain.keys, "window")])
-    return _start(rows, domain.keys, out, checkpoint, "append", every)
+    closed = _rollup(timed.withColumn("window", F.window("event_time", "1 hour")), counted,
+                     "window", [*counted.keys, "window"], exact_visitors)
+    hour = F.col("window.start").cast("timestamp_ntz")
+    rows = closed.withColumn("hour", hour).drop("window")
+    return _start(rows, counted.keys, out, checkpoint, "append", every)
 
 
 def start_snapshot_latest(snapshots: DataFrame, kind: str, out: str, checkpoint: str,

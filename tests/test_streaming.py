@@ -130,6 +130,19 @@ def test_hot_user_and_hour_against_batch(spark):
          rollups.campaign_performance(rollups.campaign_hourly(marketing(spark, rows))))
 
 
+def test_estimated_visitors_read_the_input_once(spark):
+    run = Run()
+    run.publish(flows.marketing(spark, SF).repartition(2))
+    query = run.catch_up(spark, lambda stream, out, checkpoint: streaming.start_campaign_performance(
+        stream, out, checkpoint, exact_visitors=False), files=1)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 1000
+    exact = {r.campaign_id: r for r in flows.performance(spark, SF).collect()}
+    for row in run.latest(spark, schemas.CAMPAIGN_KEYS).collect():
+        assert row.unique_visitors == pytest.approx(exact[row.campaign_id].unique_visitors, rel=0.2)
+        assert row.asDict() | {"unique_visitors": 0} == (
+            exact[row.campaign_id].asDict() | {"unique_visitors": 0})
+
+
 def test_dedup_drops_resent_events(spark):
     rows = [(str(i), "impression", T0, f"u{i}") for i in range(5)]
     run = Run()
