@@ -79,20 +79,23 @@ def streamed(spark: SparkSession, label: str, read: Callable[..., DataFrame], ki
     return serving.read_changelog(spark, out)
 
 
-def changelog_by_day(spark: SparkSession, sf_dir: str, days: list[str]) -> DataFrame:
-    """The campaign changelog after each of the deliveries cut at ``days``: a batch
-    appends a new version of exactly the campaigns it has events of."""
-    path = work_dir(spark, "campaign-changelog")
-    deliveries = split_by_time(marketing(spark, sf_dir), "event_time", days)
-    keys = rollups.CAMPAIGN_KEYS
-    hourly_path = work_dir(spark, "campaign-hourly")
-    for batch_id, delivery in enumerate(deliveries):
-        # Days do not overlap between deliveries, so their hourly rows only add up.
-        serving.append_changelog(rollups.campaign_hourly(delivery), hourly_path, batch_id)
-        hourly = serving.read_changelog(spark, hourly_path)
-        touched = hourly.groupBy(*keys).agg(F.max(serving.BATCH_ID).alias("newest"))
-        changed = rollups.campaign_performance(hourly).alias("p").join(
-            touched.where(F.col("newest") == batch_id).alias("t"),
-            [F.col(f"p.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys], "left_semi")
+def changelog_by_day(spark: SparkSession, label: str, events_of_kind: DataFrame, days: list[str],
+                     hourly: Callable[[DataFrame], DataFrame],
+                     rollup: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """The changelog of a rollup after each of the deliveries cut at ``days``: a batch
+    appends a new version of exactly the keys it has events of.
+
+    Only the delivered events are read; their hours are added to the stored ones.
+    Deliveries do not share an hour, so an hour's distinct counts stay whole.
+    """
+    path, hours_path = work_dir(spark, f"{label}-changelog"), work_dir(spark, f"{label}-hours")
+    for batch_id, delivery in enumerate(split_by_time(events_of_kind, "event_time", days)):
+        serving.append_changelog(hourly(delivery), hours_path, batch_id)
+        hours = serving.read_changelog(spark, hours_path)
+        touched = hours.groupBy(*keys).agg(F.max(serving.BATCH_ID).alias("newest")).where(
+            F.col("newest") == batch_id)
+        changed = rollup(hours).alias("r").join(
+            touched.alias("t"), [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys],
+            "left_semi")
         serving.append_changelog(changed, path, batch_id)
     return serving.read_changelog(spark, path)

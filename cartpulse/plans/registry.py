@@ -221,9 +221,21 @@ def _stream_snapshots(kind, keys, source, spark, sf_dir):
 DELIVERIES = ["2024-01-11", "2024-01-21"]
 
 
+def _campaign_changelog(spark, sf_dir):
+    return flows.changelog_by_day(
+        spark, "campaign", flows.marketing(spark, sf_dir), DELIVERIES,
+        rollups.campaign_hourly, rollups.campaign_performance, CAMPAIGN_KEYS)
+
+
+def _funnel_changelog(spark, sf_dir):
+    return flows.changelog_by_day(
+        spark, "funnel", flows.cart(spark, sf_dir), DELIVERIES,
+        rollups.cart_hourly, rollups.cart_funnel, FUNNEL_KEYS)
+
+
 def changelog_overcount(spark, sf_dir):
     """Channel totals over all row versions beside those over current rows."""
-    changelog = flows.changelog_by_day(spark, sf_dir, DELIVERIES)
+    changelog = _campaign_changelog(spark, sf_dir)
     current = serving.latest_version(changelog, CAMPAIGN_KEYS)
     over, true = (rollups.channel_aggregates(df).select(
         "channel", "total_spend", "total_revenue", "total_purchases") for df in (changelog, current))
@@ -234,13 +246,25 @@ def changelog_overcount(spark, sf_dir):
 
 
 def changelog_skew(spark, sf_dir):
-    return serving.changelog_skew(
-        flows.changelog_by_day(spark, sf_dir, DELIVERIES), CAMPAIGN_KEYS)
+    return serving.changelog_skew(_campaign_changelog(spark, sf_dir), CAMPAIGN_KEYS)
+
 
+# Boards and views as they look when they read every version of every row.
 
 def campaign_board_over_changelog(spark, sf_dir):
-    """The board as it looks when every version is shown."""
-    return insights.campaign_board(flows.changelog_by_day(spark, sf_dir, DELIVERIES))
+    return insights.campaign_board(_campaign_changelog(spark, sf_dir))
+
+
+def campaign_insights_over_changelog(spark, sf_dir):
+    return insights.campaign_insights(_campaign_changelog(spark, sf_dir))
+
+
+def funnel_board_over_changelog(spark, sf_dir):
+    return insights.funnel_board(_funnel_changelog(spark, sf_dir))
+
+
+def cart_insights_over_changelog(spark, sf_dir):
+    return insights.cart_conversion_insights(_funnel_changelog(spark, sf_dir))
 
 
 def publish_roundtrip(spark, sf_dir):
@@ -422,6 +446,9 @@ QUERIES: dict[str, Query] = {
     "changelog_overcount": changelog_overcount,
     "changelog_skew": changelog_skew,
     "campaign_board_over_changelog": campaign_board_over_changelog,
+    "campaign_insights_over_changelog": campaign_insights_over_changelog,
+    "funnel_board_over_changelog": funnel_board_over_changelog,
+    "cart_insights_over_changelog": cart_insights_over_changelog,
     "publish_roundtrip": publish_roundtrip,
     "parse_json_quarantine": parse_json_quarantine,
     "serving_roundtrip": serving_roundtrip,

@@ -154,3 +154,20 @@ def test_snapshots_mix_only_in_the_per_column_form(spark):
 def test_stage_counts(spark):
     counts = quality.stage_counts({"a": spark.range(3), "b": spark.range(0)}).collect()
     assert {r["stage"]: r["rows"] for r in counts} == {"a": 3, "b": 0}
+
+
+@pytest.mark.parametrize("table,rollup", [
+    ("campaign_performance", lambda s: rollups.campaign_performance_from_events(marketing(s, []))),
+    ("campaign_performance", lambda s: rollups.campaign_performance(
+        rollups.campaign_hourly(marketing(s, [])))),
+    ("cart_conversion_funnel", lambda s: rollups.cart_funnel_from_events(cart(s, []))),
+    ("cart_conversion_funnel", lambda s: rollups.cart_funnel(rollups.cart_hourly(cart(s, [])))),
+    ("marketing_campaigns", lambda s: rollups.campaign_snapshot_latest(
+        s.createDataFrame([], schemas.CAMPAIGN_SNAPSHOTS))),
+    ("cart_analytics", lambda s: rollups.cart_snapshot_latest(
+        s.createDataFrame([], schemas.CART_SNAPSHOTS)))])
+def test_rollups_have_the_serving_columns(spark, table, rollup):
+    declared = [(f.name, f.dataType) for f in schemas.SERVING_TABLES[table][0]]
+    df = rollup(spark)
+    assert [(f.name, f.dataType) for f in df.schema] == declared
+    assert df.count() == 0
