@@ -15,8 +15,12 @@ ROI_BANDS = [
 ]
 FALLBACK = ("Decrease budget by 40%", -0.4)
 
-# Cart-to-purchase rate a device should reach.
+# Cart-to-purchase rate a device should reach, and the advice per segment.
 TARGET_RATES = {"Mobile": 0.45, "Tablet": 0.50}
+MOBILE_ADVICE = "Optimize mobile checkout experience"
+DESKTOP_EMAIL_ADVICE = "Maintain high-performing experience"
+TABLET_ADVICE = "Improve tablet cart-to-purchase rate"
+OTHER_ADVICE = "Standard optimization"
 
 
 def _by_band(roi: Column, values: list, otherwise) -> Column:
@@ -42,11 +46,10 @@ def potential_impact(roi: Column, revenue: Column, spend: Column) -> Column:
 
 def cart_recommendation(device: Column, source: Column) -> Column:
     return (
-        F.when(device == "Mobile", F.lit("Optimize mobile checkout experience"))
-        .when((device == "Desktop") & (source == "Email"),
-              F.lit("Maintain high-performing experience"))
-        .when(device == "Tablet", F.lit("Improve tablet cart-to-purchase rate"))
-        .otherwise(F.lit("Standard optimization"))
+        F.when(device == "Mobile", MOBILE_ADVICE)
+        .when((device == "Desktop") & (source == "Email"), DESKTOP_EMAIL_ADVICE)
+        .when(device == "Tablet", TABLET_ADVICE)
+        .otherwise(OTHER_ADVICE)
     )
 
 

@@ -1,4 +1,4 @@
-"""Counts per pipeline stage and the checks between stages."""
+"""Row counts per stage of a flow and the checks between stages."""
 
 from __future__ import annotations
 

@@ -188,12 +188,14 @@ def test_changelog_files_are_merged(spark):
     assert len([name for name in written if name.endswith(".parquet")]) == 1
 
 
-def test_watermark_closes_hours_and_drops_later_events(spark):
+@pytest.mark.parametrize("exact", [True, False])
+def test_watermark_closes_hours_and_drops_later_events(spark, exact):
     def at(hours, minutes=0):
         return T0 + timedelta(hours=hours, minutes=minutes)
 
     def start(stream, out, checkpoint):
-        return streaming.start_hourly(stream, "marketing", out, checkpoint, "20 minutes")
+        return streaming.start_hourly(stream, "marketing", out, checkpoint, "20 minutes",
+                                      exact_visitors=exact)
     run = Run()
     run.publish(marketing(spark, [("1", "impression", at(0, 5), "u"),
                                   ("2", "impression", at(1, 10), "u")]))
