@@ -66,17 +66,18 @@ def split_by_time(df: DataFrame, column: str, days: list[str]) -> list[DataFrame
 
 
 def streamed(spark: SparkSession, label: str, read: Callable[..., DataFrame], kind: str,
-             deliveries: list[DataFrame], start: Start) -> DataFrame:
+             deliveries: list[DataFrame], start: Start, changelog: str = "") -> DataFrame:
     """Publish each delivery as JSON messages and let the stream catch up after
-    each, resuming from its checkpoint. Returns the changelog it wrote."""
+    each, resuming from its checkpoint. Returns the changelog it wrote, which may
+    lie in a subfolder of the stream's output."""
     base = work_dir(spark, label)
-    topic, out, checkpoint = f"{base}/topic", f"{base}/changelog", f"{base}/checkpoint"
+    topic, out, checkpoint = f"{base}/topic", f"{base}/out", f"{base}/checkpoint"
     session = streaming_session(spark)
     for delivery in deliveries:
         events.publish(delivery, topic)
         query = start(read(session, kind, topic, streaming=True), out, checkpoint)
         query.awaitTermination()
-    return serving.read_changelog(spark, out)
+    return serving.read_changelog(spark, f"{out}/{changelog}" if changelog else out)
 
 
 def changelog_by_day(spark: SparkSession, label: str, events_of_kind: DataFrame, days: list[str],

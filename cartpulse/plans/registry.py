@@ -16,6 +16,7 @@ from cartpulse.schemas import (
 )
 from cartpulse.session import work_dir
 from cartpulse.sources import event_table, events, serving
+from cartpulse.streaming import days
 from cartpulse.streaming import rollups as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,6 +190,14 @@ def stream_cart_funnel(spark, sf_dir):
     return serving.latest_version(changelog, FUNNEL_KEYS)
 
 
+def _stream_by_day(kind, keys, source, spark, sf_dir):
+    changelog = flows.streamed(
+        spark, f"stream-{kind}-days", events.read_events, kind, _late_first(source(spark, sf_dir)),
+        lambda stream, out, checkpoint: days.start_by_day(stream, kind, out, checkpoint),
+        "changelog")
+    return serving.latest_version(changelog, keys)
+
+
 def _stream_hourly(kind, keys, source, spark, sf_dir):
     changelog = flows.streamed(
         spark, f"stream-{kind}-hours", events.read_events, kind,
@@ -435,6 +444,9 @@ QUERIES: dict[str, Query] = {
     "cart_conservation": cart_conservation,
     "stream_campaign_performance": stream_campaign_performance,
     "stream_cart_funnel": stream_cart_funnel,
+    "stream_campaign_by_day": partial(
+        _stream_by_day, "marketing", CAMPAIGN_KEYS, flows.marketing),
+    "stream_cart_by_day": partial(_stream_by_day, "cart", FUNNEL_KEYS, flows.cart),
     "stream_campaign_hourly": partial(
         _stream_hourly, "marketing", CAMPAIGN_KEYS, flows.marketing),
     "stream_cart_hourly": partial(_stream_hourly, "cart", FUNNEL_KEYS, flows.cart),

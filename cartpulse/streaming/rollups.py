@@ -14,11 +14,12 @@ Start the streams from a `cartpulse.session.streaming_session`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cartpulse.functions import kpis
 from cartpulse.operators import rollups
@@ -122,20 +123,29 @@ def _start(rows: DataFrame, keys: list[str], out: str, checkpoint: str, mode: st
     processed and the query ends. The checkpoint resumes where it left off."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        # A stateful stream plans without adaptive execution, which would leave one
-        # small file per state partition. The finished batch may be merged again.
+        # Without merging there would be one small file per state partition.
+        append_changelog(batch.hint("rebalance", *[F.col(k) for k in keys]), out, batch_id)
+
+    return each_batch(rows.writeStream.outputMode(mode), append, checkpoint, every)
+
+
+def each_batch(writer: DataStreamWriter, process: Callable[[DataFrame, int], None],
+               checkpoint: str, every: str | None) -> StreamingQuery:
+    """Starts a query that hands every micro-batch to ``process`` with adaptive
+    execution on, which Spark switches off for the stateful part of the plan."""
+
+    def adaptive(batch: DataFrame, batch_id: int) -> None:
         conf = batch.sparkSession.conf
         planned = conf.get("spark.sql.adaptive.enabled")
         conf.set("spark.sql.adaptive.enabled", "true")
         try:
-            merged = batch.hint("rebalance", *[F.col(k) for k in keys])
-            append_changelog(merged, out, batch_id)
+            process(batch, batch_id)
         finally:
             conf.set("spark.sql.adaptive.enabled", planned)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (rows.writeStream.outputMode(mode).foreachBatch(append)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    return (writer.foreachBatch(adaptive).option("checkpointLocation", checkpoint)
+            .trigger(**trigger).start())
 
 
 def start_campaign_performance(events: DataFrame, out: str, checkpoint: str,

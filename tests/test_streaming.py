@@ -11,6 +11,7 @@ from cartpulse.operators import rollups
 from cartpulse.plans import flows
 from cartpulse.session import streaming_session
 from cartpulse.sources import events, serving
+from cartpulse.streaming import days
 from cartpulse.streaming import rollups as streaming
 
 SF = "/root/testdata/sf0.001"
@@ -248,3 +249,54 @@ def test_bad_lines_do_not_stop_the_stream(spark):
         run.topic)
     run.catch_up(spark, streaming.start_campaign_performance)
     assert run.latest(spark, schemas.CAMPAIGN_KEYS).first().impressions == 1
+
+
+@pytest.mark.parametrize("kind,source,batch,keys", [
+    ("marketing", flows.marketing, flows.performance, schemas.CAMPAIGN_KEYS),
+    ("cart", flows.cart, flows.funnel, schemas.FUNNEL_KEYS)])
+def test_days_equal_batch(spark, kind, source, batch, keys):
+    run = Run()
+    run.publish(source(spark, SF).repartition(3))
+    run.catch_up(spark, lambda s, out, ckpt: days.start_by_day(s, kind, out, ckpt), kind, files=1)
+    changelog = serving.read_changelog(spark, run.out + "/changelog")
+    assert changelog.select("batch_id").distinct().count() == 3
+    same(serving.latest_version(changelog, keys), batch(spark, SF))
+
+
+def test_days_with_edge_rows_and_a_lost_checkpoint(spark):
+    """Without its checkpoint the stream replays batch 0, which replaces itself."""
+    rows = [("1", "impression", T0, None), ("2", "impression", T0, "u"), ("3", None, T0, "u"),
+            ("4", "impression", None, "u"), ("5", "impression", None, "u"),
+            ("6", "purchase", T0 + timedelta(days=40), "v")]
+    run = Run()
+    run.publish(marketing(spark, rows))
+    expected = rollups.campaign_performance_from_events(marketing(spark, rows))
+    for checkpoint in ("/first", "/second"):
+        run.catch_up(spark, lambda s, out, ckpt: days.start_by_day(
+            s, "marketing", out, ckpt + checkpoint))
+        changelog = serving.read_changelog(spark, run.out + "/changelog")
+        assert changelog.count() == 1
+        same(serving.latest_version(changelog, schemas.CAMPAIGN_KEYS), expected)
+
+
+def test_days_read_only_the_touched_days(spark):
+    run = Run()
+    run.publish(flows.cart(spark, SF))
+    run.catch_up(spark, lambda s, out, ckpt: days.start_by_day(s, "cart", out, ckpt), "cart")
+    untouched = f"{run.out}/events/batch_id=0/day=2024-01-05"
+    for name in os.listdir(untouched):  # unreadable files fail any job that opens them
+        if name.endswith(".parquet"):
+            with open(os.path.join(untouched, name), "wb") as file:
+                file.write(b"damaged")
+            crc = os.path.join(untouched, f".{name}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+    late = flows.cart(spark, SF).where("event_time >= '2024-01-09' AND event_time < '2024-01-10'")
+    run.publish(late)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # pruning must not hang on it
+    try:
+        run.catch_up(spark, lambda s, out, ckpt: days.start_by_day(s, "cart", out, ckpt), "cart")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    changelog = serving.read_changelog(spark, run.out + "/changelog")
+    assert changelog.where("batch_id = 1").count() == late.select(*schemas.FUNNEL_KEYS).distinct().count()
