@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +23,14 @@ class Topic:
     starting: str = "earliest"
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
+    options: dict[str, str] = field(default_factory=dict)  # e.g. security settings
 
     def read_options(self, streaming: bool) -> dict[str, str]:
         options = {
             "kafka.bootstrap.servers": self.servers,
             "subscribe": self.name,
             "startingOffsets": self.starting,
+            **self.options,
         }
         if streaming and self.max_offsets_per_trigger:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
@@ -37,7 +39,7 @@ class Topic:
         return options
 
     def write_options(self) -> dict[str, str]:
-        return {"kafka.bootstrap.servers": self.servers, "topic": self.name}
+        return {"kafka.bootstrap.servers": self.servers, "topic": self.name, **self.options}
 
 
 def parse_json(lines: DataFrame, schema: T.StructType) -> DataFrame:

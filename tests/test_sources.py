@@ -74,6 +74,9 @@ def test_topic_options():
     assert "maxOffsetsPerTrigger" not in topic.read_options(streaming=False)
     assert topic.write_options() == {
         "kafka.bootstrap.servers": "broker:9092", "topic": "cart-events"}
+    secured = events.Topic("b:1", "t", options={"kafka.security.protocol": "SSL"})
+    assert secured.write_options()["kafka.security.protocol"] == "SSL"
+    assert secured.read_options(False)["kafka.security.protocol"] == "SSL"
 
 
 SNAPSHOT = [("Mobile", "Email", datetime(2024, 1, 1), 10, 5, 2, 20.0, 40.0),
