@@ -224,6 +224,11 @@ def rate_anomalies(hourly: DataFrame, by: list[str], k: float = 2.0,
 
 # --- visitors ---------------------------------------------------------------------------
 
+def _had(stage: str) -> Column:
+    """Whether any event of the group is of ``stage``."""
+    return F.max(F.coalesce(F.col("event_type") == stage, F.lit(False)))
+
+
 def return_rate(events: DataFrame, hours: int = 48) -> DataFrame:
     """Share of known users with an abandoned cart who come back within ``hours`` (>= 1).
 
@@ -235,13 +240,11 @@ def return_rate(events: DataFrame, hours: int = 48) -> DataFrame:
     any later one is itself an event that follows it. So the window over a user
     is bounded by the calendar, however many events the user has.
     """
-    kind = F.col("event_type")
     visits = events.where(F.col("user_id").isNotNull()).groupBy(
         "user_id", "session_id", kpis.hour_of(F.col("event_time")).alias("hour")).agg(
         F.min("event_time").alias("first_at"),
         F.max("event_time").alias("last_at"),
-        F.max(F.coalesce(kind == "add_to_cart", F.lit(False))).alias("carted"),
-        F.max(F.coalesce(kind == "purchase", F.lit(False))).alias("bought"),
+        _had("add_to_cart").alias("carted"), _had("purchase").alias("bought"),
     )
     session = "PARTITION BY user_id, session_id"
     ended = visits.select(
@@ -273,7 +276,7 @@ def views_vs_conversion(events: DataFrame, threshold: int = 3, unit: str = "user
     kind = F.col("event_type")
     users = events.where(F.col(unit).isNotNull()).groupBy(unit).agg(
         F.count_distinct(F.when(kind == "product_view", F.col("product_id"))).alias("products"),
-        F.max(F.coalesce(kind == "purchase", F.lit(False))).alias("bought"),
+        _had("purchase").alias("bought"),
     )
     many = F.when(F.col("products") >= threshold, f"{threshold}+").otherwise(f"under {threshold}")
     return users.groupBy(many.alias("products_viewed")).agg(
@@ -283,12 +286,10 @@ def views_vs_conversion(events: DataFrame, threshold: int = 3, unit: str = "user
 
 def first_visit_abandonment(events: DataFrame) -> DataFrame:
     """Cart abandonment in the first session of known users and in all later ones."""
-    kind = F.col("event_type")
     sessions = events.where(F.col("user_id").isNotNull()).groupBy("user_id", "session_id").agg(
         F.min("event_time").alias("started_at"),
-        F.max((kind == "add_to_cart").cast("int")).alias("carts"),
-        F.max((kind == "purchase").cast("int")).alias("bought"),
-    ).withColumn("abandoned", F.col("carts") * (1 - F.col("bought")))
+        _had("add_to_cart").cast("int").alias("carts"), _had("purchase").alias("bought"),
+    ).withColumn("abandoned", F.when(F.col("bought"), 0).otherwise(F.col("carts")))
     users = sessions.groupBy("user_id").agg(
         F.min(F.struct("started_at", "session_id", "carts", "abandoned")).alias("first"),
         F.sum("carts").alias("carts"), F.sum("abandoned").alias("abandoned"),

@@ -14,9 +14,9 @@ from cartpulse.schemas import (
     CAMPAIGN_KEYS, CART_STAGES, DEVICE_SOURCE_KEYS, FUNNEL_KEYS, MARKETING_EVENTS,
     MARKETING_STAGES,
 )
-from cartpulse.session import work_dir
+from cartpulse.session import streaming_session, work_dir
 from cartpulse.sources import event_table, events, serving
-from cartpulse.streaming import days
+from cartpulse.streaming import days, quarantine
 from cartpulse.streaming import rollups as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -282,7 +282,7 @@ def publish_roundtrip(spark, sf_dir):
     return events.read_events(spark, "cart", topic)
 
 
-def parse_json_quarantine(spark, sf_dir):
+def _damaged_topic(spark, sf_dir):
     """Published messages of which some are cut off and some carry text for a number."""
     marketing = flows.marketing(spark, sf_dir)
     tablet, click = F.col("device_type") == "Tablet", F.col("event_type") == "click"
@@ -291,13 +291,31 @@ def parse_json_quarantine(spark, sf_dir):
     events.publish(marketing.where(~tablet & ~click), topic)
     events.publish(marketing.where(~tablet & click).withColumn("cost", F.lit("unknown")), topic)
     events.publish_lines(events.to_lines(marketing.where(tablet)).select(cut), topic)
-    parsed = events.parse_json(events.read_lines(spark, topic), MARKETING_EVENTS)
-    kind = (F.when(F.col(events.CORRUPT).isNull(), "good")
-            .when(F.col(events.CORRUPT).endswith("}"), "unconvertible").otherwise("malformed"))
+    return topic
+
+
+def _damage(line):
+    return F.when(line.endswith("}"), "unconvertible").otherwise("malformed")
+
+
+def parse_json_quarantine(spark, sf_dir):
+    lines = events.read_lines(spark, _damaged_topic(spark, sf_dir))
+    parsed = events.parse_json(lines, MARKETING_EVENTS)
+    corrupt = F.col(events.CORRUPT)
+    kind = F.when(corrupt.isNull(), "good").otherwise(_damage(corrupt))
     return parsed.groupBy(kind.alias("line")).agg(
         F.count("*").alias("lines"), F.count("campaign_id").alias("with_campaign"))
 
 
+def stream_quarantine(spark, sf_dir):
+    topic, out = _damaged_topic(spark, sf_dir), work_dir(spark, "stream-quarantine")
+    lines = events.read_lines(streaming_session(spark), topic, streaming=True)
+    quarantine.start_quarantine(
+        lines, MARKETING_EVENTS, f"{out}/lines", f"{out}/checkpoint").awaitTermination()
+    return spark.read.text(f"{out}/lines").groupBy(_damage(F.col("value")).alias("line")).agg(
+        F.count("*").alias("lines"))
+
+
 def serving_roundtrip(spark, sf_dir):
     """The four serving tables, written and read back, as one list of measures."""
     tables = {
@@ -444,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "cart_conservation": cart_conservation,
     "stream_campaign_performance": stream_campaign_performance,
     "stream_cart_funnel": stream_cart_funnel,
+    "stream_quarantine": stream_quarantine,
     "stream_campaign_by_day": partial(
         _stream_by_day, "marketing", CAMPAIGN_KEYS, flows.marketing),
     "stream_cart_by_day": partial(_stream_by_day, "cart", FUNNEL_KEYS, flows.cart),

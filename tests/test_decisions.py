@@ -196,7 +196,7 @@ def test_views_and_first_visits(spark):
              ("add_to_cart", T0, "s2", "w", "a"),
              ("add_to_cart", T0 + timedelta(days=1), "s3", "w", "a"),
              ("purchase", T0 + timedelta(days=1), "s3", "w", "a"),
-             ("add_to_cart", T0, "s4", None, "a")]
+             ("add_to_cart", T0, "s4", None, "a"), (None, T0, "s1", "u", "a")]
     got = {r.products_viewed: (r.visitors, r.buyers)
            for r in decisions.views_vs_conversion(cart(spark, rows)).collect()}
     assert got == {"3+": (1, 1), "under 3": (1, 1)}

@@ -130,3 +130,17 @@ def test_working_folders(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_base(spark) == configured
     assert work_dir(spark, "x").startswith(configured) and work_dir(spark, "x") != work_dir(spark, "x")
+
+
+class Settings:
+    """A session as far as `shared_base` looks at it."""
+
+    def __init__(self, **settings):
+        self.conf = {name.replace("_", "."): value for name, value in settings.items()}
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError):
+        shared_base(Settings(spark_master="yarn"))
+    assert shared_base(Settings(spark_master="yarn", spark_checkpoint_dir="hdfs:///c/")) == "hdfs:///c"
+    assert shared_base(Settings(spark_master="local[2]")).startswith(tempfile.gettempdir())

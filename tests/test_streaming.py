@@ -4,6 +4,7 @@ import tempfile
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from cartpulse import schemas
@@ -11,7 +12,7 @@ from cartpulse.operators import rollups
 from cartpulse.plans import flows
 from cartpulse.session import streaming_session
 from cartpulse.sources import events, serving
-from cartpulse.streaming import days
+from cartpulse.streaming import days, quarantine
 from cartpulse.streaming import rollups as streaming
 
 SF = "/root/testdata/sf0.001"
@@ -242,6 +243,43 @@ def test_live_trigger_keeps_running(spark):
     assert (row.impressions, row.unique_visitors) == (4, 3)
 
 
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("after_writing", [False, True])
+def test_batch_lost_midway_is_replayed(spark, monkeypatch, after_writing):
+    """The second batch dies before or after its output is written; the restart is exact."""
+    run = Run()
+    run.publish(flows.marketing(spark, SF).repartition(3))
+
+    def dying(batch, path, batch_id):
+        if batch_id == 1 and not after_writing:
+            raise Lost
+        serving.append_changelog(batch, path, batch_id)
+        if batch_id == 1:
+            raise Lost
+    with monkeypatch.context() as patch:
+        patch.setattr(streaming, "append_changelog", dying)
+        with pytest.raises(StreamingQueryException):
+            run.catch_up(spark, streaming.start_campaign_performance, files=1)
+    run.catch_up(spark, streaming.start_campaign_performance, files=1)
+    same(run.latest(spark, schemas.CAMPAIGN_KEYS), flows.performance(spark, SF))
+    changelog = serving.read_changelog(spark, run.out)
+    assert changelog.select("batch_id").distinct().count() == 3
+
+
+def test_quarantine_keeps_lines_unchanged(spark):
+    run = Run()
+    run.publish(marketing(spark, [("1", "impression", T0, "u")]))
+    bad = ['{"event_type": "impr', '{"event_type": "click", "cost": "dear"}']
+    events.publish_lines(spark.createDataFrame([(b,) for b in bad], "value string"), run.topic)
+    lines = events.read_lines(spark, run.topic, streaming=True)
+    streaming.run_available(quarantine.start_quarantine(
+        lines, schemas.MARKETING_EVENTS, run.out, run.checkpoint))
+    assert sorted(r.value for r in spark.read.text(run.out).collect()) == sorted(bad)
+
+
 def test_bad_lines_do_not_stop_the_stream(spark):
     run = Run()
     run.publish(marketing(spark, [("1", "impression", T0, "u")]))
