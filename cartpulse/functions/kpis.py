@@ -28,6 +28,22 @@ def hour_of(time: Column) -> Column:
     return time - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(time), seconds)
 
 
+_EPOCH = "1970-01-01"
+
+
+def utc_instant(time: Column) -> Column:
+    """A zone-less time read as UTC, whatever the session's zone (watermarks need instants)."""
+    since = (time - F.lit(_EPOCH).cast("timestamp_ntz")).cast("interval second")
+    return F.timestamp_seconds(since.cast("decimal(18,6)"))
+
+
+def utc_wall_clock(instant: Column) -> Column:
+    """The inverse of `utc_instant` for whole seconds."""
+    seconds = F.unix_seconds(instant).cast("decimal(18,6)")
+    return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def value_when(condition: Column, value: Column) -> Column:
     """``value`` on matching rows (NULL values stay NULL), 0 on all others."""
     return F.when(condition, value).otherwise(F.lit(0.0))

@@ -184,12 +184,11 @@ def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
         timed = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
         rows = _rollup(timed, counted, "hour", [*counted.keys, "hour"], exact_visitors)
         return _start(rows, counted.keys, out, checkpoint, "update", every)
-    timed = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    timed = events.withColumn("event_time", kpis.utc_instant(F.col("event_time")))
     timed = _deduplicated(timed.withWatermark("event_time", watermark), dedup, watermarked=True)
     closed = _rollup(timed.withColumn("window", F.window("event_time", "1 hour")), counted,
                      "window", [*counted.keys, "window"], exact_visitors)
-    hour = F.col("window.start").cast("timestamp_ntz")
-    rows = closed.withColumn("hour", hour).drop("window")
+    rows = closed.withColumn("hour", kpis.utc_wall_clock(F.col("window.start"))).drop("window")
     return _start(rows, counted.keys, out, checkpoint, "append", every)
 
 

@@ -1,3 +1,5 @@
+from datetime import datetime, timedelta, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,22 @@ def test_hours_keep_wall_clock_time(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert hour == "2024-03-10 02:00:00"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+@pytest.mark.parametrize("time", ["2024-03-10 02:31:15.123456", "2024-11-03 01:30:00", "1969-12-31 23:59:59.5",
+                                  "2300-01-01 00:00:00"])
+def test_instants_do_not_depend_on_the_zone(spark, zone, time):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql(f"SELECT TIMESTAMP_NTZ '{time}' AS t")
+        instant = kpis.utc_instant(F.col("t"))
+        micros, back = df.select(F.unix_micros(instant), kpis.utc_wall_clock(
+            F.date_trunc("second", instant)).cast("string")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    moment = datetime.fromisoformat(time).replace(tzinfo=timezone.utc)
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    assert micros == (moment - epoch) // timedelta(microseconds=1)
+    assert back == time[:19]

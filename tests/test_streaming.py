@@ -190,8 +190,16 @@ def test_changelog_files_are_merged(spark):
     assert len([name for name in written if name.endswith(".parquet")]) == 1
 
 
+@pytest.fixture(params=["UTC", "Asia/Kolkata", "America/New_York"])
+def zone(request, spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.parametrize("exact", [True, False])
-def test_watermark_closes_hours_and_drops_later_events(spark, exact):
+def test_watermark_closes_hours_and_drops_later_events(spark, exact, zone):
     def at(hours, minutes=0):
         return T0 + timedelta(hours=hours, minutes=minutes)
 
