@@ -3,11 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from cartpulse.plans.oracles import ORACLES
+from cartpulse.plans.registry import QUERIES
 from oracle_check import connect, differences
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
-
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
 def tables(request):
@@ -23,6 +22,8 @@ def test_query(spark, tables, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
