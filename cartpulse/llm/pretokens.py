@@ -146,12 +146,12 @@ def split(texts: list[str], style: str) -> Pretokens:
     begin, over = begin[real], over[real]
     bounds = np.searchsorted(begin, np.concatenate([[0], ends]))
     if len(data) != len(cp):
-        place = np.ones(len(cp) + 1, dtype=np.int64)
+        place = np.ones(len(cp) + 1, dtype=np.int32 if len(data) < 2**31 else np.int64)
         place[0] = 0
         for limit in (0x7F, 0x7FF, 0xFFFF):
             place[1:] += cp > limit
-        np.cumsum(place, out=place)
-        begin, over = place[begin], place[over]
+        np.cumsum(place, out=place, dtype=place.dtype)
+        begin, over = place[begin].astype(np.int64), place[over].astype(np.int64)
     lengths = over - begin
     codes, first = distinct_slices(data + bytes(8), begin, lengths)
     return Pretokens(codes, bounds, np.frombuffer(data, np.uint8), begin[first], lengths[first])
