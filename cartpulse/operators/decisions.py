@@ -200,9 +200,11 @@ def rate_anomalies(hourly: DataFrame, by: list[str], k: float = 2.0,
     ).withColumn("rate", kpis.checkout_to_purchase_rate(
         F.col("purchases"), F.col("checkout_starts")))
 
+    keys = ", ".join("`" + name.replace("`", "``") + "`" for name in by)
+
     def over(function: str, first: int, last: int) -> Column:
         return F.expr(
-            f"{function}(rate) OVER (PARTITION BY {', '.join(by)} ORDER BY hour RANGE BETWEEN "
+            f"{function}(rate) OVER (PARTITION BY {keys} ORDER BY hour RANGE BETWEEN "
             f"INTERVAL '{first}' HOUR PRECEDING AND INTERVAL '{last}' HOUR PRECEDING)")
 
     scored = rates.withColumns({

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from cartpulse.schemas import CART_STAGES
 
 
-def attribution(events: DataFrame, click_minutes: int = 30,
-                purchase_minutes: int = 30) -> DataFrame:
+def attribution(events: DataFrame, click_minutes: int = 30, purchase_minutes: int = 30,
+                hot_rows: int = 1_000_000, parts: int = 32) -> DataFrame:
     """Every purchase that follows a click in time, with the impression of that click.
 
-    Every id is first reduced to one row, so copies of an event neither multiply
-    nor pile up in one task, and the sides are already partitioned for the equi-joins.
-    The time bounds are checked on the matched pair. A click without a matching
+    Copies of an event with an id count once; a purchase without an id is one of its
+    own. The time bounds are checked on the matched pair. A click without a matching
     impression keeps its purchase.
+
+    An id that over ``hot_rows`` rows refer to is split: those rows are dealt over
+    ``parts`` keys and the one row with that id is repeated for each. There are at most
+    rows / ``hot_rows`` such ids. Rows without a link are dealt over keys of their own.
     """
     def once(stage: str, **columns: str) -> DataFrame:
         id_name, *others = columns
@@ -27,22 +30,41 @@ def attribution(events: DataFrame, click_minutes: int = 30,
     impressions = once("impression", impression_id="event_id", seen_at="event_time",
                        impression_campaign="campaign_id")
     clicks = once("click", click_id="event_id", clicked_at="event_time",
-                  impression_id="impression_id", click_campaign="campaign_id")
+                  clicked_impression="impression_id", click_campaign="campaign_id")
     purchases = once("purchase", purchase_id="event_id", bought_at="event_time",
                      click_id="click_id", revenue="revenue")
+    nameless = events.where((F.col("event_type") == "purchase") & F.col("event_id").isNull())
+    purchases = purchases.unionByName(nameless.select(
+        F.col("event_id").alias("purchase_id"), F.col("event_time").alias("bought_at"),
+        "click_id", "revenue"))
+
+    def linked(rows: DataFrame, link: str, targets: DataFrame, target: str,
+               how: str) -> DataFrame:
+        counts = rows.where(F.col(link).isNotNull()).groupBy(F.col(link).alias("hot")).count()
+        hot = F.broadcast(counts.where(F.col("count") > hot_rows).select("hot"))
+        dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int")
+        ours = rows.join(hot, F.col(link) == F.col("hot"), "left").withColumn(
+            "part", F.when(F.col("hot").isNotNull() | F.col(link).isNull(), dealt)
+            .otherwise(0)).drop("hot")
+        every = F.sequence(F.lit(0), F.when(F.col("hot").isNotNull(), parts - 1).otherwise(0))
+        theirs = targets.join(hot, F.col(target) == F.col("hot"), "left").withColumn(
+            "its_part", F.explode(every)).drop("hot")
+        return ours.join(
+            theirs, (F.col(link) == F.col(target)) & (F.col("part") == F.col("its_part")),
+            how).drop("part", "its_part")
 
     def within(later: str, earlier: str, minutes: int):
         limit = F.col(earlier) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
         return F.col(later).between(F.col(earlier), limit)
 
-    bought = purchases.join(clicks, "click_id").where(
-        within("bought_at", "clicked_at", purchase_minutes))
-    shown = bought.withColumnRenamed("impression_id", "clicked_impression").join(
-        impressions,
-        (F.col("clicked_impression") == F.col("impression_id"))
-        & within("clicked_at", "seen_at", click_minutes), "left")
-    return shown.select("purchase_id", "click_id", "impression_id", "click_campaign",
-                        "impression_campaign", "seen_at", "clicked_at", "bought_at", "revenue")
+    bought = linked(purchases.withColumnRenamed("click_id", "via"), "via", clicks, "click_id",
+                    "inner").where(within("bought_at", "clicked_at", purchase_minutes)).drop("via")
+    shown = linked(bought, "clicked_impression", impressions, "impression_id", "left")
+    seen = F.coalesce(within("clicked_at", "seen_at", click_minutes), F.lit(False))
+    return shown.select(
+        "purchase_id", "click_id", F.when(seen, F.col("impression_id")).alias("impression_id"),
+        "click_campaign", F.when(seen, F.col("impression_campaign")).alias("impression_campaign"),
+        F.when(seen, F.col("seen_at")).alias("seen_at"), "clicked_at", "bought_at", "revenue")
 
 
 def session_depth(events: DataFrame) -> DataFrame:

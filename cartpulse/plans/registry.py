@@ -285,8 +285,9 @@ def publish_roundtrip(spark, sf_dir):
 def _damaged_topic(spark, sf_dir):
     """Published messages of which some are cut off and some carry text for a number."""
     marketing = flows.marketing(spark, sf_dir)
-    tablet, click = F.col("device_type") == "Tablet", F.col("event_type") == "click"
-    cut = F.substring_index("value", '"channel"', 1).alias("value")
+    tablet = F.col("device_type").eqNullSafe("Tablet")
+    click = F.col("event_type").eqNullSafe("click")
+    cut = F.expr("left(value, length(value) - 1)").alias("value")
     topic = work_dir(spark, "damaged-topic")
     events.publish(marketing.where(~tablet & ~click), topic)
     events.publish(marketing.where(~tablet & click).withColumn("cost", F.lit("unknown")), topic)

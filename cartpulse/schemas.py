@@ -91,5 +91,6 @@ CAMPAIGNS = [
 ]
 DEVICES = ["Mobile", "Desktop", "Tablet"]
 TRAFFIC_SOURCES = ["Organic Search", "Paid Search", "Social Media", "Email", "Direct", "Referral"]
+MARKETING_CATEGORIES = ["Electronics", "Clothing", "Home & Garden", "Beauty", "Sports"]
 PRODUCT_CATEGORIES = ["Electronics", "Clothing", "Home & Garden", "Beauty", "Sports", "Toys"]
 DEFAULT_BUDGET = 75000

@@ -42,13 +42,14 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     """A session beside ``spark`` for stateful streams, with this library's settings.
 
     The number of state partitions is fixed for the life of a checkpoint and does
-    not adapt; by default there is one per core of the cluster.
+    not adapt, so it never follows from the cores of the moment: choose it for the size
+    the stream may reach. Without one, ``spark.sql.shuffle.partitions`` counts.
     """
     session = spark.newSession()
     for key, value in SETTINGS.items():
         if session.conf.isModifiable(key):
             session.conf.set(key, value)
-    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
     session.conf.set("spark.sql.shuffle.partitions", partitions)
     return session
 
@@ -62,7 +63,8 @@ def shared_base(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="cartpulse-")

@@ -26,8 +26,10 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: list[str], number: Column) -> Column:
+    """The value that ``number`` comes to, counting around; NULL for NULL."""
+    place = F.pmod(number, F.lit(len(values))).cast("int")
+    return F.get(F.array(*[F.lit(v) for v in values]), place)
 
 
 def _renamed(kind: Column, names: dict[str, str]) -> Column:
@@ -52,7 +54,7 @@ def marketing_events(table: DataFrame) -> DataFrame:
     """Impressions, clicks and purchases; a click and a purchase name the event
     before them as the one they follow."""
     kind = F.col("event_type")
-    campaign = _k() % 5
+    campaign = _k()
     previous = (F.col("event_id") - 1).cast("string")
     amount = _amount()
     return table.select(
@@ -63,10 +65,10 @@ def marketing_events(table: DataFrame) -> DataFrame:
         _pick([c[1] for c in schemas.CAMPAIGNS], campaign).alias("campaign_name"),
         _pick([c[2] for c in schemas.CAMPAIGNS], campaign).alias("channel"),
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("user_id"),
-        _pick(schemas.DEVICES, F.col("user_id") % 3).alias("device_type"),
+        _pick(schemas.DEVICES, F.col("user_id")).alias("device_type"),
         F.when(kind == "click", previous).alias("impression_id"),
         F.when(kind == "purchase", previous).alias("click_id"),
-        F.when(kind == "purchase", _pick(schemas.PRODUCT_CATEGORIES[:5], F.col("event_id") % 5))
+        F.when(kind == "purchase", _pick(schemas.MARKETING_CATEGORIES, F.col("event_id")))
         .alias("product_category"),
         F.when(kind == "view", amount / 1024).when(kind == "click", amount / 256).alias("cost"),
         F.when(kind == "purchase", amount / 64).alias("revenue"),
@@ -79,11 +81,10 @@ def cart_events(table: DataFrame) -> DataFrame:
     user = F.col("user_id")
     time = F.col("ts").cast("timestamp_ntz")
     session = F.concat(F.lit("s-"), user.cast("string"), F.lit("-"), time.cast("date").cast("string"))
-    category = _pick(schemas.PRODUCT_CATEGORIES, F.col("event_id") % 6)
-    slug = F.replace(F.replace(F.lower(category), F.lit(" & "), F.lit("-")), F.lit(" "), F.lit("-"))
-    product = F.concat(slug, F.lit("-"), (F.col("event_id") % 50 + 1000).cast("string"))
+    category = _pick(schemas.PRODUCT_CATEGORIES, F.col("event_id"))
+    product = F.concat(F.lit("p-"), F.pmod("event_id", F.lit(50)).cast("string"))
     price = _amount() / 64
-    quantity = (_k() % 3 + 1).cast("int")
+    quantity = (F.pmod(_k(), F.lit(3)) + 1).cast("int")
     in_cart = kind.isin("signup", "error", "purchase")
     return table.select(
         _renamed(kind, CART_TYPES).alias("event_type"),
@@ -91,8 +92,8 @@ def cart_events(table: DataFrame) -> DataFrame:
         time.alias("event_time"),
         session.alias("session_id"),
         F.when(user % 2 == 0, F.concat(F.lit("user-"), user.cast("string"))).alias("user_id"),
-        _pick(schemas.DEVICES, user % 3).alias("device_type"),
-        _pick(schemas.TRAFFIC_SOURCES, _k() % 6).alias("traffic_source"),
+        _pick(schemas.DEVICES, user).alias("device_type"),
+        _pick(schemas.TRAFFIC_SOURCES, _k()).alias("traffic_source"),
         product.alias("product_id"),
         category.alias("product_category"),
         price.alias("product_price"),
@@ -145,6 +146,7 @@ def cart_snapshots(cart: DataFrame) -> DataFrame:
 
 
 def budgets(spark: SparkSession) -> DataFrame:
-    """The campaign budgets as a small dimension table."""
-    rows = [(campaign, budget) for campaign, _, _, budget in schemas.CAMPAIGNS]
-    return spark.createDataFrame(rows, "campaign_id string, budget double")
+    """The campaign budgets as a small dimension table, whose size the planner knows."""
+    rows = ", ".join(f"('{campaign}', {float(budget)}D)"
+                     for campaign, _, _, budget in schemas.CAMPAIGNS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS budgets(campaign_id, budget)")

@@ -3,6 +3,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartpulse import schemas
 from cartpulse.operators import decisions, journeys
@@ -230,3 +231,40 @@ def test_attribution(spark):
            for r in journeys.attribution(copies).collect()}
     assert journeys.attribution(copies).count() == 2
     assert got == {"p1": ("c1", "i1", "A", 9.0), "p2": ("c2", None, None, 1.0)}
+
+
+def _shopping(spark, n, impression="i", click="c", purchase="p"):
+    """``n`` clicks on one impression and purchases, each after a click of its own or
+    after the one named."""
+    events = spark.range(n).selectExpr("id", "timestamp_ntz'2024-01-01 10:00:00' AS at")
+    def rows(kind, event, impression_id, click_id, revenue):
+        return events.selectExpr(
+            f"'{kind}' AS event_type", f"{event} AS event_id", "at AS event_time",
+            "'A' AS campaign_id", f"{impression_id} AS impression_id", f"{click_id} AS click_id",
+            f"{revenue} AS revenue")
+    return (rows("impression", "'i'", "NULL", "NULL", "NULL").limit(1)
+            .unionByName(rows("click", "concat('c', id)", impression, "NULL", "NULL"))
+            .unionByName(rows("purchase", purchase, "NULL", click, "1.0")))
+
+
+def test_purchases_without_an_id_keep_their_revenue(spark):
+    events = _shopping(spark, 500, impression="'i'", click="concat('c', id)", purchase="NULL")
+    got = journeys.attribution(events).agg(F.count("*"), F.count("impression_id"),
+                                           F.sum("revenue")).first()
+    assert tuple(got) == (500, 500, 500.0)
+
+
+@pytest.mark.parametrize("impression, click", [
+    ("'i'", "'c7'"), ("CAST(NULL AS STRING)", "concat('c', id)"), ("'i'", "concat('c', id)")])
+def test_hot_and_missing_links_share_the_load(spark, impression, click):
+    """One hot click, no impression at all, one hot impression: the same rows either
+    way, and with a low bound they come out of several tasks."""
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    events = _shopping(spark, 3000, impression, click, "concat('p', id)")
+    whole = journeys.attribution(events)
+    split = journeys.attribution(events, hot_rows=100, parts=16)
+    assert sorted(whole.collect(), key=str) == sorted(split.collect(), key=str)
+    sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 3000

@@ -142,5 +142,7 @@ class Settings:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError):
         shared_base(Settings(spark_master="yarn"))
+    with pytest.raises(ValueError):
+        shared_base(Settings(spark_master="local-cluster[3,2,1024]"))
     assert shared_base(Settings(spark_master="yarn", spark_checkpoint_dir="hdfs:///c/")) == "hdfs:///c"
     assert shared_base(Settings(spark_master="local[2]")).startswith(tempfile.gettempdir())
