@@ -125,17 +125,21 @@ def growth_segments(funnel: DataFrame, k: int = 3) -> DataFrame:
 
 
 def source_effectiveness(funnel: DataFrame) -> DataFrame:
-    """Purchase rate and order value per traffic source, marking the extremes."""
+    """Purchase rate and order value per traffic source, with each one's rank by rate
+    and the extremes marked. The ranking reads one number per traffic source."""
     totals = _funnel_totals(funnel, ["traffic_source"])
     rate, value = F.col("cart_to_purchase_rate"), F.col("average_order_value")
-    extremes = _overall(totals, best=F.max(rate), worst=F.min(rate), value=F.max(value))
+    extremes = _overall(totals, best=F.max(rate), worst=F.min(rate), value=F.max(value),
+                        rates=F.collect_list(rate))
+    better = F.when(rate.isNull(), F.size("extremes.rates")).otherwise(
+        F.size(F.filter("extremes.rates", lambda other: other > rate)))
     return totals.withColumn("extremes", extremes).select(
         "traffic_source", "add_to_carts", "purchases", "cart_to_purchase_rate",
-        "average_order_value",
+        "average_order_value", (better + 1).cast("long").alias("rate_rank"),
         (rate == F.col("extremes.best")).alias("is_highest_converting"),
         (rate == F.col("extremes.worst")).alias("is_lowest_converting"),
         (value == F.col("extremes.value")).alias("is_highest_order_value"),
-    ).orderBy(F.desc("cart_to_purchase_rate"))
+    ).orderBy("rate_rank", "traffic_source")
 
 
 def category_insights(funnel: DataFrame) -> DataFrame:
@@ -143,7 +147,7 @@ def category_insights(funnel: DataFrame) -> DataFrame:
     return _funnel_totals(funnel, ["product_category"]).select(
         "product_category", "add_to_carts", "purchases", "abandonment_rate",
         "view_to_cart_rate", "cart_to_purchase_rate", "average_order_value",
-    ).orderBy(F.desc("abandonment_rate"))
+    ).orderBy(F.desc("abandonment_rate"), "product_category")
 
 
 def device_gap(funnel: DataFrame, baseline: str = "Desktop") -> DataFrame:

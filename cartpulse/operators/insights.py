@@ -49,7 +49,8 @@ def cart_conversion_insights(funnel: DataFrame) -> DataFrame:
     """Device and source metrics with a recommendation and the revenue it could add."""
     device, source = F.col("device_type"), F.col("traffic_source")
     rate, order_value = F.col("cart_to_purchase_rate"), F.col("average_order_value")
-    return device_source_metrics(funnel).orderBy("device_type", F.desc("average_order_value")).select(
+    return device_source_metrics(funnel).orderBy(
+        "device_type", F.desc("average_order_value"), "traffic_source").select(
         *DEVICE_SOURCE_KEYS, "page_views", "add_to_carts", "purchases",
         F.round(rate, 2).alias("cart_to_purchase_rate"),
         F.round(order_value, 2).alias("average_order_value"),
@@ -71,7 +72,7 @@ def campaign_board(performance: DataFrame) -> DataFrame:
         F.round("roi", 1).alias("roi"),
         F.round("conversion_rate", 2).alias("conversion_rate"),
         "impressions", "clicks", "purchases",
-    ).orderBy(F.desc("roi"))
+    ).orderBy(F.desc("roi"), "campaign_name", "channel")
 
 
 def funnel_board(funnel: DataFrame) -> DataFrame:
@@ -84,21 +85,21 @@ def funnel_board(funnel: DataFrame) -> DataFrame:
         F.round(F.avg("view_to_cart_rate"), 2).alias("view_to_cart_rate"),
         F.round(F.avg("cart_to_purchase_rate"), 2).alias("cart_to_purchase_rate"),
         F.round(order_value, 2).alias("average_order_value"),
-    ).orderBy(F.desc("average_order_value"))
+    ).orderBy(F.desc("average_order_value"), *DEVICE_SOURCE_KEYS)
 
 
 def campaign_snapshot_board(latest: DataFrame) -> DataFrame:
     return latest.select(
         "campaign_name", "channel", "spend_to_date", "revenue", "roas", "roi",
         "impressions", "clicks", "purchases",
-    ).orderBy(F.desc("roi"))
+    ).orderBy(F.desc("roi"), "campaign_name", "channel")
 
 
 def cart_snapshot_board(latest: DataFrame) -> DataFrame:
     return latest.select(
         *DEVICE_SOURCE_KEYS, "page_views", "add_to_carts", "purchases", "revenue",
         "cart_to_purchase_rate",
-    ).orderBy(F.desc("revenue"))
+    ).orderBy(F.desc("revenue"), *DEVICE_SOURCE_KEYS)
 
 
 def sample_events(events: DataFrame, n: int = 3, order_by: list[str] | None = None) -> DataFrame:

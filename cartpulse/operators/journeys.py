@@ -40,15 +40,17 @@ def attribution(events: DataFrame, click_minutes: int = 30, purchase_minutes: in
 
     def linked(rows: DataFrame, link: str, targets: DataFrame, target: str,
                how: str) -> DataFrame:
-        counts = rows.where(F.col(link).isNotNull()).groupBy(F.col(link).alias("hot")).count()
-        hot = F.broadcast(counts.where(F.col("count") > hot_rows).select("hot"))
+        counts = rows.where(F.col(link).isNotNull()).groupBy(F.col(link).alias("id")).count()
+        hot = counts.where(F.col("count") > hot_rows).agg(F.collect_list("id")).scalar()
+
+        def is_hot(name: str):
+            return F.coalesce(F.array_contains(hot, F.col(name)), F.lit(False))
+
         dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int")
-        ours = rows.join(hot, F.col(link) == F.col("hot"), "left").withColumn(
-            "part", F.when(F.col("hot").isNotNull() | F.col(link).isNull(), dealt)
-            .otherwise(0)).drop("hot")
-        every = F.sequence(F.lit(0), F.when(F.col("hot").isNotNull(), parts - 1).otherwise(0))
-        theirs = targets.join(hot, F.col(target) == F.col("hot"), "left").withColumn(
-            "its_part", F.explode(every)).drop("hot")
+        ours = rows.withColumn(
+            "part", F.when(is_hot(link) | F.col(link).isNull(), dealt).otherwise(0))
+        theirs = targets.withColumn("its_part", F.explode(F.sequence(
+            F.lit(0), F.when(is_hot(target), parts - 1).otherwise(0))))
         return ours.join(
             theirs, (F.col(link) == F.col(target)) & (F.col("part") == F.col("its_part")),
             how).drop("part", "its_part")

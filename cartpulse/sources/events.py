@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,8 @@ def parse_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
 
     Missing keys become NULL and unknown keys are ignored. A line that is no
     JSON object, or has a field that does not convert, keeps its text in
-    ``_corrupt_record``; `good_rows` and `corrupt_rows` tell the two apart.
+    ``_corrupt_record``; `good_rows` and `corrupt_rows` tell the two apart. NULL and
+    blank lines give no row; `blank_rows` has them, so that the three add up to the lines.
     """
     wire = T.StructType(
         [T.StructField(schemas.WIRE_NAMES.get(f.name, f.name), f.dataType) for f in schema]
@@ -58,12 +59,21 @@ def parse_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
     # Unnesting a one-element array keeps later filters above the decoder. A plain
     # projection would be repeated inside them and decode every line twice.
     once = F.inline(F.array(F.struct(decoded.alias("row"))))
-    rows = lines.where(F.trim(value) != "").select(value.alias("value"), once)
+    rows = lines.where(~_is_blank()).select(value.alias("value"), once)
     columns = [F.col("row")[schemas.WIRE_NAMES.get(f.name, f.name)].alias(f.name) for f in schema]
     corrupt = F.when(F.col("row").isNull(), F.col("value")).otherwise(F.col("row")[CORRUPT])
     return rows.select(*columns, corrupt.alias(CORRUPT))
 
 
+def _is_blank() -> Column:
+    return F.trim(F.coalesce(F.col("value").cast("string"), F.lit(""))) == ""
+
+
+def blank_rows(lines: DataFrame) -> DataFrame:
+    """The raw lines that hold nothing and so are neither good nor corrupt."""
+    return lines.where(_is_blank())
+
+
 def good_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 

@@ -105,6 +105,8 @@ def test_sources_categories_devices(spark):
                decisions.source_effectiveness(funnel(spark)).collect()}
     assert sources["Direct"].is_highest_converting and sources["Email"].is_lowest_converting
     assert sources["Email"].is_highest_order_value
+    assert sources["Direct"].rate_rank == 1
+    assert max(r.rate_rank for r in sources.values()) <= len(sources)
     categories = decisions.category_insights(funnel(spark)).collect()
     assert [(r.product_category, round(r.abandonment_rate, 2)) for r in categories] == [
         ("Toys", 66.67), ("Beauty", 33.33)]

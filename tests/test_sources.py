@@ -146,3 +146,13 @@ def test_a_cluster_must_name_its_shared_folder():
         shared_base(Settings(spark_master="local-cluster[3,2,1024]"))
     assert shared_base(Settings(spark_master="yarn", spark_checkpoint_dir="hdfs:///c/")) == "hdfs:///c"
     assert shared_base(Settings(spark_master="local[2]")).startswith(tempfile.gettempdir())
+
+
+def test_blank_and_missing_messages_are_counted(spark):
+    good = '{"event_type": "click", "event_id": "1"}'
+    lines = spark.createDataFrame([(good,), ("",), ("  ",), (None,)], "value string")
+    parsed = events.parse_json(lines, schemas.MARKETING_EVENTS)
+    assert events.good_rows(parsed).count() == 1
+    assert events.corrupt_rows(parsed).count() == 0
+    assert sorted("none" if r[0] is None else r[0] for r in events.blank_rows(lines).collect()) == [
+        "", "  ", "none"]
