@@ -85,12 +85,20 @@ def nearest_lists(node: np.ndarray, ids: np.ndarray, sims: np.ndarray,
 def _merged(lists: DataFrame, most: int) -> DataFrame:
     """All lists of a node as one, of its ``most`` nearest ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for table in whole_runs(batches, "node", 200_000):
-            yield nearest_lists(*_flat(table), most)
+            flat = _flat(table)
+            if held is not None and held.column("node")[-1].as_py() == flat[0][0]:
+                # the lists of a hub come in parts
+                before = _flat(pa.Table.from_batches([held]))
+                flat = tuple(map(np.concatenate, zip(before, flat)))
+            elif held is not None:
+                yield held
+            held = nearest_lists(*flat, most)
+        if held is not None:
+            yield held
 
-    once = lists.repartition("node").sortWithinPartitions("node").mapInArrow(run, _LIST)
-    # the lists of a hub may have come in parts
-    return once
+    return lists.repartition("node").sortWithinPartitions("node").mapInArrow(run, _LIST)
 
 
 def _leaf_lists(proposed: int):
@@ -189,12 +197,16 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, trees: int =
     return graph
 
 
-def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if len(batch):
-            one, two = _scaled(_codes(batch.column("query"))), _scaled(_codes(batch.column("code")))
-            yield nearest_lists(batch.column("node").to_numpy(), batch.column("other").to_numpy(),
-                                (one * two).sum(axis=1), BEAM)
+def _scores(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                one = _scaled(_codes(batch.column("query")))
+                two = _scaled(_codes(batch.column("code")))
+                yield nearest_lists(batch.column("node").to_numpy(),
+                                    batch.column("other").to_numpy(),
+                                    (one * two).sum(axis=1), most)
+    return run
 
 
 def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, hops: int = HOPS,
@@ -213,7 +225,8 @@ def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, hops: int = HO
                .select("node", F.explode("others").alias("other")).distinct())
         new = written(met.join(seen, ["node", "other"], "left_anti"), "nn-met")
         scored = new.join(codes.withColumnRenamed("node", "other"), "other") \
-            .join(asked, "node").select("node", "other", "query", "code").mapInArrow(_scores, _LIST)
+            .join(asked, "node").select("node", "other", "query", "code").mapInArrow(
+                _scores(beam), _LIST)
         best = written(_merged(scored if best is None else best.unionByName(scored), beam),
                        "nn-best")
         if hop == hops:

@@ -73,4 +73,21 @@ ORACLES = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> largest
                     THEN largest END AS refers_to
         FROM groups""",
+    # all pairs; the index finds the same links on the given tables
+    "op7_pivot_duplicates": """
+        WITH RECURSIVE valid AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL
+              AND isfinite(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]))
+              AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM valid a
+            JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+        reached(vec_id, other) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+               min(other) AS component_id, min(other) = vec_id AS kept
+        FROM reached GROUP BY vec_id""",
 }

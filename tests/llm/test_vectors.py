@@ -3,6 +3,8 @@
 import numpy as np
 
 from cartpulse.llm import nn_descent, pivots
+from cartpulse.llm.queries import ORACLES, QUERIES
+from oracle_check import connect, differences
 
 BAD = [None, [], [0.0] * 8, [1.0] * 7 + [None], [1.0] * 7 + [float("nan")],
        [1.0] * 7 + [float("inf")]]
@@ -96,3 +98,16 @@ def test_duplicate_edge_tables(spark):
     assert sorted((r.vec_id or 0, r.n_links or 0, r.component_id or 0) for r in found) == [
         (0, 0, 0), (1, 1, 1), (1, 1, 1), (2, 1, 1)]
     assert pivots.near_duplicates(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_duplicates_equal_their_sql(spark, tmp_path):
+    con = connect("/root/testdata/sf0.01")
+    assert differences(QUERIES["op7_pivot_duplicates"](spark, "/root/testdata/sf0.01"), con,
+                       ORACLES["op7_pivot_duplicates"]) == []
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(clustered(200, 6))]
+    frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con.execute("DROP VIEW embeddings")
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    found = QUERIES["op7_pivot_duplicates"](spark, str(tmp_path))
+    assert differences(found, con, ORACLES["op7_pivot_duplicates"]) == []
+    assert found.where("n_links > 0").count() > 50
