@@ -230,16 +230,34 @@ def _stream_snapshots(kind, keys, source, spark, sf_dir):
 DELIVERIES = ["2024-01-11", "2024-01-21"]
 
 
-def _campaign_changelog(spark, sf_dir):
+def _campaign_changelog_path(spark, sf_dir):
     return flows.changelog_by_day(
         spark, "campaign", flows.marketing(spark, sf_dir), DELIVERIES,
         rollups.campaign_hourly, rollups.campaign_performance, CAMPAIGN_KEYS)
 
 
+def _campaign_changelog(spark, sf_dir):
+    return serving.read_changelog(spark, _campaign_changelog_path(spark, sf_dir))
+
+
+def changelog_compacted(spark, sf_dir):
+    """Current rows from the folded part of the changelog and its newest batch."""
+    path = _campaign_changelog_path(spark, sf_dir)
+    serving.compact_changelog(spark, path, CAMPAIGN_KEYS)
+    return serving.read_latest(spark, path, CAMPAIGN_KEYS)
+
+
+def compacted_versions(spark, sf_dir):
+    """What folding left of every version of every row."""
+    path = _campaign_changelog_path(spark, sf_dir)
+    serving.compact_changelog(spark, path, CAMPAIGN_KEYS)
+    return serving.changelog_skew(serving.read_changelog(spark, path), CAMPAIGN_KEYS)
+
+
 def _funnel_changelog(spark, sf_dir):
-    return flows.changelog_by_day(
+    return serving.read_changelog(spark, flows.changelog_by_day(
         spark, "funnel", flows.cart(spark, sf_dir), DELIVERIES,
-        rollups.cart_hourly, rollups.cart_funnel, FUNNEL_KEYS)
+        rollups.cart_hourly, rollups.cart_funnel, FUNNEL_KEYS))
 
 
 def changelog_overcount(spark, sf_dir):
@@ -337,16 +355,14 @@ def serving_roundtrip(spark, sf_dir):
 
 
 def upsert_roundtrip(spark, sf_dir):
-    """Funnel rows of the first delivery, then upserted with the whole table's rows of
-    every segment that the second delivery touched."""
+    """Funnel rows of the first delivery; then those of mobile segments are brought up to
+    date, and all others stay as they were."""
     path = work_dir(spark, "funnel-current")
     cart = flows.cart(spark, sf_dir)
-    first, second = flows.split_by_time(cart, "event_time", [SECOND_DELIVERY])
-    serving.upsert(rollups.cart_funnel_from_events(first), path, FUNNEL_KEYS)
-    touched = second.select(*FUNNEL_KEYS).distinct().alias("t")
-    updates = rollups.cart_funnel_from_events(cart).alias("u").join(
-        touched, [F.col(f"u.{k}").eqNullSafe(F.col(f"t.{k}")) for k in FUNNEL_KEYS], "left_semi")
-    serving.upsert(updates, path, FUNNEL_KEYS)
+    first, _ = flows.split_by_time(cart, "event_time", [SECOND_DELIVERY])
+    mobile = cart.where(F.col("device_type") == "Mobile")
+    serving.upsert(rollups.cart_funnel_from_events(first), path, FUNNEL_KEYS, buckets=16)
+    serving.upsert(rollups.cart_funnel_from_events(mobile), path, FUNNEL_KEYS)
     return serving.read_current(spark, path)
 
 
@@ -477,6 +493,8 @@ QUERIES: dict[str, Query] = {
         _stream_snapshots, "cart", DEVICE_SOURCE_KEYS, flows.cart_snapshots),
     "changelog_overcount": changelog_overcount,
     "changelog_skew": changelog_skew,
+    "changelog_compacted": changelog_compacted,
+    "compacted_versions": compacted_versions,
     "campaign_board_over_changelog": campaign_board_over_changelog,
     "campaign_insights_over_changelog": campaign_insights_over_changelog,
     "funnel_board_over_changelog": funnel_board_over_changelog,

@@ -1,8 +1,18 @@
-"""Serving tables, the append-only changelog behind them, and upserts."""
+"""Serving tables, the append-only changelog behind them, and upserts.
+
+Changelogs and upserted tables are folders of Parquet with a log of commits beside them.
+A write goes to a folder of its own and counts once its commit is appended, as one file;
+readers see committed folders only, and nothing that a reader may hold is overwritten.
+The log has a record per write and is read on the driver. One writer at a time.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,22 +53,121 @@ def read_serving(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.read.schema(SERVING_TABLES[name][0]).parquet(path)
 
 
+# --- commits -------------------------------------------------------------------
+
+_COMMIT = ("number long, kind string, first long, last long, folder string, columns string")
+
+
+def _log(spark: SparkSession, path: str) -> list[Row]:
+    """The commits below ``path``, oldest first; none before the first write."""
+    try:
+        records = spark.read.schema(_COMMIT).json(f"{path}/commits").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(records, key=lambda r: (r.number, r.folder, r.last))
+
+
+def _folder(label: str) -> str:
+    return f"{label}-{uuid.uuid4().hex}"
+
+
+def _commit(df: DataFrame, path: str, log: list[Row],
+            entries: list[tuple[str, int, int, str]]) -> None:
+    """Make ``entries`` (kind, first, last, folder), written with the columns of ``df``,
+    visible at once."""
+    number, columns = (log[-1].number if log else 0) + 1, df.schema.json()
+    records = [(number, *entry, columns) for entry in entries]
+    df.sparkSession.createDataFrame(records, _COMMIT).coalesce(1).write.mode("append").json(
+        f"{path}/commits")
+
+
+def _committed_rows(spark: SparkSession, path: str, records: list[Row], folders: list[str],
+                    schema: T.StructType | None) -> DataFrame:
+    """Rows of ``folders``, in the columns last written or, before that, ``schema``."""
+    if records:
+        schema = T.StructType.fromJson(json.loads(records[-1].columns))
+    if schema is None:
+        raise ValueError(f"nothing is committed below {path}: give the schema of its rows")
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{folder}" for folder in folders])
+
+
 # --- changelog: every version of every row ----------------------------------
 
-def append_changelog(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add one micro-batch of row versions. A replayed batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
+def _folded_through(log: list[Row]) -> int:
+    return max((r.last for r in log if r.kind == "versions"), default=-1)
 
 
-def read_changelog(spark: SparkSession, path: str) -> DataFrame:
-    changelog = spark.read.parquet(path)
-    return changelog.withColumn(BATCH_ID, F.col(BATCH_ID).cast("long"))
+def _batches(log: list[Row]) -> list[Row]:
+    """The newest write of every batch that is not folded."""
+    newest = {r.last: r for r in log if r.kind == "batch"}
+    return [r for batch, r in sorted(newest.items()) if batch > _folded_through(log)]
 
 
-def latest_version(changelog: DataFrame, keys: list[str], version: str = BATCH_ID) -> DataFrame:
-    """The current row of each key. Versions are combined before the shuffle,
-    so a key with very many versions costs one row per task."""
-    values = [c for c in changelog.columns if c not in keys and c != version]
+def append_changelog(df: DataFrame, path: str, batch_id: int) -> None:
+    """Add one micro-batch of row versions. A replayed batch replaces itself."""
+    log = _log(df.sparkSession, path)
+    if batch_id <= _folded_through(log):
+        raise ValueError(f"batch {batch_id} of {path} is folded: a stream that starts over "
+                         "needs a changelog of its own")
+    rows = df.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+    folder = _folder(f"batch-{batch_id}")
+    rows.write.parquet(f"{path}/{folder}")
+    _commit(rows, path, log, [("batch", batch_id, batch_id, folder)])
+
+
+def read_changelog(spark: SparkSession, path: str,
+                   schema: T.StructType | None = None) -> DataFrame:
+    """All committed versions of all rows, with the ``batch_id`` of each. Before the first
+    batch there are none, and ``schema`` (with ``batch_id``) says of which columns."""
+    log = _log(spark, path)
+    parts = [r for r in log if r.kind == "versions"] + _batches(log)
+    return _committed_rows(spark, path, log, [r.folder for r in parts], schema)
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str],
+                schema: T.StructType | None = None) -> DataFrame:
+    """The current row of each key, from what the last folding left and later batches."""
+    log = _log(spark, path)
+    parts = [r for r in log if r.kind == "current"][-1:] + _batches(log)
+    return latest_version(
+        _committed_rows(spark, path, log, [r.folder for r in parts], schema), keys)
+
+
+def compact_changelog(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Fold all batches but the newest, which its stream may yet replay.
+
+    Their versions move to one folder, which `read_changelog` reads in place of theirs;
+    batches folded earlier are not touched. The current rows so far are written beside
+    them, so that `read_latest` reads no older versions. The folders of folded batches
+    are no longer read by anyone who starts then, and can be left to retention.
+    """
+    log = _log(spark, path)
+    folding = _batches(log)[:-1]
+    if not folding:
+        return
+    first, last = folding[0].last, folding[-1].last
+    versions = _committed_rows(spark, path, log, [r.folder for r in folding], None)
+    before = [r.folder for r in log if r.kind == "current"][-1:]
+    current = latest_version(
+        _committed_rows(spark, path, log, before + [r.folder for r in folding], None),
+        keys, kept=True).select(*versions.columns)
+    entries = []
+    for kind, rows in (("versions", versions), ("current", current)):
+        folder = _folder(f"{kind}-{last}")
+        rows.hint("rebalance").write.parquet(f"{path}/{folder}")
+        entries.append((kind, first, last, folder))
+    _commit(versions, path, log, entries)
+
+
+def latest_version(changelog: DataFrame, keys: list[str], version: str = BATCH_ID,
+                   kept: bool = False) -> DataFrame:
+    """The current row of each key, with its version if that is ``kept``. Versions are
+    combined before the shuffle, so a key with very many versions costs one row per task."""
+    values = [c for c in changelog.columns if c not in keys and (kept or c != version)]
     newest = F.max_by(F.struct(*values), F.col(version)).alias("newest")
     return changelog.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
@@ -76,34 +185,47 @@ def changelog_skew(changelog: DataFrame, keys: list[str]) -> DataFrame:
 
 # --- upsert: keep only the current row ---------------------------------------
 
-def _committed(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the completely written snapshots below ``path``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot=*/_SUCCESS")) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+BUCKET = "_bucket"
+
+
+def _buckets(log: list[Row]) -> dict[int, str]:
+    """The folder that holds the current rows of each bucket."""
+    return {r.last: f"{r.folder}/{BUCKET}={r.last}" for r in log}
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete snapshot written by `upsert`."""
-    return spark.read.parquet(f"{path}/snapshot={_committed(spark, path)[-1]}")
+def read_current(spark: SparkSession, path: str,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """All rows as the last committed `upsert` left them; before the first one there are
+    none, in the columns of ``schema``."""
+    log = _log(spark, path)
+    return _committed_rows(spark, path, log, list(_buckets(log).values()), schema)
 
 
-def upsert(updates: DataFrame, path: str, keys: list[str]) -> None:
+def upsert(updates: DataFrame, path: str, keys: list[str], buckets: int = 64) -> None:
     """Replace the rows of ``keys`` found in ``updates`` and keep all others.
 
-    Parquet has no merge, so the result goes to a new snapshot folder. Readers
-    see it once it is complete; a failed write leaves the previous one in place.
-    ``updates`` holds one row per key (see `latest_version`).
+    Rows lie in ``buckets`` by a hash of their keys (the first write fixes how many;
+    choose them so that one holds a few hundred megabytes). Only the buckets that
+    ``updates`` has rows of are written anew; readers see all of them at once.
+    ``updates`` holds one row per key (see `latest_version`); of several, one counts.
     """
     spark = updates.sparkSession
-    committed = _committed(spark, path)
-    merged = updates
-    if committed:
-        current = spark.read.parquet(f"{path}/snapshot={committed[-1]}")
-        both = current.withColumn("_incoming", F.lit(0)).unionByName(
-            updates.withColumn("_incoming", F.lit(1)))
-        merged = latest_version(both, keys, version="_incoming").select(*current.columns)
-    number = committed[-1] + 1 if committed else 0
-    merged.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+    log = _log(spark, path)
+    buckets = log[0].first if log else buckets
+    staged_path, folder = f"{path}/{_folder('updates')}", _folder("rows")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    updates.withColumn(BUCKET, bucket).write.parquet(staged_path)
+    staged = spark.read.schema(T.StructType(
+        [*updates.schema, T.StructField(BUCKET, T.IntegerType())])).parquet(staged_path)
+    touched = {r[0] for r in staged.select(BUCKET).distinct().collect()}  # at most ``buckets``
+    if not touched and log:
+        return
+    both = staged.drop(BUCKET).withColumn("_incoming", F.lit(1))
+    held = [place for number, place in _buckets(log).items() if number in touched]
+    if held:
+        current = _committed_rows(spark, path, log, held, None).select(*updates.columns)
+        both = both.unionByName(current.withColumn("_incoming", F.lit(0)))
+    merged = latest_version(both, keys, version="_incoming").select(*updates.columns)
+    merged.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET)).write.partitionBy(
+        BUCKET).parquet(f"{path}/{folder}")
+    _commit(updates, path, log, [("bucket", buckets, number, folder) for number in touched])

@@ -25,12 +25,15 @@ ROLLUPS = {
     "cart": (rollups.cart_hourly, rollups.cart_funnel, FUNNEL_KEYS),
 }
 
-# Events without a time are filed under this day; it only names their folder.
-NO_DAY = "1900-01-01"
+# Events without a time, or with one outside these days, are filed under one day; it only
+# names their folder, so that broken clocks cannot make folders without end.
+NO_DAY, FIRST_DAY, LAST_DAY = "1900-01-01", "2000-01-01", "2099-12-31"
 
 
 def _by_day(df: DataFrame, time: str) -> DataFrame:
-    return df.withColumn("day", F.coalesce(F.col(time).cast("date"), F.lit(NO_DAY).cast("date")))
+    day, other = F.col(time).cast("date"), F.lit(NO_DAY).cast("date")
+    usual = day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))
+    return df.withColumn("day", F.when(usual, day).otherwise(other))
 
 
 def start_by_day(events: DataFrame, kind: str, base: str, checkpoint: str,
@@ -47,14 +50,18 @@ def start_by_day(events: DataFrame, kind: str, base: str, checkpoint: str,
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        _by_day(batch, "event_time").write.mode("overwrite").partitionBy("day").parquet(
-            f"{stored}/{BATCH_ID}={batch_id}")
-        history = spark.read.schema(columns).parquet(stored).where(F.col(BATCH_ID) <= batch_id)
+        by_day = _by_day(batch, "event_time").withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+        by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "day", BATCH_ID).parquet(stored)
+        arrived_days = [r.day for r in by_day.select("day").distinct().collect()]
+        if not arrived_days:
+            return
+        # Only the folders of these days are listed, whatever has been stored before.
+        # They are calendar days, at most 36,526.
+        history = spark.read.schema(columns).option("basePath", stored).parquet(
+            *[f"{stored}/day={day}" for day in arrived_days]).where(F.col(BATCH_ID) <= batch_id)
         arrived = history.where(F.col(BATCH_ID) == batch_id)
-        # A filter on the folder column: the folders of all other days are not read.
-        # The set holds calendar days, at most 366 a year.
-        arrived_days = arrived.agg(F.collect_set("day")).scalar()
-        hours = hourly(history.where(F.array_contains(arrived_days, F.col("day"))))
+        hours = hourly(history)
         _by_day(hours, "hour").write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(hours_path)
         touched = arrived.select(*keys).distinct().alias("t")

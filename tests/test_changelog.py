@@ -1,6 +1,8 @@
+import glob
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartpulse.sources import serving
@@ -52,10 +54,85 @@ def test_upsert(spark):
     assert got == {"a": 1, "b": 2, "c": 2, None: 2}
 
 
+def test_unfinished_batch_is_not_read(spark):
+    path = fresh()
+    serving.append_changelog(rows(spark, ("a", 1), ("b", 1)), path, 0)
+    # a job that died between its rows and their commit
+    rows(spark, ("a", 2)).withColumn("batch_id", F.lit(1).cast("long")).write.parquet(
+        f"{path}/batch-1-dead")
+    assert serving.read_changelog(spark, path).count() == 2
+    serving.append_changelog(rows(spark, ("a", 3)), path, 1)
+    latest = serving.read_latest(spark, path, ["k"]).collect()
+    assert {r.k: r.v for r in latest} == {"a": 3, "b": 1}
+
+
+def test_changelog_before_its_first_batch(spark):
+    schema = rows(spark, ("a", 1)).schema.add("batch_id", "long")
+    assert serving.read_changelog(spark, fresh(), schema).count() == 0
+    assert serving.read_latest(spark, fresh(), ["k"], schema).columns == ["k", "v"]
+    with pytest.raises(ValueError, match="schema"):
+        serving.read_changelog(spark, fresh())
+
+
+def test_compaction_keeps_versions_and_current_rows(spark):
+    path = fresh()
+    serving.append_changelog(rows(spark, ("a", 0), ("b", 0), (None, 0)), path, 0)
+    serving.compact_changelog(spark, path, ["k"])   # the newest batch is left alone
+    assert not glob.glob(f"{path}/versions-*")
+    for batch in (1, 2, 3):
+        serving.append_changelog(rows(spark, ("a", batch)), path, batch)
+    serving.compact_changelog(spark, path, ["k"])
+    serving.append_changelog(rows(spark, (None, 4)), path, 4)
+    serving.append_changelog(rows(spark, ("a", 5)), path, 5)
+    folded = glob.glob(f"{path}/versions-2-*/*.parquet")
+    times = [os.path.getmtime(f) for f in folded]
+    serving.compact_changelog(spark, path, ["k"])
+    assert [os.path.getmtime(f) for f in folded] == times   # spans are folded once
+    versions = serving.read_changelog(spark, path)
+    assert sorted((r.batch_id, r.v) for r in versions.where("k = 'a'").collect()) == [
+        (0, 0), (1, 1), (2, 2), (3, 3), (5, 5)]
+    assert versions.count() == 8
+    latest = serving.read_latest(spark, path, ["k"])
+    assert latest.columns == ["k", "v"]
+    assert {r.k: r.v for r in latest.collect()} == {"a": 5, "b": 0, None: 4}
+    # what is folded is read from few folders, whatever the number of batches was
+    assert len({os.path.dirname(f) for f in latest.inputFiles()}) == 2
+
+
+def test_folded_batches_are_closed(spark):
+    path = fresh()
+    for batch in (0, 1):
+        serving.append_changelog(rows(spark, ("a", batch)), path, batch)
+    serving.compact_changelog(spark, path, ["k"])
+    serving.append_changelog(rows(spark, ("a", 7)), path, 1)   # the newest may be replayed
+    assert serving.read_latest(spark, path, ["k"]).first().v == 7
+    with pytest.raises(ValueError, match="folded"):
+        serving.append_changelog(rows(spark, ("a", 9)), path, 0)
+
+
 def test_upsert_survives_a_broken_write(spark):
     path = fresh()
     serving.upsert(rows(spark, ("a", 1)), path, ["k"])
-    os.makedirs(f"{path}/snapshot=1")  # left behind by a job that died
+    rows(spark, ("a", 9)).write.parquet(f"{path}/rows-dead/_bucket=0")  # never committed
     assert serving.read_current(spark, path).first().v == 1
     serving.upsert(rows(spark, ("a", 2)), path, ["k"])
     assert serving.read_current(spark, path).first().v == 2
+
+
+def test_upsert_leaves_untouched_buckets_alone(spark):
+    path = fresh()
+    many = rows(spark, *[(f"k{i}", 0) for i in range(200)])
+    serving.upsert(many, path, ["k"], buckets=8)
+    before = set(serving.read_current(spark, path).inputFiles())
+    serving.upsert(rows(spark, ("k7", 1), ("new", 1)), path, ["k"])
+    after = set(serving.read_current(spark, path).inputFiles())
+    assert len(before & after) >= 6
+    got = {r.k: r.v for r in serving.read_current(spark, path).collect()}
+    assert got == {**{f"k{i}": 0 for i in range(200)}, "k7": 1, "new": 1}
+
+
+def test_first_upsert_keeps_one_row_per_key(spark):
+    path = fresh()
+    serving.upsert(rows(spark, ("a", 1), ("a", 1)), path, ["k"])
+    serving.upsert(rows(spark), path, ["k"])   # nothing to do
+    assert serving.read_current(spark, path).count() == 1
