@@ -55,7 +55,7 @@ def read_serving(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 # --- commits -------------------------------------------------------------------
 
-_COMMIT = ("number long, kind string, first long, last long, folder string, columns string")
+_COMMIT = "number long, kind string, first long, last long, folder string, columns string"
 
 
 def _log(spark: SparkSession, path: str) -> list[Row]:
@@ -78,9 +78,13 @@ def _commit(df: DataFrame, path: str, log: list[Row],
     """Make ``entries`` (kind, first, last, folder), written with the columns of ``df``,
     visible at once."""
     number, columns = (log[-1].number if log else 0) + 1, df.schema.json()
-    records = [(number, *entry, columns) for entry in entries]
-    df.sparkSession.createDataFrame(records, _COMMIT).coalesce(1).write.mode("append").json(
-        f"{path}/commits")
+    records = F.array(*[
+        F.struct(F.lit(number).alias("number"), F.lit(kind).alias("kind"),
+                 F.lit(first).alias("first"), F.lit(last).alias("last"),
+                 F.lit(folder).alias("folder"), F.lit(columns).alias("columns"))
+        for kind, first, last, folder in entries])
+    one = df.sparkSession.range(0, 1, 1, 1)
+    one.select(F.inline(records)).write.mode("append").json(f"{path}/commits")
 
 
 def _committed_rows(spark: SparkSession, path: str, records: list[Row], folders: list[str],
