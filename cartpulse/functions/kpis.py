@@ -38,8 +38,9 @@ def utc_instant(time: Column) -> Column:
 
 
 def utc_wall_clock(instant: Column) -> Column:
-    """The inverse of `utc_instant` for whole seconds."""
-    seconds = F.unix_seconds(instant).cast("decimal(18,6)")
+    """The inverse of `utc_instant`."""
+    micros = F.unix_micros(instant).cast("decimal(18,0)")
+    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
     return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), seconds)
 

@@ -17,6 +17,7 @@ from cartpulse.schemas import (
 from cartpulse.session import streaming_session, work_dir
 from cartpulse.sources import event_table, events, serving
 from cartpulse.streaming import days, quarantine
+from cartpulse.streaming import journeys as streaming_journeys
 from cartpulse.streaming import rollups as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,6 +216,17 @@ def stream_hourly_watermarked(spark, sf_dir):
             stream, "marketing", out, checkpoint, watermark=WATERMARK)).drop(serving.BATCH_ID)
 
 
+def stream_attribution(spark, sf_dir):
+    """Purchases up to four hours before the last event, of which all links are settled."""
+    marketing = flows.marketing(spark, sf_dir)
+    linked = flows.streamed(
+        spark, "stream-attribution", events.read_events, "marketing",
+        flows.split_by_time(marketing, "event_time", [SECOND_DELIVERY]),
+        streaming_journeys.start_attribution).drop(serving.BATCH_ID)
+    last = marketing.agg(F.max("event_time")).scalar()
+    return linked.where(F.col("bought_at") < last - F.expr("INTERVAL '4' HOUR"))
+
+
 def _stream_snapshots(kind, keys, source, spark, sf_dir):
     changelog = flows.streamed(
         spark, f"stream-{kind}-snapshots", events.read_snapshots, kind,
@@ -487,6 +499,7 @@ QUERIES: dict[str, Query] = {
         _stream_hourly, "marketing", CAMPAIGN_KEYS, flows.marketing),
     "stream_cart_hourly": partial(_stream_hourly, "cart", FUNNEL_KEYS, flows.cart),
     "stream_hourly_watermarked": stream_hourly_watermarked,
+    "stream_attribution": stream_attribution,
     "stream_campaign_snapshot_latest": partial(
         _stream_snapshots, "campaign", CAMPAIGN_KEYS, flows.campaign_snapshots),
     "stream_cart_snapshot_latest": partial(

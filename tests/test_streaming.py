@@ -9,11 +9,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from cartpulse import schemas
-from cartpulse.operators import rollups
+from cartpulse.operators import journeys, rollups
 from cartpulse.plans import flows
 from cartpulse.session import streaming_session
 from cartpulse.sources import events, serving
 from cartpulse.streaming import days, quarantine
+from cartpulse.streaming import journeys as streaming_journeys
 from cartpulse.streaming import rollups as streaming
 
 SF = "/root/testdata/sf0.001"
@@ -279,6 +280,39 @@ def test_batch_lost_midway_is_replayed(spark, monkeypatch, after_writing):
     assert changelog.select("batch_id").distinct().count() == 3
 
 
+def test_attribution_equals_batch(spark):
+    """With and without an impression, out of its time, a copy, no click, no id, no time."""
+    at = T0.replace(microsecond=5)
+    minute = timedelta(minutes=1)
+    names = ("event_id", "event_type", "event_time", "impression_id", "click_id", "revenue")
+    rows = [
+        ("i1", "impression", at, None, None, None), ("c1", "click", at + minute, "i1", None, None),
+        ("p1", "purchase", at + 2 * minute, None, "c1", 5.0),
+        ("p1", "purchase", at + 2 * minute, None, "c1", 5.0),
+        (None, "purchase", at + 2 * minute, None, "c1", 7.0),
+        ("c2", "click", at + minute, "i9", None, None),
+        ("p2", "purchase", at + 3 * minute, None, "c2", 1.0),
+        ("p3", "purchase", at + 90 * minute, None, "c2", 1.0),
+        ("c4", "click", at + minute, None, None, None),
+        ("p4", "purchase", at + 31 * minute, None, "c4", 1.0),
+        ("p5", "purchase", at, None, None, 1.0), ("p6", "purchase", None, None, "c1", 1.0),
+    ]
+    schema = schemas.MARKETING_EVENTS
+    full = spark.createDataFrame(
+        [tuple(dict(zip(names, r)).get(f.name) for f in schema) for r in rows], schema)
+    run = Run()
+    run.publish(full)
+    run.catch_up(spark, streaming_journeys.start_attribution)
+    later = spark.createDataFrame([tuple(
+        {"event_id": "z", "event_type": "impression", "event_time": at + 600 * minute}.get(f.name)
+        for f in schema)], schema)
+    run.publish(later)   # moves the watermark past all that was open
+    run.catch_up(spark, streaming_journeys.start_attribution)
+    got = serving.read_changelog(spark, run.out).drop("batch_id")
+    assert got.count() == 4
+    same(got, journeys.attribution(full))
+
+
 def test_quarantine_keeps_lines_unchanged(spark):
     run = Run()
     run.publish(marketing(spark, [("1", "impression", T0, "u")]))
