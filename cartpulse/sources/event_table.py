@@ -21,12 +21,16 @@ CART_TYPES = {
     "error": "checkout_start",
 }
 
+# Share of its cost that each campaign pays, so that returns differ between campaigns and
+# every band of advice occurs. Binary fractions keep sums exact.
+COST_SHARES = [1.0, 0.625, 0.4375, 0.296875, 0.25]
+
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(values: list[str], number: Column) -> Column:
+def _pick(values: list, number: Column) -> Column:
     """The value that ``number`` comes to, counting around; NULL for NULL."""
     place = F.pmod(number, F.lit(len(values))).cast("int")
     return F.get(F.array(*[F.lit(v) for v in values]), place)
@@ -57,6 +61,7 @@ def marketing_events(table: DataFrame) -> DataFrame:
     campaign = _k()
     previous = (F.col("event_id") - 1).cast("string")
     amount = _amount()
+    cost = amount * _pick(COST_SHARES, campaign)
     return table.select(
         _renamed(kind, MARKETING_TYPES).alias("event_type"),
         F.col("event_id").cast("string").alias("event_id"),
@@ -70,7 +75,7 @@ def marketing_events(table: DataFrame) -> DataFrame:
         F.when(kind == "purchase", previous).alias("click_id"),
         F.when(kind == "purchase", _pick(schemas.MARKETING_CATEGORIES, F.col("event_id")))
         .alias("product_category"),
-        F.when(kind == "view", amount / 1024).when(kind == "click", amount / 256).alias("cost"),
+        F.when(kind == "view", cost / 1024).when(kind == "click", cost / 256).alias("cost"),
         F.when(kind == "purchase", amount / 64).alias("revenue"),
     )
 
