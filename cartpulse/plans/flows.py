@@ -82,8 +82,8 @@ def streamed(spark: SparkSession, label: str, read: Callable[..., DataFrame], ki
 
 def changelog_by_day(spark: SparkSession, label: str, events_of_kind: DataFrame, days: list[str],
                      hourly: Callable[[DataFrame], DataFrame],
-                     rollup: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
-    """The changelog of a rollup after each of the deliveries cut at ``days``: a batch
+                     rollup: Callable[[DataFrame], DataFrame], keys: list[str]) -> str:
+    """The path of the changelog of a rollup after each delivery cut at ``days``: a batch
     appends a new version of exactly the keys it has events of.
 
     Only the delivered events are read; their hours are added to the stored ones.
@@ -99,4 +99,4 @@ def changelog_by_day(spark: SparkSession, label: str, events_of_kind: DataFrame,
             touched.alias("t"), [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys],
             "left_semi")
         serving.append_changelog(changed, path, batch_id)
-    return serving.read_changelog(spark, path)
+    return path

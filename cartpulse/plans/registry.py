@@ -242,18 +242,41 @@ def _stream_snapshots(kind, keys, source, spark, sf_dir):
 DELIVERIES = ["2024-01-11", "2024-01-21"]
 
 
-def _campaign_changelog(spark, sf_dir):
+def _campaign_changelog_path(spark, sf_dir):
     return flows.changelog_by_day(
         spark, "campaign", flows.marketing(spark, sf_dir), DELIVERIES,
         rollups.campaign_hourly, rollups.campaign_performance, CAMPAIGN_KEYS)
 
 
-def _funnel_changelog(spark, sf_dir):
+def _campaign_changelog(spark, sf_dir):
+    return serving.read_changelog(spark, _campaign_changelog_path(spark, sf_dir))
+
+
+def _funnel_changelog_path(spark, sf_dir):
     return flows.changelog_by_day(
         spark, "funnel", flows.cart(spark, sf_dir), DELIVERIES,
         rollups.cart_hourly, rollups.cart_funnel, FUNNEL_KEYS)
 
 
+def _funnel_changelog(spark, sf_dir):
+    return serving.read_changelog(spark, _funnel_changelog_path(spark, sf_dir))
+
+
+def changelog_compacted(spark, sf_dir):
+    """Current campaigns from the first two batches, folded, and the newest batch."""
+    path = _campaign_changelog_path(spark, sf_dir)
+    serving.compact_changelog(spark, path, CAMPAIGN_KEYS, through=1)
+    return serving.read_latest(spark, path, CAMPAIGN_KEYS)
+
+
+def changelog_compacted_twice(spark, sf_dir):
+    """Current segments after a second fold that starts from the first one."""
+    path = _funnel_changelog_path(spark, sf_dir)
+    serving.compact_changelog(spark, path, FUNNEL_KEYS, through=0)
+    serving.compact_changelog(spark, path, FUNNEL_KEYS)
+    return serving.read_latest(spark, path, FUNNEL_KEYS)
+
+
 def changelog_overcount(spark, sf_dir):
     """Channel totals over all row versions beside those over current rows."""
     changelog = _campaign_changelog(spark, sf_dir)
@@ -355,8 +378,8 @@ def upsert_roundtrip(spark, sf_dir):
     cart = flows.cart(spark, sf_dir)
     first, _ = flows.split_by_time(cart, "event_time", [SECOND_DELIVERY])
     mobile = cart.where(F.col("device_type") == "Mobile")
-    serving.upsert(rollups.cart_funnel_from_events(first), path, FUNNEL_KEYS)
-    serving.upsert(rollups.cart_funnel_from_events(mobile), path, FUNNEL_KEYS)
+    serving.upsert(rollups.cart_funnel_from_events(first), path, FUNNEL_KEYS, buckets=16)
+    serving.upsert(rollups.cart_funnel_from_events(mobile), path, FUNNEL_KEYS, buckets=16)
     return serving.read_current(spark, path)
 
 
@@ -488,6 +511,8 @@ QUERIES: dict[str, Query] = {
         _stream_snapshots, "cart", DEVICE_SOURCE_KEYS, flows.cart_snapshots),
     "changelog_overcount": changelog_overcount,
     "changelog_skew": changelog_skew,
+    "changelog_compacted": changelog_compacted,
+    "changelog_compacted_twice": changelog_compacted_twice,
     "campaign_board_over_changelog": campaign_board_over_changelog,
     "campaign_insights_over_changelog": campaign_insights_over_changelog,
     "funnel_board_over_changelog": funnel_board_over_changelog,

@@ -188,7 +188,8 @@ def test_changelog_files_are_merged(spark):
     stream = events.read_events(session, "cart", run.topic, streaming=True)
     streaming.run_available(streaming.start_hourly(stream, "cart", run.out, run.checkpoint))
     assert serving.read_changelog(spark, run.out).count() > 500
-    written = os.listdir(f"{run.out}/batch_id=0")
+    folder, = glob.glob(f"{run.out}/rows/batch_id=0/*")
+    written = os.listdir(folder)
     assert len([name for name in written if name.endswith(".parquet")]) == 1
 
 
