@@ -1,9 +1,11 @@
 """Main text of web pages by differencing with the nearest page of the same host.
 
 Pages are sorted by host and URL path, so that a page's neighbours are the pages with
-the nearest URLs, and a host with very many pages lies in many partitions. A page's
-text lines are aligned with those of its nearer neighbour by a longest common
-subsequence, and lines that both share are deleted as furniture of the site.
+the nearest URLs, and a host with very many pages lies in many partitions. The pages at
+both ends of a partition also go to the partition next to it, so that the partitioning
+changes no result. A page's text lines are aligned with those of its nearer neighbour by
+a longest common subsequence, and lines that both share are deleted as furniture of the
+site.
 
 Two things differencing cannot tell are settled by the markup: menus and notices that
 differ from page to page go by their elements and class names, and lines inside an
@@ -12,6 +14,7 @@ article stay even if the neighbour repeats the article.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
 from collections.abc import Iterator
@@ -193,31 +196,56 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "html", STEP_BYTES):
                 for row in zip(*(part.column(c).to_pylist()
-                                 for c in ("page_id", "url", "host", "path", "html"))):
-                    yield *row[:4], lines(row[4] or "")
+                                 for c in ("page_id", "url", "host", "path", "visit", "html"))):
+                    yield *row[:5], lines(row[5] or "")
 
     def done(before, page, after) -> tuple:
-        near = [(nearness(page[3], x[3]), x[4]) for x in (before, after)
+        near = [(nearness(page[3], x[3]), x[5]) for x in (before, after)
                 if x is not None and page[2] and x[2] == page[2]]
         neighbour = max(near, key=lambda x: x[0])[1] if near else None
-        return page[0], page[1], main_text(page[4], neighbour)
+        return page[0], page[1], main_text(page[5], neighbour)
 
     before = page = None
     rows, held = [], 0
     for after in read():
-        if page is not None:
+        if page is not None and not page[4]:
             rows.append(done(before, page, after))
             held += len(rows[-1][2])
             if held > STEP_BYTES or len(rows) >= 10_000:
                 yield _emitted(rows)
                 rows, held = [], 0
         before, page = page, after
-    if page is not None:
+    if page is not None and not page[4]:
         rows.append(done(before, page, None))
     if rows:
         yield _emitted(rows)
 
 
+def _sortable(host: str, path: str, page_id: int | None) -> tuple:
+    """A key that Python orders as Spark does: by code points, null first."""
+    return host, path, page_id is not None, page_id or 0
+
+
+def _places(ends: list[tuple[tuple, tuple]]):
+    """For each page the partition it lies in and then those that it visits: a first page
+    the one before, a last page the one after. ``ends`` holds both keys of each."""
+    firsts = [first for first, _ in ends]
+
+    def run(host: pa.Array, path: pa.Array, page_id: pa.Array) -> pa.Array:
+        found = []
+        for key in map(_sortable, host.to_pylist(), path.to_pylist(), page_id.to_pylist()):
+            at = bisect.bisect_right(firsts, key) - 1
+            place = [at]
+            if at > 0 and key == ends[at][0]:
+                place.append(at - 1)
+            if at + 1 < len(ends) and key == ends[at][1]:
+                place.append(at + 1)
+            found.append(place)
+        return pa.array(found, pa.list_(pa.int32()))
+
+    return F.arrow_udf(run, "array<int>")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
@@ -233,5 +261,14 @@ def extract(pages: DataFrame) -> DataFrame:
         F.coalesce(F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1), F.lit(""))
         .alias("path"))
     order = ["host", "path", "page_id"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _run, "page_id long, url string, text string, n_chars long")
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The ranges come from the keys alone: two keys for each of ``parts`` partitions.
+    key = F.struct(*order)
+    ends = (rows.select(*order).repartitionByRange(parts, *order)
+            .groupBy(F.spark_partition_id().alias("part"))
+            .agg(F.min(key).alias("first"), F.max(key).alias("last")).collect())
+    ends = sorted((_sortable(*r.first), _sortable(*r.last)) for r in ends)
+    placed = rows.select("*", F.posexplode(_places(ends)(*order)).alias("visit", "part"))
+    return (placed.repartitionById(parts, F.col("part"))
+            .sortWithinPartitions(*order, "visit")
+            .mapInArrow(_run, "page_id long, url string, text string, n_chars long"))

@@ -128,6 +128,32 @@ def test_copies_of_a_page_keep_their_text(spark):
         1: "a\nb", 2: "a\nb"}
 
 
+@pytest.mark.parametrize("parts", [1, 3, 16, 200])
+def test_partitions_change_no_text(spark, parts):
+    """Against all pages in one sorted list, each beside its nearer neighbour."""
+    rows = [(n, f"http://h{n % 3}/{'abc'[n % 2]}/{n:02}", "".join(
+        f"<p>{line}</p>" for line in ("Site", f"part {n % 2}", f"story {n}", f"group {n // 7}")))
+        for n in range(60)]
+    rows += [rows[20], rows[20], (None, "http://h0/a/00", "<p>Site</p><p>x</p>")]
+    keys = sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] or 0))
+    expected = []
+    for at, (page_id, url, page) in enumerate(keys):
+        host, path = url[7:].split("/", 1)
+        near = [(html_text.nearness(path, other[1][7:].split("/", 1)[1]), other[2])
+                for other in (keys[at - 1:at] if at else []) + keys[at + 1:at + 2]
+                if other[1][7:].split("/", 1)[0] == host]
+        neighbour = html_text.lines(max(near, key=lambda n: n[0])[1])
+        expected.append((page_id, html_text.main_text(html_text.lines(page), neighbour)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = [(r.page_id, r.text) for r in html_text.extract(pages(spark, rows)).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert any("Site" not in text for _, text in found)
+
+
 def test_page_edge_rows(spark):
     rows = [(1, "http://h/1", None), (2, "http://h/2", ""), (2, "http://h/2", ""),
             (3, "http://h/3", "no markup & <b"), (None, "http://h/4", "<p>x"),
