@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,9 +54,22 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def split_by_time(df: DataFrame, column: str, days: list[str]) -> list[DataFrame]:
+Days = list[str] | list[Column]
+
+
+def delivery_days(spark: SparkSession, sf_dir: str, count: int) -> Days:
+    """The days at which the events' own time is cut into ``count`` spans of about equal
+    length: the first days of all deliveries but the first."""
+    day = F.col("ts").cast("date")
+    days = event_table.events_table(spark, sf_dir).agg(
+        F.min(day).alias("first"), (F.datediff(F.max(day), F.min(day)) + 1).alias("days"))
+    return [days.select(F.date_add("first", F.floor(F.col("days") * n / count).cast("int")))
+            .scalar() for n in range(1, count)]
+
+
+def split_by_time(df: DataFrame, column: str, days: Days) -> list[DataFrame]:
     """``df`` cut into consecutive deliveries that start at the given days."""
-    starts = [F.lit(day).cast("timestamp_ntz") for day in days]
+    starts = [(F.lit(day) if isinstance(day, str) else day).cast("timestamp_ntz") for day in days]
     time = F.col(column)
     first = df.where(time.isNull() | (time < starts[0]))
     rest = [df.where(time >= start) if i + 1 == len(starts)
@@ -80,7 +93,7 @@ def streamed(spark: SparkSession, label: str, read: Callable[..., DataFrame], ki
     return serving.read_changelog(spark, f"{out}/{changelog}" if changelog else out)
 
 
-def changelog_by_day(spark: SparkSession, label: str, events_of_kind: DataFrame, days: list[str],
+def changelog_by_day(spark: SparkSession, label: str, events_of_kind: DataFrame, days: Days,
                      hourly: Callable[[DataFrame], DataFrame],
                      rollup: Callable[[DataFrame], DataFrame], keys: list[str]) -> str:
     """The path of the changelog of a rollup after each delivery cut at ``days``: a batch

@@ -22,12 +22,17 @@ from cartpulse.streaming import rollups as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The second delivery of events starts here; the watermark covers the events'
-# own disorder (a follow-up up to 16 minutes after the events around it).
-SECOND_DELIVERY = "2024-01-16"
+# Deliveries of the changelog queries; other queries that need several have two.
+DELIVERIES = 3
+# Covers the events' own disorder (a follow-up up to 16 minutes after the events around it).
 WATERMARK = "20 minutes"
 
 
+def _two_deliveries(source, spark, sf_dir, column: str = "event_time") -> list[DataFrame]:
+    return flows.split_by_time(
+        source(spark, sf_dir), column, flows.delivery_days(spark, sf_dir, 2))
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Means depend on the order of addition in their last digits; compare 6 decimals."""
     return df.withColumns({c: F.round(c, 6) for c in columns})
@@ -132,7 +137,7 @@ def sample_events(spark, sf_dir):
 
 def board_diff(spark, sf_dir):
     marketing = flows.marketing(spark, sf_dir)
-    first, _ = flows.split_by_time(marketing, "event_time", [SECOND_DELIVERY])
+    first, _ = _two_deliveries(flows.marketing, spark, sf_dir)
     before, after = (rollups.campaign_performance_from_events(e) for e in (first, marketing))
     return insights.board_diff(before, after, CAMPAIGN_KEYS,
                                ["spend_to_date", "revenue", "roi", "impressions", "purchases"])
@@ -172,28 +177,29 @@ def cart_conservation(spark, sf_dir):
 
 # --- streams -----------------------------------------------------------------------------
 
-def _late_first(df: DataFrame, column: str = "event_time") -> list[DataFrame]:
+def _late_first(source, spark, sf_dir, column: str = "event_time") -> list[DataFrame]:
     """Deliveries in the wrong order: all events of the second one arrive late."""
-    return list(reversed(flows.split_by_time(df, column, [SECOND_DELIVERY])))
+    return list(reversed(_two_deliveries(source, spark, sf_dir, column)))
 
 
 def stream_campaign_performance(spark, sf_dir):
     changelog = flows.streamed(
         spark, "stream-campaigns", events.read_events, "marketing",
-        _late_first(flows.marketing(spark, sf_dir)), streaming.start_campaign_performance)
+        _late_first(flows.marketing, spark, sf_dir), streaming.start_campaign_performance)
     return serving.latest_version(changelog, CAMPAIGN_KEYS)
 
 
 def stream_cart_funnel(spark, sf_dir):
     changelog = flows.streamed(
         spark, "stream-funnel", events.read_events, "cart",
-        _late_first(flows.cart(spark, sf_dir)), streaming.start_cart_funnel)
+        _late_first(flows.cart, spark, sf_dir), streaming.start_cart_funnel)
     return serving.latest_version(changelog, FUNNEL_KEYS)
 
 
 def _stream_by_day(kind, keys, source, spark, sf_dir):
     changelog = flows.streamed(
-        spark, f"stream-{kind}-days", events.read_events, kind, _late_first(source(spark, sf_dir)),
+        spark, f"stream-{kind}-days", events.read_events, kind,
+        _late_first(source, spark, sf_dir),
         lambda stream, out, checkpoint: days.start_by_day(stream, kind, out, checkpoint),
         "changelog")
     return serving.latest_version(changelog, keys)
@@ -202,14 +208,13 @@ def _stream_by_day(kind, keys, source, spark, sf_dir):
 def _stream_hourly(kind, keys, source, spark, sf_dir):
     changelog = flows.streamed(
         spark, f"stream-{kind}-hours", events.read_events, kind,
-        _late_first(source(spark, sf_dir)),
+        _late_first(source, spark, sf_dir),
         lambda stream, out, checkpoint: streaming.start_hourly(stream, kind, out, checkpoint))
     return serving.latest_version(changelog, [*keys, "hour"])
 
 
 def stream_hourly_watermarked(spark, sf_dir):
-    deliveries = flows.split_by_time(
-        flows.marketing(spark, sf_dir), "event_time", [SECOND_DELIVERY])
+    deliveries = _two_deliveries(flows.marketing, spark, sf_dir)
     return flows.streamed(
         spark, "stream-closed-hours", events.read_events, "marketing", deliveries,
         lambda stream, out, checkpoint: streaming.start_hourly(
@@ -221,7 +226,7 @@ def stream_attribution(spark, sf_dir):
     marketing = flows.marketing(spark, sf_dir)
     linked = flows.streamed(
         spark, "stream-attribution", events.read_events, "marketing",
-        flows.split_by_time(marketing, "event_time", [SECOND_DELIVERY]),
+        _two_deliveries(flows.marketing, spark, sf_dir),
         streaming_journeys.start_attribution).drop(serving.BATCH_ID)
     last = marketing.agg(F.max("event_time")).scalar()
     return linked.where(F.col("bought_at") < last - F.expr("INTERVAL '4' HOUR"))
@@ -230,7 +235,7 @@ def stream_attribution(spark, sf_dir):
 def _stream_snapshots(kind, keys, source, spark, sf_dir):
     changelog = flows.streamed(
         spark, f"stream-{kind}-snapshots", events.read_snapshots, kind,
-        _late_first(source(spark, sf_dir), "snapshot_time"),
+        _late_first(source, spark, sf_dir, "snapshot_time"),
         lambda stream, out, checkpoint: streaming.start_snapshot_latest(
             stream, kind, out, checkpoint))
     return serving.latest_version(changelog, keys)
@@ -238,13 +243,10 @@ def _stream_snapshots(kind, keys, source, spark, sf_dir):
 
 # --- changelog and round trips --------------------------------------------------------------
 
-# Deliveries of the changelog queries start at these days.
-DELIVERIES = ["2024-01-11", "2024-01-21"]
-
-
 def _campaign_changelog_path(spark, sf_dir):
     return flows.changelog_by_day(
-        spark, "campaign", flows.marketing(spark, sf_dir), DELIVERIES,
+        spark, "campaign", flows.marketing(spark, sf_dir),
+        flows.delivery_days(spark, sf_dir, DELIVERIES),
         rollups.campaign_hourly, rollups.campaign_performance, CAMPAIGN_KEYS)
 
 
@@ -254,7 +256,8 @@ def _campaign_changelog(spark, sf_dir):
 
 def _funnel_changelog_path(spark, sf_dir):
     return flows.changelog_by_day(
-        spark, "funnel", flows.cart(spark, sf_dir), DELIVERIES,
+        spark, "funnel", flows.cart(spark, sf_dir),
+        flows.delivery_days(spark, sf_dir, DELIVERIES),
         rollups.cart_hourly, rollups.cart_funnel, FUNNEL_KEYS)
 
 
@@ -376,7 +379,7 @@ def upsert_roundtrip(spark, sf_dir):
     date, and all others stay as they were."""
     path = work_dir(spark, "funnel-current")
     cart = flows.cart(spark, sf_dir)
-    first, _ = flows.split_by_time(cart, "event_time", [SECOND_DELIVERY])
+    first, _ = _two_deliveries(flows.cart, spark, sf_dir)
     mobile = cart.where(F.col("device_type") == "Mobile")
     serving.upsert(rollups.cart_funnel_from_events(first), path, FUNNEL_KEYS, buckets=16)
     serving.upsert(rollups.cart_funnel_from_events(mobile), path, FUNNEL_KEYS, buckets=16)
