@@ -45,6 +45,18 @@ def campaign_insights(performance: DataFrame, budgets: DataFrame | None = None)
     )
 
 
+def hourly_recommendations(hourly: DataFrame) -> DataFrame:
+    """The recommendation that each single hour of a campaign would lead to."""
+    spend = kpis.spend_to_date(F.col("impression_cost"), F.col("click_cost"))
+    revenue = F.col("revenue")
+    roi = kpis.roi(revenue, spend)
+    return hourly.select(
+        *CAMPAIGN_KEYS, "hour", spend.alias("spend"), "revenue", roi.alias("roi"),
+        advice.budget_recommendation(roi).alias("budget_recommendation"),
+        advice.potential_impact(roi, revenue, spend).alias("potential_impact"),
+    )
+
+
 def cart_conversion_insights(funnel: DataFrame) -> DataFrame:
     """Device and source metrics with a recommendation and the revenue it could add."""
     device, source = F.col("device_type"), F.col("traffic_source")

@@ -111,6 +111,10 @@ def campaign_insights_budgets(spark, sf_dir):
         _served_performance(spark, sf_dir), event_table.budgets(spark))
 
 
+def hourly_recommendations(spark, sf_dir):
+    return insights.hourly_recommendations(campaign_hourly(spark, sf_dir))
+
+
 def cart_conversion_insights(spark, sf_dir):
     return insights.cart_conversion_insights(flows.funnel(spark, sf_dir))
 
@@ -486,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "campaign_snapshot_latest_row": campaign_snapshot_latest_row,
     "cart_snapshot_latest_row": cart_snapshot_latest_row,
     "campaign_insights": campaign_insights,
+    "hourly_recommendations": hourly_recommendations,
     "campaign_insights_budgets": campaign_insights_budgets,
     "cart_conversion_insights": cart_conversion_insights,
     "campaign_board": campaign_board,

@@ -1,5 +1,8 @@
 from cartpulse import schemas
+from cartpulse.functions import advice
 from cartpulse.operators import insights
+from cartpulse.plans.oracles import ORACLES
+from oracle_check import connect
 
 PERFORMANCE = ("campaign_id string, campaign_name string, channel string, spend_to_date double, "
                "impressions long, clicks long, purchases long, revenue double, roas double, "
@@ -70,3 +73,11 @@ def test_serving_schemas():
     widths = {name: len(schema) for name, (schema, _, _) in schemas.SERVING_TABLES.items()}
     assert widths == {"campaign_performance": 17, "cart_conversion_funnel": 17,
                       "marketing_campaigns": 11, "cart_analytics": 8}
+
+
+def test_every_band_of_advice_occurs_in_some_hour():
+    con = connect("/root/testdata/sf0.01")
+    bands = con.sql(f"""SELECT DISTINCT budget_recommendation, potential_impact IS NULL
+                        FROM ({ORACLES['hourly_recommendations']})""").fetchall()
+    assert {label for label, missing in bands if not missing} == {
+        *[label for _, label, _ in advice.ROI_BANDS], advice.FALLBACK[0]}
