@@ -1,11 +1,11 @@
-"""Near-duplicates among vectors through a pivot-permutation index.
-
-Every vector is described by its nearest pivots in order. Inverted lists hold, for each
-label and pivot, the vectors that have the pivot among their first ones. Within a list,
-pairs that share enough pivots are compared exactly. A pair that shares several pivots
-meets in as many lists and is compared in that of its smallest shared pivot only.
-Lists are split into parts of bounded size, all pairs of parts meet, and each
-meeting returns counts and a spanning forest, never pairs.
+"""Near-duplicates among vectors through cells of nearest pivots, without loss.
+
+The vectors of a label are dealt to the cells of their nearest pivots, and cells are
+split into parts of bounded size. A part keeps the smallest and largest angle of its
+vectors to each of some pivots. Two parts between which one of these ranges leaves a
+gap wider than the angle of the threshold hold no link, by the triangle inequality;
+all other parts meet, and a meeting compares all of their vectors. Each meeting returns
+counts and a spanning forest, never pairs.
 """
 
 from __future__ import annotations
@@ -27,21 +27,13 @@ THRESHOLD = 0.98
 PER_ROOT = 2.0
 LEAST_PIVOTS = 128
 PIVOT_BYTES = 16_000_000
-#: First pivots that describe a vector, and how many of them a pair must share.
-PREFIX = 12
-SHARED = 2
-#: Vectors of a list that one meeting holds on each side.
-PART = 1024
+#: Pivots whose ranges of angles tell that two parts hold no link, at most.
+RANGES = 128
+#: Vectors of a part, on average at most.
+PART = 4096
 _ROWS_AT_ONCE = 256
-
-
-def prefixes(rows: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
-    """The numbers of the ``prefix`` nearest pivots of each row, nearest first."""
-    near = units(rows) @ pivots.T
-    k = min(prefix, len(pivots))
-    first = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    order = np.argsort(-np.take_along_axis(near, first, axis=1), axis=1, kind="stable")
-    return np.take_along_axis(first, order, axis=1)
+#: Cosines nearer to the threshold than this are summed anew, in one order for both sides.
+_CLOSE = 1e-9
 
 
 def _pivots(vectors: DataFrame, count: int) -> dict[int, np.ndarray]:
@@ -54,41 +46,66 @@ def _pivots(vectors: DataFrame, count: int) -> dict[int, np.ndarray]:
         most = max(1, min(wanted, PIVOT_BYTES // (8 * size)))
         rows = vectors.where(F.size("embedding") == size).select("embedding").orderBy(
             F.xxhash64("key"), "key").limit(most).collect()
-        found[size] = units(np.unique(np.array([r.embedding for r in rows]), axis=0))
+        some = units(np.unique(np.array([r.embedding for r in rows]), axis=0))
+        # in no order, as cells take the first ones
+        found[size] = some[np.random.default_rng(size).permutation(len(some))]
     return found
 
 
-def _meet(threshold: float, shared: int):
+_PARTS = ("label string, size int, pivot long, slot long, nodes array<long>, "
+          "copies array<long>, vectors binary, least array<double>, most array<double>")
+
+
+def _part(known: dict[int, np.ndarray]):
+    """The rows of a part as one, with its ranges of angles."""
+    def run(table: pa.Table) -> pa.Table:
+        size = table.column("size")[0].as_py()
+        rows = units(matrix(table.column("embedding").combine_chunks()))
+        angles = np.arccos(np.clip(rows @ known[size][:RANGES].T, -1, 1)) if size in known \
+            else np.zeros((len(rows), 0))
+        lists = [pa.array([x.tolist()], t) for x, t in (
+            (table.column("node").to_numpy(), pa.list_(pa.int64())),
+            (table.column("copies").to_numpy(), pa.list_(pa.int64())))]
+        ranges = [pa.array([x.tolist()], pa.list_(pa.float64()))
+                  for x in (angles.min(axis=0), angles.max(axis=0))]
+        return pa.Table.from_arrays(
+            [*(table.column(c).combine_chunks()[:1] for c in ("label", "size", "pivot", "slot")),
+             *lists, pa.array([rows.tobytes()], pa.binary()), *ranges],
+            ["label", "size", "pivot", "slot", "nodes", "copies", "vectors", "least", "most"])
+    return run
+
+
+def _meet(threshold: float):
     empty = {"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()),
              "other": pa.array([], pa.int64())}
 
     def run(table: pa.Table) -> pa.Table:
-        side = table.column("side").to_numpy()
-        pivot = table.column("pivot")[0].as_py()
-        nodes = table.column("node").to_numpy()
-        times = table.column("copies").to_numpy()
-        rows = units(matrix(table.column("embedding").combine_chunks()))
-        known = np.sort(matrix(table.column("prefix").combine_chunks()), axis=1)
-        numbers, place = np.unique(known, return_inverse=True)
-        place = place.reshape(known.shape)
-        held = np.zeros((len(nodes), len(numbers)), dtype=np.float32)
-        np.put_along_axis(held, place, 1, axis=1)
-        smaller = held * (numbers < pivot)
-        left = np.flatnonzero(side != 2)
-        right = np.flatnonzero(side != 1)
+        sides = table.sort_by("side").to_pylist()   # a part with itself is one row
+        held = [np.array(r["nodes"], dtype=np.int64) for r in sides]
+        blocks = [np.frombuffer(r["vectors"]).reshape(len(n), -1) for r, n in zip(sides, held)]
+        nodes = np.concatenate(held)
+        times = np.concatenate([r["copies"] for r in sides]).astype(np.float64)
+        left, right = blocks[0], blocks[-1]
+        alone = len(sides) == 1
+        behind = 0 if alone else len(left)
         parent = np.arange(len(nodes))
-        links = np.zeros(len(nodes), dtype=np.int64)
+        links = np.zeros(len(nodes))
         for at in range(0, len(left), _ROWS_AT_ONCE):
             part = left[at:at + _ROWS_AT_ONCE]
-            both = (held[part] @ held[right].T >= shared) & (smaller[part] @ smaller[right].T == 0)
-            a, b = np.nonzero(both)
-            a, b = part[a], right[b]
-            if side[0] == 0:   # one part with itself
-                a, b = a[a < b], b[a < b]
-            near = np.einsum("ij,ij->i", rows[a], rows[b]) >= threshold
-            a, b = a[near], b[near]
-            np.add.at(links, a, times[b])
-            np.add.at(links, b, times[a])
+            over = at + len(part)
+            near = part @ right.T
+            hits = near >= threshold
+            a, b = np.nonzero(np.abs(near - threshold) < _CLOSE)
+            hits[a, b] = np.einsum("ij,ij->i", part[a], right[b]) >= threshold
+            if alone:
+                hits[np.arange(len(part)), np.arange(at, over)] = False
+            if not hits.any():
+                continue
+            links[at:over] += hits @ times[behind:]
+            if not alone:
+                links[behind:] += times[at:over] @ hits
+            a, b = np.nonzero(hits & (parent[at:over, None] != parent[behind:]))
+            a, b = a + at, b + behind
             while True:
                 low, high = np.minimum(parent[a], parent[b]), np.maximum(parent[a], parent[b])
                 open_ = low != high
@@ -101,14 +118,14 @@ def _meet(threshold: float, shared: int):
         found = np.flatnonzero(links)
         if not len(found):
             return pa.table(empty)
-        return pa.table({"node": nodes[found], "links": links[found],
+        return pa.table({"node": nodes[found], "links": links[found].astype(np.int64),
                          "other": nodes[parent[found]]})
     return run
 
 
-def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, prefix: int = PREFIX,
-                    shared: int = SHARED, part: int = PART, key: str = "vec_id",
-                    vector: str = "embedding", label: str = "label") -> DataFrame:
+def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, part: int = PART,
+                    key: str = "vec_id", vector: str = "embedding",
+                    label: str = "label") -> DataFrame:
     """``key``, ``n_links``, ``component_id`` and ``kept`` of every row.
 
     Rows link if their labels are equal and not null, their vectors have one length and
@@ -128,43 +145,54 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, prefix: int
         F.min("key").alias("node"), F.count("*").alias("copies")), "pivots-nodes")
     known = _pivots(rows, rows.count())
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = batch.column("embedding")
-            sizes = np.diff(held.offsets.to_numpy())
-            for size in np.unique(sizes):
-                some = batch.filter(pa.array(sizes == size))
-                vectors = matrix(some.column("embedding"))
-                # a length without pivots of its own has one list
-                first = prefixes(vectors, known[size], prefix) if size in known \
-                    else np.zeros((len(vectors), 1), dtype=np.int64)
-                found = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(first) + 1) * first.shape[1], pa.int32()),
-                    pa.array(first.astype(np.int64).ravel()))
+            sizes = batch.column("size").to_numpy()
+            cells = batch.column("cells").to_numpy()
+            for size, most in np.unique(np.stack([sizes, cells], axis=1), axis=0):
+                some = batch.filter(pa.array((sizes == size) & (cells == most)))
+                # a length without pivots of its own has one cell
+                cell = np.zeros(len(some), dtype=np.int64)
+                if size in known and most > 1:
+                    rows = units(matrix(some.column("embedding")))
+                    cell = (rows @ known[size][:most].T).argmax(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("label"), some.column("node"), some.column("copies"),
-                     some.column("embedding"), found],
-                    ["label", "node", "copies", "embedding", "prefix"])
-
-    described = written(nodes.select("label", "node", "copies", "embedding").mapInArrow(
-        describe, "label string, node long, copies long, embedding array<double>, "
-                  "prefix array<long>"), "pivots-described")
-    lists = described.withColumn("size", F.size("embedding")).withColumn(
-        "pivot", F.explode("prefix"))
-    in_list = ["label", "size", "pivot"]
-    parts = written(lists.groupBy(*in_list).agg(
-        F.ceil(F.count("*") / part).alias("parts")), "pivots-parts")
-    dealt = lists.join(parts, in_list).withColumn(
-        "mine", F.pmod(F.xxhash64("node"), F.col("parts")))
-    others = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
-    met = dealt.withColumn("its", F.explode(others)).select(
-        *in_list, F.least("mine", "its").alias("one"), F.greatest("mine", "its").alias("two"),
-        F.when(F.col("mine") == F.col("its"), 0).when(F.col("mine") < F.col("its"), 1)
-        .otherwise(2).alias("side"), "node", "copies", "embedding", "prefix")
-    # a part meets itself alone: rows of side 0 with one = two
-    least = F.least(F.lit(shared), F.size("prefix"))
-    found = written(met.where(least > 0).groupBy(*in_list, "one", "two").applyInArrow(
-        _meet(threshold, shared), "node long, links long, other long"), "pivots-links")
+                    [*(some.column(c) for c in ("label", "size", "node", "copies", "embedding")),
+                     pa.array(cell)], ["label", "size", "node", "copies", "embedding", "pivot"])
+
+    of_label = ["label", "size"]
+    sized = nodes.select("label", F.size("embedding").alias("size"), "node", "copies", "embedding")
+    cells = written(sized.groupBy(*of_label).agg(
+        F.ceil(F.count("*") / part).alias("cells")), "pivots-cells")
+    placed = written(sized.join(cells, of_label).mapInArrow(
+        place, "label string, size int, node long, copies long, embedding array<double>, "
+               "pivot long"), "pivots-placed")
+    in_cell = [*of_label, "pivot"]
+    slots = written(placed.groupBy(*in_cell).agg(
+        F.ceil(F.count("*") / part).alias("slots")), "pivots-slots")
+    parts = written(
+        placed.join(slots, in_cell)
+        .withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")))
+        .groupBy(*in_cell, "slot").applyInArrow(_part(known), _PARTS), "pivots-parts")
+    ranges = parts.select(*of_label, F.struct("pivot", "slot").alias("one"),
+                          F.col("least").alias("least1"), F.col("most").alias("most1"))
+    others = ranges.toDF(*of_label, "two", "least2", "most2")
+    # a little wider, for rounding
+    angle = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
+    gaps = F.zip_with(
+        F.zip_with("least1", "most2", lambda x, y: x - y),
+        F.zip_with("least2", "most1", lambda x, y: x - y), lambda x, y: F.greatest(x, y))
+    meetings = written(ranges.join(others, of_label).where("one <= two")
+                       .where(~F.exists(gaps, lambda gap: gap > angle))
+                       .select(*of_label, "one", "two"), "pivots-meetings")
+    sides = meetings.withColumn("side", F.explode(
+        F.when(F.col("one") == F.col("two"), F.array(F.lit(0)))
+        .otherwise(F.array(F.lit(1), F.lit(2))))).withColumn(
+        "mine", F.when(F.col("side") == 2, F.col("two")).otherwise(F.col("one")))
+    met = sides.join(parts.select(*of_label, F.struct("pivot", "slot").alias("mine"), "nodes",
+                                  "copies", "vectors"), [*of_label, "mine"])
+    found = written(met.groupBy(*of_label, "one", "two").applyInArrow(
+        _meet(threshold), "node long, links long, other long"), "pivots-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     by_node = written(nodes.select("label", "embedding", "node", "copies")

@@ -92,6 +92,22 @@ def test_duplicates_against_all_pairs(spark):
         assert all(r.kept == (r.vec_id == r.component_id) for r in found)
 
 
+def test_duplicates_in_a_hot_noisy_group(spark):
+    rng = np.random.default_rng(11)
+    n, size = 24_000, 64
+    vectors = rng.standard_normal((n, size))
+    centre = vectors[0] / np.linalg.norm(vectors[0])
+    vectors[:n // 3] = centre + 0.132 / np.sqrt(size) * rng.standard_normal((n // 3, size))
+    vectors = vectors.astype(np.float32)
+    units = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    wanted = np.concatenate([(units[a:a + 1000] @ units.T >= 0.98).sum(axis=1) - 1
+                             for a in range(0, n, 1000)])
+    assert 0.2 < wanted[:n // 3].mean() / (n // 3) < 0.99
+    found = pivots.near_duplicates(
+        frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(vectors)])).collect()
+    assert {r.vec_id: r.n_links for r in found} == dict(enumerate(wanted.tolist()))
+
+
 def test_duplicate_edge_tables(spark):
     rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (None, [1.0, 0.0], 0)]
     found = pivots.near_duplicates(frame(spark, rows)).collect()
