@@ -49,8 +49,8 @@ MARKS = {"ad", "ads", "advert", "advertisement", "adverts", "alert", "banner", "
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
-_MARKED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])")
 _WORDS = re.compile(r"[a-z0-9]+")
 #: Lines that one alignment compares at a time; longer pages are aligned piece by piece.
 ALIGNED = 16_384
@@ -65,10 +65,13 @@ class Line(NamedTuple):
 
 
 def _marked(attributes: str) -> bool:
-    if not attributes:
-        return False
-    return bool(_HIDDEN.search(attributes)) or any(
-        MARKS.intersection(_WORDS.findall(m[2].lower())) for m in _MARKED.finditer(attributes))
+    for attribute in _ATTRIBUTE.finditer(attributes or ""):
+        name, value = attribute[1].lower(), (attribute[2] or "").strip("\"'").lower()
+        if name == "hidden" or name == "style" and _UNSEEN.search(value):
+            return True
+        if name in ("class", "id", "role") and MARKS.intersection(_WORDS.findall(value)):
+            return True
+    return False
 
 
 def lines(page: str) -> list[Line]:

@@ -112,6 +112,18 @@ def test_article_without_furniture(spark):
     assert texts(spark, [(1, "http://h/a", page)])[1] == "A & B\none two é\nthree\nfour"
 
 
+@pytest.mark.parametrize("attributes, seen", [
+    ('style="overflow:hidden"', True), ('href="/hidden/x"', True), ("href=/hidden/x", True),
+    ('title="the hidden city"', True), ("title='a class=ad b'", True), ("data-hidden", True),
+    ('style="--display:none; color:red"', True), ('aria-hidden="false"', True),
+    ("hidden", False), ('HIDDEN=""', False), ('class="x" hidden', False),
+    ('style="color:red; Display : none"', False), ("style='visibility:hidden'", False)])
+def test_hidden_elements(attributes, seen):
+    found = [x.text for x in html_text.lines(f"<article {attributes}><p>text</p></article>")
+             if not x.furniture]
+    assert found == (["text"] if seen else [])
+
+
 def test_lines_shared_with_the_nearest_page_go(spark):
     def page(*body):
         return "".join(f"<div>{b}</div>" for b in ("Site", "Menu", *body, "Imprint"))
