@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import html as entities
+import math
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -52,10 +53,11 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])")
 _WORDS = re.compile(r"[a-z0-9]+")
-#: Lines that one alignment compares at a time; longer pages are aligned piece by piece.
-ALIGNED = 16_384
-#: Share of a page's lines beyond which the neighbour counts as a copy of it.
+#: Share of a page's lines beyond which the neighbour may be a near copy of it, so that the
+#: page's other neighbour is asked as well.
 COPY = 0.8
+#: Places of a line from which its row of bits is held instead of built at each use.
+_FREQUENT = 64
 
 
 class Line(NamedTuple):
@@ -132,27 +134,51 @@ def lines(page: str) -> list[Line]:
 def common(a: list[str], b: list[str]) -> set[int]:
     """The places in ``a`` of a longest common subsequence with ``b``.
 
-    Each line of ``a`` updates one row of bits, one for each line of ``b``.
+    Equal heads and tails and lines of one side only are settled first. Of the rest, each
+    line of ``a`` updates one row of bits, one for each line of ``b``; few rows are held,
+    and those between are made again on the way back.
     """
-    shared: set[int] = set()
-    for start in range(0, max(len(a), len(b)), ALIGNED):
-        one, two = a[start:start + ALIGNED], b[start:start + ALIGNED]
-        where: dict[str, int] = {}
-        for j, line in enumerate(two):
-            where[line] = where.get(line, 0) | 1 << j
-        full = (1 << len(two)) - 1
-        row, rows = full, []
-        for line in one:
-            hits = row & where.get(line, 0)
-            row = ((row + hits) | (row - hits)) & full
-            rows.append(row)
-        # zeros among the low j bits of row i: the length for i + 1 lines and j lines
-        left = full
-        for i in range(len(one) - 1, -1, -1):
-            here = ~rows[i] & left
-            before = ~rows[i - 1] & left if i else 0
+    most = min(len(a), len(b))
+    head = next((i for i in range(most) if a[i] != b[i]), most)
+    tail = next((i for i in range(most - head) if a[-1 - i] != b[-1 - i]), most - head)
+    shared = {*range(head), *range(len(a) - tail, len(a))}
+    mine, its = set(a[head:len(a) - tail]), set(b[head:len(b) - tail])
+    one = [i for i in range(head, len(a) - tail) if a[i] in its]
+    two = [line for line in b[head:len(b) - tail] if line in mine]
+    places: dict[str, list[int]] = {}
+    for j, line in enumerate(two):
+        places.setdefault(line, []).append(j)
+
+    def bits(found: list[int]) -> int:
+        made = bytearray(found[-1] // 8 + 1)
+        for j in found:
+            made[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(made, "little")
+
+    frequent = {x: bits(found) for x, found in places.items() if len(found) >= _FREQUENT}
+    full = (1 << len(two)) - 1
+
+    def after(row: int, line: str) -> int:
+        hits = row & (frequent[line] if line in frequent else bits(places[line]))
+        return ((row + hits) | (row - hits)) & full
+
+    step = max(1, math.isqrt(len(one)))
+    held, row = [], full
+    for n, i in enumerate(one):
+        if n % step == 0:
+            held.append(row)
+        row = after(row, a[i])
+    # zeros among the low j bits of row i: the length for i lines and j lines
+    left = full
+    for k in range(len(held) - 1, -1, -1):
+        part = one[k * step:(k + 1) * step]
+        rows = [held[k]]
+        for i in part:
+            rows.append(after(rows[-1], a[i]))
+        for n in range(len(part) - 1, -1, -1):
+            here, before = ~rows[n + 1] & left, ~rows[n] & left
             if here.bit_count() > before.bit_count():
-                shared.add(start + i)
+                shared.add(part[n])
                 left = (1 << here.bit_length() - 1) - 1
     return shared
 
@@ -171,17 +197,31 @@ def nearness(a: str, b: str) -> int:
     return count
 
 
-def main_text(page: list[Line], neighbour: list[Line] | None) -> str:
+def _texts(page: list[Line]) -> list[str]:
+    return [x.text for x in page if not x.furniture]
+
+
+def main_text(page: list[Line], neighbour: list[Line] | None,
+              other: list[Line] | None = None) -> str:
     """The page's text without furniture and without lines it shares with the neighbour.
 
-    Where the page has an article, what lies outside it is furniture as well.
+    Where the page has an article, what lies outside it is furniture as well. A page equal
+    to its neighbour keeps its text. If over ``COPY`` of it is shared, the neighbour may be
+    a near copy or the site's template may be long: then only what ``other``, the neighbour
+    on the other side, shares as well is deleted. Without one whose text differs, all shared
+    lines go unless that is the whole page.
     """
     has_article = any(x.article and not x.furniture for x in page)
     kept = [x for x in page if not x.furniture and (x.article or not has_article)]
-    if neighbour:
-        other = [x.text for x in neighbour]
-        shared = common([x.text for x in kept], other) if not has_article else set()
-        if len(shared) < COPY * len(kept):
+    if neighbour and not has_article:
+        mine = [x.text for x in kept]
+        if mine != _texts(neighbour):
+            shared = common(mine, [x.text for x in neighbour])
+            if len(shared) >= COPY * len(kept):
+                if other and mine != _texts(other):
+                    shared &= common(mine, [x.text for x in other])
+                elif len(shared) == len(kept):
+                    shared = set()
             kept = [x for i, x in enumerate(kept) if i not in shared]
     return "\n".join(x.text for x in kept)
 
@@ -205,8 +245,8 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def done(before, page, after) -> tuple:
         near = [(nearness(page[3], x[3]), x[5]) for x in (before, after)
                 if x is not None and page[2] and x[2] == page[2]]
-        neighbour = max(near, key=lambda x: x[0])[1] if near else None
-        return page[0], page[1], main_text(page[5], neighbour)
+        near.sort(key=lambda x: -x[0])
+        return page[0], page[1], main_text(page[5], *([x[1] for x in near] or [None]))
 
     before = page = None
     rows, held = [], 0

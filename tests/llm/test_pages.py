@@ -200,3 +200,32 @@ def test_common_subsequence_is_longest():
         assert len(found) == length(a, b)
         rest = iter(b)
         assert all(a[i] in rest for i in sorted(found))
+
+
+def test_long_pages_are_aligned_whole():
+    menu, foot = [f"menu {i}" for i in range(5)], [f"foot {i}" for i in range(5)]
+    long = menu + [f"long {i}" for i in range(20_000)] + foot
+    short = ["first"] + menu + [f"short {i}" for i in range(100)] + foot + ["last"]
+    for a, b in ((long, short), (short, long)):
+        assert {a[i] for i in html_text.common(a, b)} == {*menu, *foot}
+    mixed = [f"{i * 7919 % 20_011}" for i in range(20_011)]
+    turned = mixed[17_000:] + mixed[:17_000]
+    assert len(html_text.common(mixed, turned)) >= 17_000
+
+
+def test_template_is_told_from_a_near_copy(spark):
+    def page(*body):
+        lines = [f"menu {i}" for i in range(5)] + list(body) + [f"foot {i}" for i in range(5)]
+        return "".join(f"<div>{x}</div>" for x in lines)
+    story = [f"story {i}" for i in range(20)]
+    rows = [(n, f"http://short/{n}", page(f"own {n}", f"more {n}")) for n in range(4)]
+    rows += [(10 + n, f"http://two/{n}", page(f"own {n}")) for n in range(2)]
+    rows += [(20, "http://near/a", page("else", "other")),
+             (21, "http://near/b/1", page("at noon", *story)),
+             (22, "http://near/b/2", page("at night", *story)),
+             (23, "http://near/c", page("end", "other words"))]
+    found = texts(spark, rows)
+    assert all(found[n] == f"own {n}\nmore {n}" for n in range(4))
+    assert all(found[10 + n] == f"own {n}" for n in range(2))
+    assert found[21].split("\n") == ["at noon", *story]
+    assert found[22].split("\n") == ["at night", *story]
