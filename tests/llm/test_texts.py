@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from cartpulse.llm import lang_id, simhash, toxicity
+from cartpulse.llm import lang_id, simhash, similar_texts, toxicity
 from cartpulse.llm.components import components
 from cartpulse.llm.frames import table
 
@@ -157,6 +157,39 @@ def test_simhash_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(wanted.values()))
 
 
+def test_similar_texts_against_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(3000)]
+    passage = " ".join(rng.choice(words, 30))
+    base = [" ".join(rng.choice(words, 150)) for _ in range(10)]
+    texts = {}
+    for i in range(200):
+        t = base[0 if i % 3 == 0 else i % 10].split()
+        for at in rng.integers(0, 150, int(rng.integers(0, 5))):
+            t[at] = f"x{rng.integers(10_000)}"
+        texts[i] = " ".join(t) + (" " + passage if i % 2 else "")
+    texts |= {200 + i: " ".join(rng.choice(words, 20)) + " " + passage for i in range(60)}
+    texts |= {300: "", 301: " ", 302: "one two", 303: "ONE  two", 304: None}
+    sets = {i: set(similar_texts.shingles(t or "").tolist()) for i, t in texts.items()}
+    group = {i: i for i in texts}
+    for a in texts:
+        for b in range(a):
+            if b in texts and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) \
+                    and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    rows = docs(spark, plain([(i, t, "en") for i, t in texts.items()]))
+    kept = corpus_pipeline.near_duplicates(spark, rows, "")
+    assert kept.columns == rows.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
+    twice = docs(spark, plain([(7, "one text", "en"), (7, "one text", "en"),
+                               (7, "another text", "en"), (3, "one text", "en"),
+                               (None, "one text", "en")]))
+    kept = [(r.doc_id, r.text) for r in similar_texts.one_of_similar(twice).collect()]
+    assert sorted(kept, key=str) == [(3, "one text"), (7, "another text"), (None, "one text")]
+    assert similar_texts.one_of_similar(twice.limit(0)).count() == 0
+
+
 def test_tiles_of_any_size_give_the_same_links(spark):
     rng = np.random.default_rng(2)
     numbers = np.unique(np.concatenate(
