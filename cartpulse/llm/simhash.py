@@ -134,6 +134,17 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return met.mapInArrow(_forest(radius), "a long, b long")
 
 
+def _placed(held: DataFrame, radius: int) -> DataFrame:
+    """(bits, least, component): each fingerprint of ``held`` (key, bits) with its smallest
+    key and the smallest fingerprint that it is linked to."""
+    distinct = written(held.where("key is not null").groupBy("bits")
+                       .agg(F.min("key").alias("least")), "simhash-distinct")
+    found = components(links(distinct, radius))
+    placed = distinct.join(found.withColumnRenamed("node", "bits"), "bits", "left").select(
+        "bits", "least", F.coalesce("component", "bits").alias("component"))
+    return written(placed, "simhash-placed")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE,
                     text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` of every document.
@@ -145,12 +156,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     """
     held = written(fingerprints(docs, text, key, shingle).withColumnRenamed(key, "key"),
                    "simhash")
-    distinct = written(held.where("key is not null").groupBy("bits")
-                       .agg(F.min("key").alias("least")), "simhash-distinct")
-    found = components(links(distinct, radius))
-    placed = distinct.join(found.withColumnRenamed("node", "bits"), "bits", "left").select(
-        "bits", "least", F.coalesce("component", "bits").alias("component"))
-    placed = written(placed, "simhash-placed")
+    placed = _placed(held, radius)
     named = written(placed.groupBy("component").agg(F.min("least").alias("component_id")),
                     "simhash-named")
     classes = written(placed.join(named, "component").select("bits", "component_id"),
@@ -163,9 +169,22 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE,
                 text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents without near-duplicates: of each component the smallest key stays,
-    once, with all its columns. Rows without a key stay."""
-    found = near_duplicates(docs, radius, shingle, text, key)
-    first = written(found.where(f"`{key}` = component_id").select(key).distinct(),
-                    "simhash-first")
-    kept = docs.join(first, key, "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.where(F.col(key).isNull())).select(*docs.columns)
+    once, with all its columns. Rows without a key stay. A key with different texts counts
+    by their fingerprints; of two in one component the smaller fingerprint stays, and of
+    texts with one fingerprint the smallest text."""
+    def bits(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t or "", shingle) for t in texts.to_pylist()],
+                                 dtype=np.uint64).view(np.int64))
+
+    named = docs.withColumn("_bits", F.arrow_udf(bits, "long")(F.col(text)))
+    held = written(named.select(F.col(key).cast("long").alias("key"),
+                                F.col("_bits").alias("bits")), "simhash")
+    best = _placed(held, radius).groupBy("component").agg(
+        F.min(F.struct("least", "bits")).alias("best"))
+    first = written(best.select(F.col("best.least").alias(key),
+                                F.col("best.bits").alias("_bits")), "simhash-first")
+    rows = named.join(first, [key, "_bits"], "left_semi")
+    texts = rows.groupBy(key, "_bits").agg(F.min(text).alias("_text"))
+    kept = (rows.join(texts, [key, "_bits"]).where(F.col(text).eqNullSafe(F.col("_text")))
+            .dropDuplicates([key, "_bits"]))
+    return kept.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))

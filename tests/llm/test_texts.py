@@ -157,6 +157,17 @@ def test_simhash_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(wanted.values()))
 
 
+def test_one_id_with_two_texts(spark):
+    one, two = "alpha beta gamma delta epsilon", "quite other words stand in here"
+    rows = docs(spark, plain([(5, one, "en"), (5, two, "en"), (5, two, "en"), (6, two, "en"),
+                              (2, one, "en")]))
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(rows).collect()]
+    assert sorted(kept) == [(2, one), (5, two)]
+    rows = docs(spark, plain([(5, one, "en"), (5, two, "en"), (6, one, "en")]))
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(rows).collect()]
+    assert sorted(kept) == [(5, one), (5, two)]
+
+
 def test_similar_texts_against_all_pairs(spark):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(3000)]
