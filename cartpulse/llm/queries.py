@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartpulse.llm import (bpe, html_text, lang_id, nn_descent, packing, pivots, simhash,
-                           token_counts, toxicity, warc)
+from cartpulse.llm import (bpe, html_text, lang_id, nn_descent, packing, periodic_runs, pivots,
+                           simhash, token_counts, toxicity, warc)
 from cartpulse.llm.frames import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,9 +53,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_budget(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_toxicity, op2_bpe_roundtrip, op3_warc_salvage, op4_nn_descent, op5_page_text,
-    op6_language_id, op7_pivot_duplicates, op8_simhash, op9_packing, op10_token_counts)}
+    op6_language_id, op7_pivot_duplicates, op8_simhash, op9_packing, op10_token_counts,
+    op11_periodic_runs)}
 
 # The others need models, tokenizers, a text hash or an alignment that SQL lacks.
 ORACLES = {
