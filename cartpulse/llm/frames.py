@@ -69,3 +69,11 @@ def pieces(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     """The column as Python strings; null reads as empty."""
     return [v or "" for v in batch.column(column).to_pylist()]
+
+
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartpulse.llm.bpe import STEP_BYTES
-from cartpulse.llm.frames import pieces, strings
+from cartpulse.llm.frames import free_name, pieces, strings
 from cartpulse.llm.ngrams import folded, hashed, slices
 
 UNKNOWN = "und"
@@ -162,13 +162,16 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return fit(x, np.array(rows.column("lang").to_pylist(), dtype=object))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All rows of ``docs`` with ``_lang_pred``, ``_lang_score`` and ``_lang_ambiguous``.
+FIELDS = ("_lang_pred", "_lang_score", "_lang_ambiguous")
+
+
+def identify(docs: DataFrame, model: Model, text: str = "text",
+             fields: tuple[str, str, str] = FIELDS) -> DataFrame:
+    """All rows of ``docs`` with language, score and ambiguity under the names ``fields``.
 
     A text that is null or has no letter is ``und`` with score 0, and ambiguous; if
     the model has no language, so is every text. Whole texts are read.
     """
-    fields = ["_lang_pred", "_lang_score", "_lang_ambiguous"]
     schema = T.StructType([*docs.schema.fields, T.StructField(fields[0], T.StringType()),
                            T.StructField(fields[1], T.DoubleType()),
                            T.StructField(fields[2], T.BooleanType())])
@@ -200,9 +203,11 @@ def languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 
 def known_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The documents in a learned language, with their columns. Texts without a letter
-    go, and so do those whose two nearest codewords are equally near."""
+    """The documents in a learned language, with their columns, whatever these are called.
+    Texts without a letter go, and so do those whose two nearest codewords are equally near."""
     model = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"),
                   per_language)
-    return identify(docs, model).where(
-        F.col("_lang_pred") != UNKNOWN).where("not _lang_ambiguous").select(*docs.columns)
+    fields = tuple(free_name(f, docs) for f in FIELDS)
+    return identify(docs, model, fields=fields).where(
+        (F.col(fields[0]) != UNKNOWN) & ~F.col(fields[2])).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartpulse.llm.bpe import STEP_BYTES
-from cartpulse.llm.frames import pieces, strings, written
+from cartpulse.llm.frames import free_name, pieces, strings, written
 from cartpulse.llm.ngrams import folded, hashed, slices
 
 # Seed words of the categories that come before "toxic" in the chain.
@@ -209,12 +209,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL,
                targets, fold, buckets)
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All rows of ``docs`` with a probability ``_p_<category>`` per category.
+def scored(docs: DataFrame, model: Model, text: str = "text",
+           names: list[str] | None = None) -> DataFrame:
+    """All rows of ``docs`` with a probability per category, called ``names`` or
+    ``_p_<category>``.
 
     A null or empty text has no n-gram and gets the models' base rate. Whole texts are read.
     """
-    names = [f"_p_{c}" for c in CATEGORIES]
+    names = names or [f"_p_{c}" for c in CATEGORIES]
     schema = T.StructType([*docs.schema.fields,
                            *(T.StructField(n, T.DoubleType()) for n in names)])
 
@@ -242,10 +244,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
                        _is_toxic(threshold).alias("toxic"))
 
 
-def _is_toxic(threshold: float):
-    return F.coalesce(F.length("text") > 0, F.lit(False)) & (F.col("_p_toxic") >= threshold)
+def _is_toxic(threshold: float, probability: str = "_p_toxic"):
+    return F.coalesce(F.length("text") > 0, F.lit(False)) & (F.col(probability) >= threshold)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that are not toxic, with their columns."""
-    return scored(docs, train(docs, labels)).where(~_is_toxic(threshold)).select(*docs.columns)
+    """The documents that are not toxic, with their columns, whatever these are called."""
+    names = [free_name(f"_p_{c}", docs) for c in CATEGORIES]
+    rows = scored(docs, train(docs, labels), names=names)
+    return rows.where(~_is_toxic(threshold, names[-1])).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

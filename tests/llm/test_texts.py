@@ -168,6 +168,47 @@ def test_one_id_with_two_texts(spark):
     assert sorted(kept) == [(5, one), (5, two)]
 
 
+def by_similarity(texts, least=0.8):
+    """The smallest id that links of five-word similarity reach, for every id."""
+    sets = {i: set(similar_texts.shingles(t or "").tolist()) for i, t in texts.items()}
+    holders, group = collections.defaultdict(list), {i: i for i in texts}
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+    for i in sorted(texts):
+        shared = collections.Counter(j for s in sets[i] for j in holders[s])
+        for j, both in shared.items():
+            if both >= least * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+                low, high = sorted((top(i), top(j)))
+                group[high] = low
+        for s in sets[i]:
+            holders[s].append(i)
+    return {i: top(i) for i in texts}
+
+
+def test_forest_connects_near_pairs_in_few_and_in_many_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**64, (6, similar_texts.NUMBERS), dtype=np.uint64)
+    prints = np.repeat(base, 50, axis=0)
+    for row in prints:
+        for bit in rng.choice(256, int(rng.integers(0, 16)), replace=False):
+            row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    for held in (10**6, 10):
+        monkeypatch.setattr(similar_texts, "_HELD", held)
+        a, b, more = similar_texts.nearest_forests(prints, prints, True, np.arange(300))
+        assert more and len(a) == 300 - 6 and (a // 50 == b // 50).all()
+        a, b, more = similar_texts.nearest_forests(prints, prints, True, np.arange(300), 1000)
+        assert not more and len(set(zip(a.tolist(), b.tolist()))) == 6 * 50 * 49 // 2 == len(a)
+        a, b, more = similar_texts.nearest_forests(
+            prints[:120], prints[120:], False, np.arange(300))
+        assert more and len(a) == 49 and ((b + 120) // 50 == a // 50).all()
+        groups = np.arange(300) // 25
+        a, b, _ = similar_texts.nearest_forests(prints, prints, True, groups)
+        assert len(a) == 6 and (groups[a] != groups[b]).all()
+
+
 def test_similar_texts_against_all_pairs(spark):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(3000)]
@@ -181,14 +222,7 @@ def test_similar_texts_against_all_pairs(spark):
         texts[i] = " ".join(t) + (" " + passage if i % 2 else "")
     texts |= {200 + i: " ".join(rng.choice(words, 20)) + " " + passage for i in range(60)}
     texts |= {300: "", 301: " ", 302: "one two", 303: "ONE  two", 304: None}
-    sets = {i: set(similar_texts.shingles(t or "").tolist()) for i, t in texts.items()}
-    group = {i: i for i in texts}
-    for a in texts:
-        for b in range(a):
-            if b in texts and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) \
-                    and group[a] != group[b]:
-                low, high = sorted((group[a], group[b]))
-                group = {k: low if g == high else g for k, g in group.items()}
+    group = by_similarity(texts)
     rows = docs(spark, plain([(i, t, "en") for i, t in texts.items()]))
     kept = corpus_pipeline.near_duplicates(spark, rows, "")
     assert kept.columns == rows.columns
@@ -238,8 +272,7 @@ def test_pipeline_equals_its_stages_by_hand(spark):
     left = {i: t for i, t in held.items() if i not in toxic}
     spoken = {r.doc_id for r in lang_id.known_language(
         rows.where(~rows.doc_id.isin(list(toxic)))).collect()}
-    bits = {i: by_hand(left[i]) for i in spoken}
-    wanted = set(groups(sorted(spoken), bits).values())
+    wanted = set(by_similarity({i: left[i] for i in spoken}).values())
     found = corpus_pipeline.run(spark, SMALL).collect()
     assert {r.doc_id for r in found} == wanted and toxic and len(wanted) < len(spoken)
 
@@ -249,3 +282,24 @@ def test_stages_keep_columns(spark, stage):
     rows = table(spark, "/root/testdata/sf0.001", "documents")
     kept = stage[1](spark, rows, "/root/testdata/sf0.001")
     assert kept.columns == rows.columns and 0 < kept.count() <= rows.count()
+
+
+def test_stages_keep_columns_whose_names_they_use(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60).selectExpr(
+        "*", "doc_id as _p_toxic", "doc_id as _P_INSULT", "doc_id as _lang_pred",
+        "doc_id as _lang_ambiguous", "doc_id as _node", "doc_id as __node", "doc_id as bits",
+        "doc_id as names")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, rows, SMALL)
+        assert kept.columns == rows.columns
+        held = kept.collect()
+        assert held and all(r[c] == r.doc_id for r in held for c in rows.columns[5:])
+
+
+def test_near_duplicates_of_edge_rows(spark):
+    long = " ".join(f"w{i % 9000}" for i in range(60_000))
+    rows = docs(spark, plain([(4, long, "en"), (5, long + " end", "en"), (6, None, "en"),
+                              (8, "", "en"), (9, "one", "en"), (9, "one", "en")]))
+    kept = corpus_pipeline.near_duplicates(spark, rows, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 6, 9]
+    assert corpus_pipeline.near_duplicates(spark, rows.limit(0), "").count() == 0
