@@ -214,15 +214,22 @@ def rate_anomalies(hourly: DataFrame, by: list[str], k: float = 2.0,
     scored = rates.withColumns({
         "previous_rate": over("max", 1, 1),
         "trailing_mean": over("avg", trailing_hours, 1),
-        "trailing_stddev": F.round(over("stddev_samp", trailing_hours, 1), 6),
+        "trailing_stddev": over("stddev_samp", trailing_hours, 1),
     })
+    return scored_rates(scored, by, k)
+
+
+def scored_rates(rates: DataFrame, by: list[str], k: float) -> DataFrame:
+    """Change and score of rates that stand beside ``previous_rate``, ``trailing_mean`` and
+    ``trailing_stddev``."""
     distance = F.round(F.col("rate") - F.col("trailing_mean"), 6)
-    score = F.round(kpis.safe_div(distance, F.col("trailing_stddev")), 6)
+    spread = F.round("trailing_stddev", 6)
+    score = F.round(kpis.safe_div(distance, spread), 6)
     change = (kpis.safe_div(F.col("rate"), F.col("previous_rate")) - 1) * 100.0
-    return scored.select(
+    return rates.select(
         *by, "hour", "checkout_starts", "purchases", "rate", "previous_rate",
         change.alias("change_percent"),
-        F.round("trailing_mean", 6).alias("trailing_mean"), "trailing_stddev",
+        F.round("trailing_mean", 6).alias("trailing_mean"), spread.alias("trailing_stddev"),
         score.alias("score"),
         F.coalesce(F.abs(score) >= k, F.lit(False)).alias("is_anomaly"),
     )

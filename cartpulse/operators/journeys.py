@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from cartpulse.schemas import CART_STAGES
 
 
-def attribution(events: DataFrame, click_minutes: int = 30, purchase_minutes: int = 30,
-                hot_rows: int = 1_000_000, parts: int = 32) -> DataFrame:
+def attribution(events: DataFrame, click_minutes: int = 30,
+                purchase_minutes: int = 30) -> DataFrame:
     """Every purchase that follows a click in time, with the impression of that click.
 
     Copies of an event with an id count once; a purchase without an id is one of its
     own. The time bounds are checked on the matched pair. A click without a matching
     impression keeps its purchase.
 
-    An id that over ``hot_rows`` rows refer to is split: those rows are dealt over
-    ``parts`` keys and the one row with that id is repeated for each. There are at most
-    rows / ``hot_rows`` such ids. Rows without a link are dealt over keys of their own.
+    Both joins have one row per id on their right side. Where very many rows refer to one
+    id, or to none, the left side's partition is large, and adaptive execution splits it.
     """
     def once(stage: str, **columns: str) -> DataFrame:
         id_name, *others = columns
@@ -38,30 +37,20 @@ def attribution(events: DataFrame, click_minutes: int = 30, purchase_minutes: in
         F.col("event_id").alias("purchase_id"), F.col("event_time").alias("bought_at"),
         "click_id", "revenue"))
 
-    def linked(rows: DataFrame, link: str, targets: DataFrame, target: str,
-               how: str) -> DataFrame:
-        counts = rows.where(F.col(link).isNotNull()).groupBy(F.col(link).alias("id")).count()
-        hot = counts.where(F.col("count") > hot_rows).agg(F.collect_list("id")).scalar()
-
-        def is_hot(name: str):
-            return F.coalesce(F.array_contains(hot, F.col(name)), F.lit(False))
-
-        dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int")
-        ours = rows.withColumn(
-            "part", F.when(is_hot(link) | F.col(link).isNull(), dealt).otherwise(0))
-        theirs = targets.withColumn("its_part", F.explode(F.sequence(
-            F.lit(0), F.when(is_hot(target), parts - 1).otherwise(0))))
-        return ours.join(
-            theirs, (F.col(link) == F.col(target)) & (F.col("part") == F.col("its_part")),
-            how).drop("part", "its_part")
-
     def within(later: str, earlier: str, minutes: int):
         limit = F.col(earlier) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
         return F.col(later).between(F.col(earlier), limit)
 
-    bought = linked(purchases.withColumnRenamed("click_id", "via"), "via", clicks, "click_id",
-                    "inner").where(within("bought_at", "clicked_at", purchase_minutes)).drop("via")
-    shown = linked(bought, "clicked_impression", impressions, "impression_id", "left")
+    def same(link: str, target: str):
+        # With the hash as a second key, the reduced events are dealt anew, so that both
+        # sides come straight from a shuffle, which is what adaptive execution can split.
+        return (F.col(link) == F.col(target)) & (F.xxhash64(link) == F.xxhash64(target))
+
+    bought = purchases.withColumnRenamed("click_id", "via").join(
+        clicks, same("via", "click_id")).where(
+        within("bought_at", "clicked_at", purchase_minutes)).drop("via")
+    shown = bought.join(
+        impressions, same("clicked_impression", "impression_id"), "left")
     seen = F.coalesce(within("clicked_at", "seen_at", click_minutes), F.lit(False))
     return shown.select(
         "purchase_id", "click_id", F.when(seen, F.col("impression_id")).alias("impression_id"),

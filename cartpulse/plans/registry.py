@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpulse.operators import decisions, insights, journeys, quality, rollups
+from cartpulse.operators import decisions, insights, journeys, quality, rollups, visitors
 from cartpulse.plans import flows
 from cartpulse.schemas import (
     CAMPAIGN_KEYS, CART_STAGES, DEVICE_SOURCE_KEYS, FUNNEL_KEYS, MARKETING_EVENTS,
@@ -16,7 +16,7 @@ from cartpulse.schemas import (
 )
 from cartpulse.session import streaming_session, work_dir
 from cartpulse.sources import event_table, events, serving
-from cartpulse.streaming import days, quarantine
+from cartpulse.streaming import abandonment, anomalies, audit, closing, days, quarantine, views
 from cartpulse.streaming import journeys as streaming_journeys
 from cartpulse.streaming import rollups as streaming
 
@@ -147,25 +147,51 @@ def board_diff(spark, sf_dir):
                                ["spend_to_date", "revenue", "roi", "impressions", "purchases"])
 
 
+def campaign_unique_visitors(spark, sf_dir):
+    """Visitors per campaign over all time, from hourly sketches that are stored once, beside
+    the exact number and the sum of the hours that counts them again."""
+    marketing = flows.marketing(spark, sf_dir)
+    sketches = flows.stored(spark, visitors.hourly_sketches(marketing), "visitor-sketches")
+    near = visitors.checked(visitors.unique_visitors(sketches, CAMPAIGN_KEYS), marketing,
+                            CAMPAIGN_KEYS, CAMPAIGN_KEYS)
+    summed = flows.performance(spark, sf_dir).select(
+        *CAMPAIGN_KEYS, F.col("unique_visitors").alias("summed_over_hours"))
+    return near.drop("unique_visitors").alias("n").join(
+        summed.alias("s"), [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in CAMPAIGN_KEYS]
+    ).select("n.*", "summed_over_hours")
+
+
+def channel_daily_visitors(spark, sf_dir):
+    """The same sketches merged to channels and days."""
+    marketing = flows.marketing(spark, sf_dir)
+    sketches = flows.stored(spark, visitors.hourly_sketches(marketing), "visitor-sketches")
+    days_ = visitors.unique_visitors(sketches, ["channel", F.col("hour").cast("date").alias("day")])
+    return visitors.checked(
+        days_, marketing, ["channel", F.col("event_time").cast("date").alias("day")],
+        ["channel", "day"]).drop("unique_visitors")
+
+
 # --- checks ------------------------------------------------------------------------------
 
 def stage_counts(spark, sf_dir):
-    """Each stage feeds the next one: events -> stored hours -> serving table."""
-    marketing, cart = flows.marketing(spark, sf_dir), flows.cart(spark, sf_dir)
-    campaign_hours = flows.stored(spark, rollups.campaign_hourly(marketing), "campaign-hours")
-    cart_hours = flows.stored(spark, rollups.cart_hourly(cart), "cart-hours")
-    performance = rollups.campaign_performance(campaign_hours)
-    funnel = rollups.cart_funnel(cart_hours)
-    return quality.stage_counts({
-        "marketing_events": marketing,
-        "campaign_hourly_metrics": campaign_hours,
-        "campaign_performance": flows.served(spark, performance, "campaign_performance"),
-        "cart_events": cart,
-        "cart_hourly_metrics": cart_hours,
-        "cart_conversion_funnel": flows.served(spark, funnel, "cart_conversion_funnel"),
-        "campaign_snapshots": flows.campaign_snapshots(spark, sf_dir),
-        "cart_snapshots": flows.cart_snapshots(spark, sf_dir),
-    })
+    """Each stage feeds the next one: events -> stored hours -> serving table, and events ->
+    snapshots -> serving table. Rows are counted as they pass, not read again."""
+    flow = quality.Counted()
+    marketing = flow.through("marketing_events", flows.marketing(spark, sf_dir))
+    cart = flow.through("cart_events", flows.cart(spark, sf_dir))
+    campaign_hours = flows.stored(spark, flow.through(
+        "campaign_hourly_metrics", rollups.campaign_hourly(marketing)), "campaign-hours")
+    cart_hours = flows.stored(spark, flow.through(
+        "cart_hourly_metrics", rollups.cart_hourly(cart)), "cart-hours")
+    snapshots = flow.through("campaign_snapshots", flows.campaign_snapshots(spark, sf_dir))
+    cart_snapshots = flow.through("cart_snapshots", flows.cart_snapshots(spark, sf_dir))
+    for name, rows in (
+            ("campaign_performance", rollups.campaign_performance(campaign_hours)),
+            ("cart_conversion_funnel", rollups.cart_funnel(cart_hours))):
+        flows.served(spark, flow.through(name, rows), name)
+    flows.served(spark, rollups.campaign_snapshot_latest(snapshots), "marketing_campaigns")
+    flows.served(spark, rollups.cart_snapshot_latest(cart_snapshots), "cart_analytics")
+    return flow.counts(spark)
 
 
 def campaign_conservation(spark, sf_dir):
@@ -225,15 +251,100 @@ def stream_hourly_watermarked(spark, sf_dir):
             stream, "marketing", out, checkpoint, watermark=WATERMARK)).drop(serving.BATCH_ID)
 
 
+def _until_closed(source, kind, hours, spark, sf_dir) -> list[DataFrame]:
+    """Two deliveries and the events that close the feed, so many hours after its last."""
+    return [*_two_deliveries(source, spark, sf_dir),
+            closing.closing_events(source(spark, sf_dir), kind, hours)]
+
+
 def stream_attribution(spark, sf_dir):
-    """Purchases up to four hours before the last event, of which all links are settled."""
-    marketing = flows.marketing(spark, sf_dir)
-    linked = flows.streamed(
+    """Every purchase with its links; the closing events settle those at the end."""
+    return flows.streamed(
         spark, "stream-attribution", events.read_events, "marketing",
-        _two_deliveries(flows.marketing, spark, sf_dir),
+        _until_closed(flows.marketing, "marketing", 4, spark, sf_dir),
         streaming_journeys.start_attribution).drop(serving.BATCH_ID)
-    last = marketing.agg(F.max("event_time")).scalar()
-    return linked.where(F.col("bought_at") < last - F.expr("INTERVAL '4' HOUR"))
+
+
+def _near_exact(days: DataFrame, marketing: DataFrame) -> DataFrame:
+    """Days with the exact number of visitors and whether the estimate is near it."""
+    day = F.col("event_time").cast("date").alias("day")
+    by = [*CAMPAIGN_KEYS, "day"]
+    near = visitors.checked(days, marketing, [*CAMPAIGN_KEYS, day], by)
+    rows = days.drop("unique_visitors").alias("d").join(
+        near.drop("unique_visitors").alias("n"),
+        [F.col(f"d.{k}").eqNullSafe(F.col(f"n.{k}")) for k in by])
+    return rows.select("d.*", "exact_visitors", "within_error")
+
+
+def stream_closed_days(spark, sf_dir):
+    days_ = flows.streamed(
+        spark, "stream-closed-days", events.read_events, "marketing",
+        _until_closed(flows.marketing, "marketing", 48, spark, sf_dir),
+        closing.start_closed_days).drop(serving.BATCH_ID)
+    return _near_exact(days_, flows.marketing(spark, sf_dir))
+
+
+def stream_rate_anomalies(spark, sf_dir):
+    return _rounded(flows.streamed(
+        spark, "stream-anomalies", events.read_events, "cart",
+        _until_closed(flows.cart, "cart", 4, spark, sf_dir),
+        lambda stream, out, checkpoint: anomalies.start_rate_anomalies(
+            stream, ["device_type"], out, checkpoint)).drop(serving.BATCH_ID), "change_percent")
+
+
+def _short_lived(spark, sf_dir):
+    return event_table.with_short_lived_users(flows.cart(spark, sf_dir), 2)
+
+
+def return_rate_short_lived(spark, sf_dir):
+    return decisions.return_rate(_short_lived(spark, sf_dir))
+
+
+def stream_return_rate(spark, sf_dir):
+    carts = flows.streamed(
+        spark, "stream-carts", events.read_events, "cart",
+        _until_closed(_short_lived, "cart", 60, spark, sf_dir), abandonment.start_abandoned_carts)
+    return abandonment.return_rate(carts)
+
+
+def stream_campaign_insights(spark, sf_dir):
+    """The live view after the budgets have changed between two batches."""
+    base = work_dir(spark, "live-insights")
+    budgets, topic, out = f"{base}/budgets", f"{base}/topic", f"{base}/out"
+    session = streaming_session(spark)
+    first = event_table.budgets(spark).withColumn("budget", F.lit(1.0))
+    for table, delivery in zip((first, event_table.budgets(spark)),
+                               _two_deliveries(flows.marketing, spark, sf_dir)):
+        table.write.mode("overwrite").parquet(budgets)
+        events.publish(delivery, topic)
+        views.start_campaign_insights(
+            events.read_events(session, "marketing", topic, streaming=True),
+            lambda s: s.read.parquet(budgets), out, f"{base}/checkpoint").awaitTermination()
+    return views.read_view(spark, out)
+
+
+def stream_unique_visitors(spark, sf_dir):
+    changelog = flows.streamed(
+        spark, "stream-visitors", events.read_events, "marketing",
+        _late_first(flows.marketing, spark, sf_dir), streaming.start_visitor_sketches)
+    sketches = serving.latest_version(changelog, [*CAMPAIGN_KEYS, "hour"])
+    return visitors.checked(
+        visitors.unique_visitors(sketches, CAMPAIGN_KEYS), flows.marketing(spark, sf_dir),
+        CAMPAIGN_KEYS, CAMPAIGN_KEYS).drop("unique_visitors")
+
+
+def stream_state_audit(spark, sf_dir):
+    """State and published totals of the funnel stream after a restart between deliveries."""
+    base = work_dir(spark, "stream-audit")
+    topic, out, checkpoint = f"{base}/topic", f"{base}/out", f"{base}/checkpoint"
+    session = streaming_session(spark)
+    for delivery in _late_first(flows.cart, spark, sf_dir):
+        events.publish(delivery, topic)
+        streaming.start_cart_funnel(
+            events.read_events(session, "cart", topic, streaming=True), out,
+            checkpoint).awaitTermination()
+    return audit.compared(session, checkpoint, out, FUNNEL_KEYS, {
+        2: "total_page_views", 6: "total_purchases", 7: "total_revenue"})
 
 
 def _stream_snapshots(kind, keys, source, spark, sf_dir):
@@ -479,6 +590,8 @@ QUERIES: dict[str, Query] = {
     "campaign_performance": campaign_performance,
     "campaign_performance_one_level": flows.performance,
     "channel_aggregates": channel_aggregates,
+    "campaign_unique_visitors": campaign_unique_visitors,
+    "channel_daily_visitors": channel_daily_visitors,
     "cart_hourly": cart_hourly,
     "cart_funnel": cart_funnel,
     "cart_funnel_one_level": flows.funnel,
@@ -513,6 +626,12 @@ QUERIES: dict[str, Query] = {
     "stream_cart_hourly": partial(_stream_hourly, "cart", FUNNEL_KEYS, flows.cart),
     "stream_hourly_watermarked": stream_hourly_watermarked,
     "stream_attribution": stream_attribution,
+    "stream_closed_days": stream_closed_days,
+    "stream_rate_anomalies": stream_rate_anomalies,
+    "stream_return_rate": stream_return_rate,
+    "stream_campaign_insights": stream_campaign_insights,
+    "stream_unique_visitors": stream_unique_visitors,
+    "stream_state_audit": stream_state_audit,
     "stream_campaign_snapshot_latest": partial(
         _stream_snapshots, "campaign", CAMPAIGN_KEYS, flows.campaign_snapshots),
     "stream_cart_snapshot_latest": partial(
@@ -541,6 +660,7 @@ QUERIES: dict[str, Query] = {
     "category_insights": category_insights,
     "device_gap": device_gap,
     "return_rate": return_rate,
+    "return_rate_short_lived": return_rate_short_lived,
     "views_vs_conversion": views_vs_conversion,
     "session_views_vs_conversion": session_views_vs_conversion,
     "first_visit_abandonment": first_visit_abandonment,

@@ -106,6 +106,14 @@ def cart_events(table: DataFrame) -> DataFrame:
     )
 
 
+def with_short_lived_users(cart: DataFrame, days: int) -> DataFrame:
+    """Users as a site sees them that forgets them after so many days: each known user
+    becomes another one with every span of ``days`` calendar days."""
+    span = F.floor(F.datediff(F.col("event_time").cast("date"), F.lit("1970-01-01").cast("date"))
+                   / days).cast("string")
+    return cart.withColumn("user_id", F.concat("user_id", F.lit("-"), span))
+
+
 def _running(daily: DataFrame, keys: list[str], counters: list[str]) -> DataFrame:
     """Daily rows turned into running totals: one snapshot per key and day.
     The window holds one row per day of a key, whatever the event volume."""

@@ -3,11 +3,12 @@
 Every query writes its changed rows per micro-batch to a changelog folder
 (`cartpulse.sources.serving`); `latest_version` of it is the current table.
 
-Exact distinct counts do not collect users in a state row: a first sighting is
-found by deduplicating (group, hour, user) in its own state, spread over all
-partitions, and then adds 1 to the same plain sum as every other measure.
-Deduplication in a stream has no map-side step, so it runs twice: within a salt,
-which spreads one user's many events over many tasks, and then on what is left.
+Exact distinct counts do not collect users in a state row: a first sighting of
+(group, hour, user) is found in state of its own, spread over all partitions, and adds
+1 to the same plain sum as every other measure (`cartpulse.streaming.sightings`), in
+one pass over the events. Only hours that a watermark closes take two passes: there
+sightings are found by deduplication, first within a salt, which spreads one user's
+many events over many tasks, and then on what is left.
 
 Start the streams from a `cartpulse.session.streaming_session`.
 """
@@ -22,11 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cartpulse.functions import kpis
-from cartpulse.operators import rollups
+from cartpulse.operators import rollups, visitors
 from cartpulse.schemas import (
     CAMPAIGN_KEYS, CART_STAGES, DEVICE_SOURCE_KEYS, FUNNEL_KEYS, MARKETING_STAGES,
 )
 from cartpulse.sources.serving import append_changelog
+from cartpulse.streaming.sightings import with_first_sightings
 
 SALTS = 256
 
@@ -58,7 +60,8 @@ def _long(value: int) -> Column:
     return F.lit(value).cast("long")
 
 
-def _counted(events: DataFrame, kind: Kind, time: str, visitors: Column) -> DataFrame:
+def counted(events: DataFrame, kind: Kind, time: str, who: Column,
+             *more: Column) -> DataFrame:
     """One row per event with its share of every measure."""
     stage = F.col("event_type")
     return events.select(
@@ -67,10 +70,32 @@ def _counted(events: DataFrame, kind: Kind, time: str, visitors: Column) -> Data
           for name, s in kind.counters.items()],
         *[kpis.value_when(stage == s, F.col(column)).alias(name)
           for name, (s, column) in kind.amounts.items()],
-        visitors.alias(kind.visitors[0]),
+        who.alias(kind.visitors[0]), *more,
     )
 
 
+def _rollup(events: DataFrame, kind: Kind, time: str, by: list[str], exact: bool,
+            *more: Column, forget: str | None = None) -> DataFrame:
+    """All measures of ``events`` grouped by ``by``; ``time`` is the hour's column.
+
+    ``forget`` is the watermark after which exact visitors are forgotten.
+    """
+    name, stage, visitor = kind.visitors
+    visit = (F.col("event_type") == stage) & F.col(visitor).isNotNull()
+    if exact:
+        at = kpis.utc_instant(F.col("event_time")).alias("event_time")
+        shares = counted(events, kind, time, F.when(visit, F.col(visitor)), at)
+        rows = with_first_sightings(shares, kind.keys, [*kind.counters, *kind.amounts], name,
+                                    visitor=name, watermark=forget)
+        distinct = F.sum(name)
+    else:
+        rows = counted(events, kind, time, F.when(visit, F.struct(time, visitor)))
+        distinct = F.approx_count_distinct(name)
+    return rows.groupBy(*by).agg(
+        *more, *[F.sum(c).alias(c) for c in kind.counters], distinct.alias(name),
+        *[F.sum(c).alias(c) for c in kind.amounts])
+
+
 def _first_sightings(events: DataFrame, kind: Kind, time: str) -> DataFrame:
     """One row per visitor of a group and hour that counts the visitor and nothing else."""
     name, stage, visitor = kind.visitors
@@ -85,21 +110,14 @@ def _first_sightings(events: DataFrame, kind: Kind, time: str) -> DataFrame:
     )
 
 
-def _rollup(events: DataFrame, kind: Kind, time: str, by: list[str], exact: bool,
-            *more: Column) -> DataFrame:
-    """All measures of ``events`` grouped by ``by``; ``time`` is the hour's column."""
-    name, stage, visitor = kind.visitors
-    if exact:
-        rows = _counted(events, kind, time, _long(0)).unionByName(
-            _first_sightings(events, kind, time))
-        distinct = F.sum(name)
-    else:
-        visit = (F.col("event_type") == stage) & F.col(visitor).isNotNull()
-        rows = _counted(events, kind, time, F.when(visit, F.struct(time, visitor)))
-        distinct = F.approx_count_distinct(name)
-    return rows.groupBy(*by).agg(
-        *more, *[F.sum(c).alias(c) for c in kind.counters], distinct.alias(name),
-        *[F.sum(c).alias(c) for c in kind.amounts])
+def _closed_windows(events: DataFrame, kind: Kind) -> DataFrame:
+    """All measures by key and ``window``, with exact visitors. Deduplication and windows
+    share the watermark here, which costs a second pass over the events."""
+    name = kind.visitors[0]
+    rows = counted(events, kind, "window", _long(0)).unionByName(
+        _first_sightings(events, kind, "window"))
+    return rows.groupBy(*kind.keys, "window").agg(
+        *[F.sum(c).alias(c) for c in [*kind.counters, name, *kind.amounts]])
 
 
 def _deduplicated(events: DataFrame, dedup: str | None, watermarked: bool = False) -> DataFrame:
@@ -150,16 +168,34 @@ def each_batch(writer: DataStreamWriter, process: Callable[[DataFrame, int], Non
 
 def start_campaign_performance(events: DataFrame, out: str, checkpoint: str,
                                dedup: str | None = None, exact_visitors: bool = True,
-                               every: str | None = None) -> StreamingQuery:
+                               every: str | None = None,
+                               forget: str | None = None) -> StreamingQuery:
     """Campaign rollup with all KPIs, updated by every event however late it is.
 
     ``exact_visitors=False`` estimates ``unique_visitors`` (5% standard deviation)
-    with a small sketch per campaign instead of the state of first sightings.
+    with a small sketch per campaign instead of the state of first sightings. With
+    ``forget``, a watermark, that state is bounded: the visitors of an hour go once the
+    watermark has passed it, and later events are not counted.
     """
+    rows = campaign_totals(events, dedup, exact_visitors, forget)
+    return _start(rows, CAMPAIGN_KEYS, out, checkpoint, "update", every)
+
+
+def campaign_totals(events: DataFrame, dedup: str | None = None, exact_visitors: bool = True,
+                    forget: str | None = None) -> DataFrame:
+    """The rows of `start_campaign_performance` as a stream."""
     timed = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
     totals = _rollup(timed, KINDS["marketing"], "hour", CAMPAIGN_KEYS, exact_visitors,
-                     F.min("hour").alias("start_date"), F.max("hour").alias("last_updated"))
-    return _start(rollups.with_campaign_kpis(totals), CAMPAIGN_KEYS, out, checkpoint,
+                     F.min("hour").alias("start_date"), F.max("hour").alias("last_updated"),
+                     forget=forget)
+    return rollups.with_campaign_kpis(totals)
+
+
+def start_visitor_sketches(events: DataFrame, out: str, checkpoint: str,
+                           every: str | None = None) -> StreamingQuery:
+    """One sketch of users per campaign and hour, updated by every event however late;
+    `cartpulse.operators.visitors` merges the newest ones to any time and campaigns."""
+    return _start(visitors.hourly_sketches(events), [*CAMPAIGN_KEYS, "hour"], out, checkpoint,
                   "update", every)
 
 
@@ -186,8 +222,9 @@ def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
         return _start(rows, counted.keys, out, checkpoint, "update", every)
     timed = events.withColumn("event_time", kpis.utc_instant(F.col("event_time")))
     timed = _deduplicated(timed.withWatermark("event_time", watermark), dedup, watermarked=True)
-    closed = _rollup(timed.withColumn("window", F.window("event_time", "1 hour")), counted,
-                     "window", [*counted.keys, "window"], exact_visitors)
+    windowed = timed.withColumn("window", F.window("event_time", "1 hour"))
+    closed = _closed_windows(windowed, counted) if exact_visitors else _rollup(
+        windowed, counted, "window", [*counted.keys, "window"], False)
     rows = closed.withColumn("hour", kpis.utc_wall_clock(F.col("window.start"))).drop("window")
     return _start(rows, counted.keys, out, checkpoint, "append", every)
 

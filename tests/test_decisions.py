@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartpulse import schemas
+from cartpulse.session import work_dir
 from cartpulse.operators import decisions, journeys
 
 T0 = datetime(2024, 1, 1)
@@ -259,14 +260,20 @@ def test_purchases_without_an_id_keep_their_revenue(spark):
 @pytest.mark.parametrize("impression, click", [
     ("'i'", "'c7'"), ("CAST(NULL AS STRING)", "concat('c', id)"), ("'i'", "concat('c', id)")])
 def test_hot_and_missing_links_share_the_load(spark, impression, click):
-    """One hot click, no impression at all, one hot impression: the same rows either
-    way, and with a low bound they come out of several tasks."""
-    spark = spark.newSession()
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    """One hot click, no impression at all, one hot impression: adaptive execution splits
+    the partition they share, and the rows stay the same."""
     events = _shopping(spark, 3000, impression, click, "concat('p', id)")
     whole = journeys.attribution(events)
-    split = journeys.attribution(events, hot_rows=100, parts=16)
+    session = spark.newSession()
+    for key, value in {
+            "autoBroadcastJoinThreshold": "-1", "adaptive.coalescePartitions.enabled": "false",
+            "adaptive.skewJoin.skewedPartitionThresholdInBytes": "256b",
+            "adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "adaptive.advisoryPartitionSizeInBytes": "128b", "shuffle.partitions": "8"}.items():
+        session.conf.set(f"spark.sql.{key}", value)
+    moved = work_dir(spark, "hot-links")
+    events.repartition(8).write.parquet(moved)      # the rows come from several tasks
+    split = journeys.attribution(session.read.parquet(moved))
     assert sorted(whole.collect(), key=str) == sorted(split.collect(), key=str)
     sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 3000 and max(sizes) < 3000
