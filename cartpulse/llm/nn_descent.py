@@ -4,15 +4,17 @@ Equal vectors are one node. A first graph comes from leaves of random hyperplane
 which all vectors are compared. Then, round by round, every node sends itself to all its
 neighbours in either direction, and the neighbours that meet at a node are compared with
 each other: neighbours of neighbours. Pairs nearer than a node's worst neighbour
-replace it. While the graph is built, vectors travel as 8-bit numbers.
+replace it, until a round changes few neighbours. Vectors travel as directions in single
+precision, so that near but different ones stay apart.
 
-A query starts from its own node and expands the nearest nodes found so far that have
-not been expanded, some at a time. What it ends with is scored anew from the original
-vectors in double precision.
+A query starts from its own node and expands the nearest nodes found so far, some at a
+time, until the nearest ones have all been expanded. What it ends with is scored anew from
+the original vectors in double precision.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,31 +30,25 @@ TREES = 8
 LEAF = 800
 #: Neighbours that a leaf proposes for each of its nodes.
 PROPOSED = 16
-ROUNDS = 3
+#: Rounds end when at most this share of all neighbours is new.
+SETTLED = 0.01
 #: Neighbours that meet at a node at a time; those of a hub meet in several groups.
 MEETING = 256
+#: Nodes that a query keeps, all of them scored anew in the end, and how many of them, the
+#: nearest, it expands.
 BEAM = 128
 EXPANDED = 64
-HOPS = 2
-#: Nodes of a query that are scored anew.
-RESCORED = 24
 _LIST = "node long, ids array<long>, sims array<float>"
 
 
 def coded(rows: np.ndarray) -> np.ndarray:
-    """Directions as 8-bit numbers, each row stretched to the full range."""
-    rows = units(rows.astype(np.float64))
-    return np.rint(rows * (127 / np.abs(rows).max(axis=1, keepdims=True))).astype(np.int8)
+    """Directions in single precision."""
+    return units(rows.astype(np.float64)).astype(np.float32)
 
 
-def _scaled(codes: np.ndarray) -> np.ndarray:
-    rows = codes.astype(np.float32)
-    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
-
-
-def _codes(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     held = column.to_pylist()
-    return np.frombuffer(b"".join(held), np.int8).reshape(len(held), -1)
+    return np.frombuffer(b"".join(held), np.float32).reshape(len(held), -1)
 
 
 def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,7 +100,7 @@ def _merged(lists: DataFrame, most: int) -> DataFrame:
 def _leaf_lists(proposed: int):
     def run(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
-        rows = _scaled(_codes(table.column("code")))
+        rows = _rows(table.column("code"))
         near = rows @ rows.T
         np.fill_diagonal(near, -2)
         k = min(proposed, len(nodes) - 1)
@@ -127,10 +123,10 @@ def _first_graph(coded_nodes: DataFrame, count: int, neighbours: int, trees: int
         for batch in batches:
             if not len(batch):
                 continue
-            lengths = np.array([len(c) for c in batch.column("code").to_pylist()])
+            lengths = np.array([len(c) // 4 for c in batch.column("code").to_pylist()])
             for size in np.unique(lengths):   # vectors of different lengths never meet
                 part = batch.filter(pa.array(lengths == size))
-                rows = _scaled(_codes(part.column("code")))
+                rows = _rows(part.column("code"))
                 for tree in range(trees):
                     planes = np.random.default_rng([tree, int(size)]).standard_normal(
                         (size, depth)).astype(np.float32)
@@ -162,7 +158,7 @@ def _meetings(neighbours: int):
         for table in whole_runs(batches, "at", MEETING * 64):
             at = table.column("at").to_numpy()
             nodes, worst = table.column("node").to_numpy(), table.column("worst").to_numpy()
-            rows = _scaled(_codes(table.column("code")))
+            rows = _rows(table.column("code"))
             heads = np.append(np.flatnonzero(np.diff(at, prepend=at[0] - 1)), len(at))
             found = []
             for head, over in zip(heads[:-1].tolist(), heads[1:].tolist()):
@@ -179,11 +175,18 @@ def _meetings(neighbours: int):
 
 
 def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, trees: int = TREES,
-                    leaf: int = LEAF, rounds: int = ROUNDS, proposed: int = PROPOSED) -> DataFrame:
-    """(node, ids, sims): the nearest nodes found of each of ``nodes`` (node, code)."""
+                    leaf: int = LEAF, rounds: int | None = None,
+                    proposed: int = PROPOSED) -> DataFrame:
+    """(node, ids, sims): the nearest nodes found of each of ``nodes`` (node, code).
+
+    Without a number of ``rounds`` there are as many as it takes until at most ``SETTLED``
+    of all neighbours are new in one.
+    """
     count = nodes.count()
     graph = _first_graph(nodes, count, neighbours, trees, leaf, proposed)
-    for _ in range(rounds):
+    for done in itertools.count():
+        if done == rounds:
+            return graph
         worst = F.when(F.size("sims") < neighbours, F.lit(-2.0)).otherwise(
             F.element_at("sims", -1)).cast("float")
         state = graph.select("node", worst.alias("worst")).join(
@@ -193,26 +196,33 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, trees: int =
             F.col("other").alias("at"), "node", "code", "worst")
         lists = visits.repartition("at").sortWithinPartitions("at").mapInArrow(
             _meetings(neighbours), _LIST)
+        before = graph
         graph = written(_merged(graph.unionByName(lists), neighbours), "nn-graph")
-    return graph
+        if rounds is None:
+            new = graph.join(before.select("node", F.col("ids").alias("old")), "node").agg(
+                F.sum(F.size(F.array_except("ids", "old"))).alias("new"),
+                F.sum(F.size("ids")).alias("all")).first()
+            if not new["new"] or new["new"] <= SETTLED * new["all"]:
+                return graph
 
 
 def _scores(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                one = _scaled(_codes(batch.column("query")))
-                two = _scaled(_codes(batch.column("code")))
+                one = _rows(batch.column("query"))
+                two = _rows(batch.column("code"))
                 yield nearest_lists(batch.column("node").to_numpy(),
                                     batch.column("other").to_numpy(),
                                     (one * two).sum(axis=1), most)
     return run
 
 
-def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, hops: int = HOPS,
+def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame,
            expanded: int = EXPANDED, beam: int = BEAM) -> DataFrame:
-    """(node, ids, sims): for every node of ``starts`` the nearest nodes that a greedy
-    search from it has met; ``nodes`` holds (node, code)."""
+    """(node, ids, sims): for every node of ``starts`` the nearest ``beam`` nodes that a
+    greedy search from it has met; it ends when the nearest ``expanded`` of them have all
+    been expanded. ``nodes`` holds (node, code)."""
     around = written(_adjacent(graph).groupBy("node", F.pmod("other", F.lit(8)).alias("share"))
                      .agg(F.collect_list("other").alias("others")), "nn-around")
     codes = nodes.select("node", "code")
@@ -220,7 +230,7 @@ def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, hops: int = HO
     frontier = asked.select("node", F.col("node").alias("through"))
     seen = asked.select("node", F.col("node").alias("other"))
     best = done = None
-    for hop in range(hops + 1):
+    while True:
         met = (frontier.join(around.select(F.col("node").alias("through"), "others"), "through")
                .select("node", F.explode("others").alias("other")).distinct())
         new = written(met.join(seen, ["node", "other"], "left_anti"), "nn-met")
@@ -229,17 +239,12 @@ def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, hops: int = HO
                 _scores(beam), _LIST)
         best = written(_merged(scored if best is None else best.unionByName(scored), beam),
                        "nn-best")
-        if hop == hops:
-            return best
         seen = seen.unionByName(new)
         done = frontier if done is None else done.unionByName(frontier)
-        ranked = best.select("node", F.posexplode("ids").alias("rank", "through")) \
-            .join(done, ["node", "through"], "left_anti")
-        first = Window.partitionBy("node").orderBy("rank")   # at most ``beam`` rows each
-        frontier = written(ranked.withColumn("turn", F.row_number().over(first))
-                           .where(F.col("turn") <= expanded).select("node", "through"),
-                           "nn-frontier")
-    return best
+        nearest_ = best.select("node", F.explode(F.slice("ids", 1, expanded)).alias("through"))
+        frontier = written(nearest_.join(done, ["node", "through"], "left_anti"), "nn-frontier")
+        if frontier.isEmpty():
+            return best
 
 
 def _cosine(a: str, b: str):
@@ -283,7 +288,7 @@ def nearest(table: DataFrame, queries, k: int = 5, key: str = "vec_id",
     starts = asked.select("node").distinct()
     graph = neighbour_graph(nodes, **graph_options)
     found = search(starts, graph, nodes)
-    near = found.select("node", F.explode(F.slice("ids", 1, RESCORED)).alias("other")) \
+    near = found.select("node", F.explode("ids").alias("other")) \
         .union(starts.select("node", F.col("node").alias("other")))
     vectors = nodes.select("node", "embedding", "members")
     exact = (near.join(vectors.drop("members").withColumnRenamed("embedding", "one"), "node")

@@ -1,11 +1,12 @@
-"""Near-duplicates among vectors through cells of nearest pivots, without loss.
-
-The vectors of a label are dealt to the cells of their nearest pivots, and cells are
-split into parts of bounded size. A part keeps the smallest and largest angle of its
-vectors to each of some pivots. Two parts between which one of these ranges leaves a
-gap wider than the angle of the threshold hold no link, by the triangle inequality;
-all other parts meet, and a meeting compares all of their vectors. Each meeting returns
-counts and a spanning forest, never pairs.
+"""Near-duplicates among vectors through a pivot-permutation index.
+
+A vector is described by the pivots nearest to it, and stands in the inverted list of each
+of them. Pivots lie apart from one another, by more than twice the angle of a link, so that
+a group of copies, however large, does not get pivots of its own to be torn apart by. Two
+vectors of one label are candidates if they share at least ``SHARED`` of their ``PREFIX``
+nearest pivots; they are compared in the list of the first pivot they share, and only
+there. A list that many vectors stand in is cut into slots that meet in pairs, so no list
+is too long for a task. A meeting returns counts and a spanning forest, never pairs.
 """
 
 from __future__ import annotations
@@ -22,104 +23,163 @@ from cartpulse.llm.frames import written
 from cartpulse.llm.vectors import directions, matrix, units
 
 THRESHOLD = 0.98
-#: Pivots: rows with the smallest hashes, this many for each square root of the rows
-#: and at least LEAST_PIVOTS; as many as fit in PIVOT_BYTES at most.
-PER_ROOT = 2.0
-LEAST_PIVOTS = 128
-PIVOT_BYTES = 16_000_000
-#: Pivots whose ranges of angles tell that two parts hold no link, at most.
-RANGES = 128
-#: Vectors of a part, on average at most.
+#: Nearest pivots of a vector, and how many of them candidates share. Of pairs at the
+#: threshold under one in 20,000 share fewer (8 and 64 dimensions, 64 to 450 pivots).
+PREFIX = 8
+SHARED = 2
+#: Pivots, at most, and the rows that they are taken from, by the smallest hashes.
+PIVOTS = 256
+SAMPLE = 2048
+#: Fewer pivots tell nothing apart: then all vectors of a label are one list.
+LEAST_PIVOTS = 4 * PREFIX
+#: Vectors of a slot, on average at most.
 PART = 4096
 _ROWS_AT_ONCE = 256
 #: Cosines nearer to the threshold than this are summed anew, in one order for both sides.
 _CLOSE = 1e-9
 
 
-def _pivots(vectors: DataFrame, count: int) -> dict[int, np.ndarray]:
-    """Unit pivots by vector length: different vectors, spread over all rows by a hash."""
-    wanted = max(LEAST_PIVOTS, int(PER_ROOT * np.sqrt(count)))
-    found: dict[int, list] = {}
+def _pivots(vectors: DataFrame, threshold: float, most: int = PIVOTS) -> dict[int, np.ndarray]:
+    """Unit pivots by vector length, for the 16 most frequent lengths: rows spread over all
+    by a hash, of which those near an earlier one are left out."""
+    apart = np.cos(2.2 * np.arccos(np.clip(threshold, -1, 1)))
+    found: dict[int, np.ndarray] = {}
     sizes = [r.size for r in vectors.groupBy(F.size("embedding").alias("size")).count()
              .orderBy(F.desc("count"), "size").limit(16).collect()]
     for size in sizes:
-        most = max(1, min(wanted, PIVOT_BYTES // (8 * size)))
         rows = vectors.where(F.size("embedding") == size).select("embedding").orderBy(
-            F.xxhash64("key"), "key").limit(most).collect()
-        some = units(np.unique(np.array([r.embedding for r in rows]), axis=0))
-        # in no order, as cells take the first ones
-        found[size] = some[np.random.default_rng(size).permutation(len(some))]
+            F.xxhash64("key"), "key").limit(SAMPLE).collect()
+        kept = np.empty((0, size))
+        for row in units(np.array([r.embedding for r in rows])):
+            if len(kept) < most and not (kept @ row > apart).any():
+                kept = np.vstack([kept, row])
+        if len(kept) >= LEAST_PIVOTS:
+            found[size] = kept
     return found
 
 
-_PARTS = ("label string, size int, pivot long, slot long, nodes array<long>, "
-          "copies array<long>, vectors binary, least array<double>, most array<double>")
-
-
-def _part(known: dict[int, np.ndarray]):
-    """The rows of a part as one, with its ranges of angles."""
-    def run(table: pa.Table) -> pa.Table:
-        size = table.column("size")[0].as_py()
-        rows = units(matrix(table.column("embedding").combine_chunks()))
-        angles = np.arccos(np.clip(rows @ known[size][:RANGES].T, -1, 1)) if size in known \
-            else np.zeros((len(rows), 0))
-        lists = [pa.array([x.tolist()], t) for x, t in (
-            (table.column("node").to_numpy(), pa.list_(pa.int64())),
-            (table.column("copies").to_numpy(), pa.list_(pa.int64())))]
-        ranges = [pa.array([x.tolist()], pa.list_(pa.float64()))
-                  for x in (angles.min(axis=0), angles.max(axis=0))]
-        return pa.Table.from_arrays(
-            [*(table.column(c).combine_chunks()[:1] for c in ("label", "size", "pivot", "slot")),
-             *lists, pa.array([rows.tobytes()], pa.binary()), *ranges],
-            ["label", "size", "pivot", "slot", "nodes", "copies", "vectors", "least", "most"])
+def described(rows: np.ndarray, pivots: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivots of each row in order of nearness, and the same as bits."""
+    if pivots is None:
+        # two pivots that everything shares
+        nearest = np.tile(np.arange(SHARED), (len(rows), 1))
+    else:
+        angle = -(rows @ pivots.T)
+        nearest = np.argpartition(angle, PREFIX, axis=1)[:, :PREFIX]
+        nearest = np.take_along_axis(nearest, np.argsort(
+            np.take_along_axis(angle, nearest, axis=1), axis=1), axis=1)
+    bits = np.zeros((len(rows), PIVOTS), dtype=np.uint8)
+    np.put_along_axis(bits, nearest, 1, axis=1)
+    return nearest, np.packbits(bits, axis=1, bitorder="little")
+
+
+def _place(known: dict[int, np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes):
+                some = batch.filter(pa.array(sizes == size))
+                rows = units(matrix(some.column("embedding")))
+                nearest, bits = described(rows, known.get(int(size)))
+                yield pa.RecordBatch.from_arrays(
+                    [*(some.column(c) for c in ("label", "size", "node", "copies")),
+                     pa.array([r.tobytes() for r in rows], pa.binary()),
+                     pa.array(nearest.tolist(), pa.list_(pa.int32())),
+                     pa.array([r.tobytes() for r in bits], pa.binary())],
+                    ["label", "size", "node", "copies", "vector", "nearest", "bits"])
     return run
 
 
+def _side(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    vectors, bits = (b"".join(rows.column(c).to_pylist()) for c in ("vector", "bits"))
+    return (rows.column("node").to_numpy(), rows.column("copies").to_numpy().astype(np.float64),
+            np.frombuffer(vectors).reshape(len(rows), -1),
+            np.frombuffer(bits, "<u8").reshape(len(rows), -1))
+
+
+def _sharing(one: np.ndarray, two: np.ndarray, pivot: int) -> np.ndarray:
+    """Which pairs of rows of a pivot's list share that pivot first, and enough others."""
+    low = np.zeros((len(one), len(two)), dtype=np.uint64)
+    count = np.zeros(low.shape, dtype=np.uint8)
+    for word in range(one.shape[1]):
+        # where few rows have a bit of this word, most of the work is zero
+        shared = one[:, word, None] & two[:, word]
+        count += np.bitwise_count(shared)
+        begin = pivot - 64 * word
+        if begin > 0:
+            low |= shared & np.uint64((1 << min(begin, 64)) - 1)
+    return (low == 0) & (count >= SHARED)
+
+
+def compared(pivot: int, left: tuple, right: tuple | None,
+             threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, links, other) of the rows of a meeting that link: how many rows each links
+    with there, and the first node of its group. Without ``right``, a slot meets itself."""
+    alone = right is None
+    one, times, ours, bits = left
+    two, theirs_times, theirs, their_bits = left if alone else right
+    nodes = one if alone else np.concatenate([one, two])
+    behind = 0 if alone else len(one)
+    parent, links = np.arange(len(nodes)), np.zeros(len(nodes))
+    for at in range(0, len(one), _ROWS_AT_ONCE):
+        over = min(at + _ROWS_AT_ONCE, len(one))
+        hits = _sharing(bits[at:over], their_bits, pivot)
+        if alone:
+            hits[np.arange(over - at), np.arange(at, over)] = False
+        if not hits.any():
+            continue
+        part = ours[at:over]
+        near = part @ theirs.T
+        close = hits & (np.abs(near - threshold) < _CLOSE)
+        hits &= near >= threshold
+        a, b = np.nonzero(close)
+        hits[a, b] = np.einsum("ij,ij->i", part[a], theirs[b]) >= threshold
+        if not hits.any():
+            continue
+        links[at:over] += hits @ theirs_times
+        if not alone:
+            links[behind:] += times[at:over] @ hits
+        a, b = np.nonzero(hits & (parent[at:over, None] != parent[behind:]))
+        a, b = a + at, b + behind
+        while True:
+            low, high = np.minimum(parent[a], parent[b]), np.maximum(parent[a], parent[b])
+            open_ = low != high
+            if not open_.any():
+                break
+            a, b = a[open_], b[open_]
+            np.minimum.at(parent, high[open_], low[open_])
+            while not np.array_equal(further := parent[parent], parent):
+                parent = further
+    found = np.flatnonzero(links)
+    return nodes[found], links[found].astype(np.int64), nodes[parent[found]]
+
+
 def _meet(threshold: float):
-    empty = {"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()),
-             "other": pa.array([], pa.int64())}
-
-    def run(table: pa.Table) -> pa.Table:
-        sides = table.sort_by("side").to_pylist()   # a part with itself is one row
-        held = [np.array(r["nodes"], dtype=np.int64) for r in sides]
-        blocks = [np.frombuffer(r["vectors"]).reshape(len(n), -1) for r, n in zip(sides, held)]
-        nodes = np.concatenate(held)
-        times = np.concatenate([r["copies"] for r in sides]).astype(np.float64)
-        left, right = blocks[0], blocks[-1]
-        alone = len(sides) == 1
-        behind = 0 if alone else len(left)
-        parent = np.arange(len(nodes))
-        links = np.zeros(len(nodes))
-        for at in range(0, len(left), _ROWS_AT_ONCE):
-            part = left[at:at + _ROWS_AT_ONCE]
-            over = at + len(part)
-            near = part @ right.T
-            hits = near >= threshold
-            a, b = np.nonzero(np.abs(near - threshold) < _CLOSE)
-            hits[a, b] = np.einsum("ij,ij->i", part[a], right[b]) >= threshold
-            if alone:
-                hits[np.arange(len(part)), np.arange(at, over)] = False
-            if not hits.any():
-                continue
-            links[at:over] += hits @ times[behind:]
-            if not alone:
-                links[behind:] += times[at:over] @ hits
-            a, b = np.nonzero(hits & (parent[at:over, None] != parent[behind:]))
-            a, b = a + at, b + behind
-            while True:
-                low, high = np.minimum(parent[a], parent[b]), np.maximum(parent[a], parent[b])
-                open_ = low != high
-                if not open_.any():
-                    break
-                a, b = a[open_], b[open_]
-                np.minimum.at(parent, high[open_], low[open_])
-                while not np.array_equal(further := parent[parent], parent):
-                    parent = further
-        found = np.flatnonzero(links)
-        if not len(found):
-            return pa.table(empty)
-        return pa.table({"node": nodes[found], "links": links[found].astype(np.int64),
-                         "other": nodes[parent[found]]})
+    """Rows sorted by meeting and side; one meeting is held at a time."""
+    def answer(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        side = table.column("side").to_numpy()
+        cut = int(np.searchsorted(side, 2))
+        left = _side(table.slice(0, cut))
+        pivot, one, two = (table.column(c)[0].as_py() for c in ("pivot", "one", "two"))
+        found = compared(pivot, left, None if one == two else _side(table.slice(cut)), threshold)
+        return pa.RecordBatch.from_arrays(list(map(pa.array, found)), ["node", "links", "other"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meeting, held = None, []
+        for batch in batches:
+            ids = batch.column("meeting").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if held and ids[a] != meeting:
+                    yield answer(held)
+                    held = []
+                meeting = ids[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield answer(held)
     return run
 
 
@@ -143,56 +203,31 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, part: int =
     # equal vectors are one node, named by the smallest key
     nodes = written(rows.groupBy("label", "embedding").agg(
         F.min("key").alias("node"), F.count("*").alias("copies")), "pivots-nodes")
-    known = _pivots(rows, rows.count())
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            cells = batch.column("cells").to_numpy()
-            for size, most in np.unique(np.stack([sizes, cells], axis=1), axis=0):
-                some = batch.filter(pa.array((sizes == size) & (cells == most)))
-                # a length without pivots of its own has one cell
-                cell = np.zeros(len(some), dtype=np.int64)
-                if size in known and most > 1:
-                    rows = units(matrix(some.column("embedding")))
-                    cell = (rows @ known[size][:most].T).argmax(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [*(some.column(c) for c in ("label", "size", "node", "copies", "embedding")),
-                     pa.array(cell)], ["label", "size", "node", "copies", "embedding", "pivot"])
-
-    of_label = ["label", "size"]
-    sized = nodes.select("label", F.size("embedding").alias("size"), "node", "copies", "embedding")
-    cells = written(sized.groupBy(*of_label).agg(
-        F.ceil(F.count("*") / part).alias("cells")), "pivots-cells")
-    placed = written(sized.join(cells, of_label).mapInArrow(
-        place, "label string, size int, node long, copies long, embedding array<double>, "
-               "pivot long"), "pivots-placed")
-    in_cell = [*of_label, "pivot"]
-    slots = written(placed.groupBy(*in_cell).agg(
-        F.ceil(F.count("*") / part).alias("slots")), "pivots-slots")
-    parts = written(
-        placed.join(slots, in_cell)
-        .withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")))
-        .groupBy(*in_cell, "slot").applyInArrow(_part(known), _PARTS), "pivots-parts")
-    ranges = parts.select(*of_label, F.struct("pivot", "slot").alias("one"),
-                          F.col("least").alias("least1"), F.col("most").alias("most1"))
-    others = ranges.toDF(*of_label, "two", "least2", "most2")
-    # a little wider, for rounding
-    angle = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
-    gaps = F.zip_with(
-        F.zip_with("least1", "most2", lambda x, y: x - y),
-        F.zip_with("least2", "most1", lambda x, y: x - y), lambda x, y: F.greatest(x, y))
-    meetings = written(ranges.join(others, of_label).where("one <= two")
-                       .where(~F.exists(gaps, lambda gap: gap > angle))
-                       .select(*of_label, "one", "two"), "pivots-meetings")
-    sides = meetings.withColumn("side", F.explode(
-        F.when(F.col("one") == F.col("two"), F.array(F.lit(0)))
-        .otherwise(F.array(F.lit(1), F.lit(2))))).withColumn(
-        "mine", F.when(F.col("side") == 2, F.col("two")).otherwise(F.col("one")))
-    met = sides.join(parts.select(*of_label, F.struct("pivot", "slot").alias("mine"), "nodes",
-                                  "copies", "vectors"), [*of_label, "mine"])
-    found = written(met.groupBy(*of_label, "one", "two").applyInArrow(
-        _meet(threshold), "node long, links long, other long"), "pivots-links")
+    known = _pivots(rows, threshold)
+    of_list = ["label", "size", "pivot"]
+    placed = written(
+        nodes.select("label", F.size("embedding").alias("size"), "node", "copies", "embedding")
+        .mapInArrow(_place(known), "label string, size int, node long, copies long, "
+                    "vector binary, nearest array<int>, bits binary"), "pivots-placed")
+    lists = placed.select("*", F.explode("nearest").alias("pivot")).drop("nearest")
+    slots = written(lists.groupBy(*of_list).agg(F.ceil(F.count("*") / part).alias("slots")),
+                    "pivots-lists")
+    dealt = lists.join(slots, of_list).withColumn(
+        "slot", F.pmod(F.xxhash64("node"), F.col("slots")))
+    # a slot meets itself and every other one of its list
+    meetings = dealt.withColumn("with", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("slots") - 1))).select(
+        *of_list, F.least("slot", "with").alias("one"), F.greatest("slot", "with").alias("two"),
+        F.when(F.col("slot") <= F.col("with"), 1).otherwise(2).alias("side"),
+        "node", "copies", "vector", "bits")
+    keys = [*of_list, "one", "two"]
+    # the number only tells a meeting from its neighbours in the sort
+    numbered = (meetings.repartition(*keys).sortWithinPartitions(*keys, "side")
+                .withColumn("meeting", F.xxhash64(*keys)))
+    found = written(numbered.select("meeting", "pivot", "one", "two", "side", "node", "copies",
+                                    "vector", "bits")
+                    .mapInArrow(_meet(threshold), "node long, links long, other long"),
+                    "pivots-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     by_node = written(nodes.select("label", "embedding", "node", "copies")

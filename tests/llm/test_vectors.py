@@ -47,6 +47,49 @@ def test_neighbours_against_brute_force(spark):
     assert [r.vec_id for r in by_query[50]][:2] == [10, 11]
 
 
+def recall(found, vectors, k=5):
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    held = {}
+    for r in found:
+        held.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = {}
+    for q in range(0, len(vectors), 50):
+        score = units @ units[q]
+        score[q] = -9
+        hits[q] = len(set(np.argsort(-score)[:k].tolist()) & held[q]) / k
+    return hits
+
+
+def test_recall_inside_a_tight_third(spark):
+    """A third of the rows has pairwise cosines of 0.9999; they stay apart."""
+    rng = np.random.default_rng(9)
+    vectors = rng.standard_normal((3000, 64))
+    vectors[::3] = vectors[0] + 0.01 * np.linalg.norm(vectors[0]) / 8 * rng.standard_normal(
+        (1000, 64))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)],
+                                 "vec_id long, embedding array<double>")
+    hits = recall(nn_descent.nearest(rows, lambda key: key % 50 == 0).collect(), vectors)
+    assert np.mean(list(hits.values())) >= 0.9
+    assert np.mean([h for q, h in hits.items() if q % 3 == 0]) >= 0.9
+
+
+def test_rounds_improve_the_graph(spark):
+    rng = np.random.default_rng(10)
+    vectors = rng.standard_normal((2000, 24))
+    units = nn_descent.coded(vectors)
+    nodes = spark.createDataFrame([(i, bytearray(u.tobytes())) for i, u in enumerate(units)],
+                                  "node long, code binary")
+    near = units @ units.T
+    np.fill_diagonal(near, -2)
+    best = np.argsort(-near, axis=1)[:, :10]
+    shares = []
+    for rounds in (0, None):
+        graph = nn_descent.neighbour_graph(nodes, neighbours=20, trees=1, leaf=60, rounds=rounds)
+        held = {r.node: set(r.ids) for r in graph.collect()}
+        shares.append(np.mean([len(held[i] & set(best[i].tolist())) / 10 for i in range(2000)]))
+    assert shares[0] < 0.5 and shares[1] > 0.9
+
+
 def test_few_and_equal_vectors(spark):
     rows = [(0, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0), (3, [1.0], 0),
             (50, [1.0, 0.0], 1)]
@@ -108,6 +151,41 @@ def test_duplicates_in_a_hot_noisy_group(spark):
     assert {r.vec_id: r.n_links for r in found} == dict(enumerate(wanted.tolist()))
 
 
+def test_lists_give_the_candidates():
+    """Of one label's thousands of vectors, few pairs are candidates, and all links are."""
+    rng = np.random.default_rng(4)
+    rows = rng.standard_normal((6000, 64))
+    rows[3000:] = rows[:3000] + 0.19 / 8 * np.linalg.norm(
+        rows[:3000], axis=1, keepdims=True) * rng.standard_normal((3000, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    sample = rows[rng.permutation(6000)[:256]]
+    _, bits = pivots.described(rows, sample)
+    bits = bits.view("<u8").reshape(len(rows), -1)
+    nearest = pivots.described(rows, sample)[0]
+    lists = {p: np.flatnonzero((nearest == p).any(axis=1)) for p in range(256)}
+    candidates = set()
+    for p, held in lists.items():
+        a, b = np.nonzero(pivots._sharing(bits[held], bits[held], p))
+        pairs = [(i, j) for i, j in zip(held[a].tolist(), held[b].tolist()) if i < j]
+        assert not candidates & set(pairs)      # each pair in one list only
+        candidates |= set(pairs)
+    near = rows @ rows.T >= 0.98
+    links = {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(near))) if i < j}
+    assert len(links) > 1000 and len(links - candidates) <= len(links) / 1000
+    assert len(candidates) < 0.05 * 6000 * 5999 / 2
+
+
+def test_pivots_lie_apart(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((900, 16))
+    vectors[:300] = vectors[0] + 0.02 * rng.standard_normal((300, 16))
+    rows = frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(vectors)]).selectExpr(
+        "vec_id as key", "cast(embedding as array<double>) as embedding")
+    found = pivots._pivots(rows, 0.98)[16]
+    near = found @ found.T - 2 * np.eye(len(found))
+    assert pivots.LEAST_PIVOTS <= len(found) <= pivots.PIVOTS and near.max() < 0.92
+
+
 def test_duplicate_edge_tables(spark):
     rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (None, [1.0, 0.0], 0)]
     found = pivots.near_duplicates(frame(spark, rows)).collect()
