@@ -84,7 +84,7 @@ def test_rounds_improve_the_graph(spark):
     best = np.argsort(-near, axis=1)[:, :10]
     shares = []
     for rounds in (0, None):
-        graph = nn_descent.neighbour_graph(nodes, neighbours=20, trees=1, leaf=60, rounds=rounds)
+        graph = nn_descent.neighbour_graph(nodes, neighbours=20, trees=3, leaf=60, rounds=rounds)
         held = {r.node: set(r.ids) for r in graph.collect()}
         shares.append(np.mean([len(held[i] & set(best[i].tolist())) / 10 for i in range(2000)]))
     assert shares[0] < 0.5 and shares[1] > 0.9
