@@ -195,17 +195,21 @@ def test_forest_connects_near_pairs_in_few_and_in_many_blocks(monkeypatch):
     for row in prints:
         for bit in rng.choice(256, int(rng.integers(0, 16)), replace=False):
             row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    def forests(*args):
+        parts = list(similar_texts.nearest_forests(*args))
+        return (*(np.concatenate(c) for c in list(zip(*parts))[:2]), any(p[2] for p in parts))
+
     for held in (10**6, 10):
         monkeypatch.setattr(similar_texts, "_HELD", held)
-        a, b, more = similar_texts.nearest_forests(prints, prints, True, np.arange(300))
+        a, b, more = forests(prints, prints, True, np.arange(300))
         assert more and len(a) == 300 - 6 and (a // 50 == b // 50).all()
-        a, b, more = similar_texts.nearest_forests(prints, prints, True, np.arange(300), 1000)
-        assert not more and len(set(zip(a.tolist(), b.tolist()))) == 6 * 50 * 49 // 2 == len(a)
-        a, b, more = similar_texts.nearest_forests(
-            prints[:120], prints[120:], False, np.arange(300))
+        for number in (1000, None):
+            a, b, more = forests(prints, prints, True, np.arange(300), number)
+            assert not more and len(set(zip(a.tolist(), b.tolist()))) == 6 * 50 * 49 // 2 == len(a)
+        a, b, more = forests(prints[:120], prints[120:], False, np.arange(300))
         assert more and len(a) == 49 and ((b + 120) // 50 == a // 50).all()
         groups = np.arange(300) // 25
-        a, b, _ = similar_texts.nearest_forests(prints, prints, True, groups)
+        a, b, _ = forests(prints, prints, True, groups)
         assert len(a) == 6 and (groups[a] != groups[b]).all()
 
 
@@ -224,9 +228,10 @@ def test_similar_texts_against_all_pairs(spark):
     texts |= {300: "", 301: " ", 302: "one two", 303: "ONE  two", 304: None}
     group = by_similarity(texts)
     rows = docs(spark, plain([(i, t, "en") for i, t in texts.items()]))
-    kept = corpus_pipeline.near_duplicates(spark, rows, "")
-    assert kept.columns == rows.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
+    for tile in (similar_texts.TILE, 40):
+        kept = similar_texts.one_of_similar(rows, tile=tile)
+        assert kept.columns == rows.columns
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
     twice = docs(spark, plain([(7, "one text", "en"), (7, "one text", "en"),
                                (7, "another text", "en"), (3, "one text", "en"),
                                (None, "one text", "en")]))
