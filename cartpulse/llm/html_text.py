@@ -9,7 +9,8 @@ site.
 
 Two things differencing cannot tell are settled by the markup: menus and notices that
 differ from page to page go by their elements and class names, and lines inside an
-article stay even if the neighbour repeats the article.
+article stay even if the neighbour repeats the article. Where articles hold little of a
+page's text, as with teasers beside a story, differencing decides.
 """
 
 from __future__ import annotations
@@ -39,23 +40,33 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s",
           "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
           "wbr"}
-# Words in class, id and role that mark furniture of a site.
+# Names in class, id and role that mark furniture of a site, and what may
+# stand beside them in a compound such as cookie-notice or related-posts.
 MARKS = {"ad", "ads", "advert", "advertisement", "adverts", "alert", "banner", "breadcrumb",
          "breadcrumbs", "comment", "comments", "complementary", "contentinfo", "consent",
          "cookie", "cookies", "disqus", "footer", "masthead", "menu", "modal", "nav", "navbar",
          "navigation", "newsletter", "notice", "popup", "promo", "recommended", "related",
          "share", "sharing", "sidebar", "skip", "social", "sponsor", "sponsored", "subscribe",
          "toolbar", "widget"}
+BESIDE = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container",
+          "content", "count", "form", "global", "inner", "item", "items", "left", "link", "links",
+          "list", "main", "outer", "overlay", "page", "panel", "post", "posts", "primary", "right",
+          "secondary", "section", "site", "slot", "thread", "top", "unit", "wrap", "wrapper"}
+# Beginnings of names of reader comments, after an optional owner.
+_COMMENTS = re.compile(r"(?:(?:user|reader|blog|post|article|page)[-_]?)?"
+                       r"(?:comments?|repl(?:y|ies)|discussions?|disqus)(?![a-z0-9])")
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])")
-_WORDS = re.compile(r"[a-z0-9]+")
+_HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Share of a page's lines beyond which the neighbour may be a near copy of it, so that the
 #: page's other neighbour is asked as well.
 COPY = 0.8
+#: Times its articles' text that a page has outside them if they are but teasers.
+TEASER = 4
 #: Places of a line from which its row of bits is held instead of built at each use.
 _FREQUENT = 64
 
@@ -66,14 +77,22 @@ class Line(NamedTuple):
     furniture: bool
 
 
-def _marked(attributes: str) -> bool:
+def _mark(attributes: str) -> str:
+    """What attributes say of an element: hidden, marked (as furniture), or nothing.
+
+    A name counts as a whole: every part of a compound must be a mark or stand beside one.
+    """
+    found = ""
     for attribute in _ATTRIBUTE.finditer(attributes or ""):
         name, value = attribute[1].lower(), (attribute[2] or "").strip("\"'").lower()
         if name == "hidden" or name == "style" and _UNSEEN.search(value):
-            return True
-        if name in ("class", "id", "role") and MARKS.intersection(_WORDS.findall(value)):
-            return True
-    return False
+            return "hidden"
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                parts = set(re.split(r"[-_]+", token))
+                if _COMMENTS.match(token) or parts & MARKS and parts <= MARKS | BESIDE:
+                    found = "marked"
+    return found
 
 
 def lines(page: str) -> list[Line]:
@@ -83,14 +102,24 @@ def lines(page: str) -> list[Line]:
     inside: list[tuple[str, str]] = []   # open elements that matter: (name, role)
     low = page.lower() if any(c in page for c in ("<", "&")) else ""
 
-    def role(wanted: str) -> bool:
-        return any(r == wanted for _, r in inside)
+    def placed() -> tuple[bool, bool]:
+        """Whether this place is an article's, and whether it is furniture. An article in an
+        element that only its name or a form marks is not furniture for that; in an
+        article's own header, headings stay."""
+        article = heading = False
+        for name, its in reversed(inside):
+            heading |= name in _HEADING
+            if its in ("hidden", "furniture") or its == "marked" and not article \
+                    or its == "header" and not heading:
+                return article, True
+            article |= its == "article"
+        return article, False
 
     def close_block() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            found.append(Line(text, role("article"), role("furniture")))
+            found.append(Line(text, *placed()))
 
     at = 0
     while at < len(page):
@@ -119,13 +148,18 @@ def lines(page: str) -> list[Line]:
             continue
         if name in VOID or tag[3].endswith("/"):
             continue
-        if name in FURNITURE or name not in ("html", "body") and _marked(tag[3]):
+        mark = "" if name in ("html", "body") else _mark(tag[3])
+        if name in FURNITURE and mark != "hidden":
+            in_article = any(r == "article" for _, r in inside)
+            mark = "marked" if name in ("form", "fieldset") else \
+                "header" if name == "header" and in_article else "furniture"
+        if mark:
             if low.find(f"</{name}", at) >= 0:   # else it would swallow the page
                 close_block()
-                inside.append((name, "furniture"))
+                inside.append((name, mark))
         elif name in ("article", "main"):
             inside.append((name, "article"))
-        elif inside and name == inside[-1][0] or any(name == n for n, _ in inside):
+        elif name in _HEADING or any(name == n for n, _ in inside):
             inside.append((name, ""))
     close_block()
     return found
@@ -205,15 +239,17 @@ def main_text(page: list[Line], neighbour: list[Line] | None,
               other: list[Line] | None = None) -> str:
     """The page's text without furniture and without lines it shares with the neighbour.
 
-    Where the page has an article, what lies outside it is furniture as well. A page equal
-    to its neighbour keeps its text. If over ``COPY`` of it is shared, the neighbour may be
-    a near copy or the site's template may be long: then only what ``other``, the neighbour
-    on the other side, shares as well is deleted. Without one whose text differs, all shared
-    lines go unless that is the whole page.
+    A page equal to its neighbour keeps its text. If over ``COPY`` of it is shared, the
+    neighbour may be a near copy or the site's template may be long: then only what
+    ``other``, the neighbour on the other side, shares as well is deleted. Without one whose
+    text differs, all shared lines go unless that is the whole page. Lines of an article are
+    never deleted. Articles are the text, unless over ``TEASER`` times as much is left
+    outside them; then that counts as well.
     """
-    has_article = any(x.article and not x.furniture for x in page)
-    kept = [x for x in page if not x.furniture and (x.article or not has_article)]
-    if neighbour and not has_article:
+    kept = [x for x in page if not x.furniture]
+    inner = sum(len(x.text) for x in kept if x.article)
+    outer = sum(len(x.text) for x in kept if not x.article)
+    if neighbour and outer > TEASER * inner:
         mine = [x.text for x in kept]
         if mine != _texts(neighbour):
             shared = common(mine, [x.text for x in neighbour])
@@ -222,8 +258,9 @@ def main_text(page: list[Line], neighbour: list[Line] | None,
                     shared &= common(mine, [x.text for x in other])
                 elif len(shared) == len(kept):
                     shared = set()
-            kept = [x for i, x in enumerate(kept) if i not in shared]
-    return "\n".join(x.text for x in kept)
+            kept = [x for i, x in enumerate(kept) if x.article or i not in shared]
+            outer = sum(len(x.text) for x in kept if not x.article)
+    return "\n".join(x.text for x in kept if x.article or outer > TEASER * inner)
 
 
 def _emitted(rows: list[tuple]) -> pa.RecordBatch:

@@ -229,3 +229,42 @@ def test_template_is_told_from_a_near_copy(spark):
     assert all(found[10 + n] == f"own {n}" for n in range(2))
     assert found[21].split("\n") == ["at noon", *story]
     assert found[22].split("\n") == ["at night", *story]
+
+
+@pytest.mark.parametrize("html, text", [
+    ('<article><div class="has-sidebar"><p>The story.</p></div></article>', "The story."),
+    ('<div class="menu"><article><p>The story.</p></article></div>', "The story."),
+    ('<form action="/"><article><p>The story.</p></article><p>Search</p></form>', "The story."),
+    ('<aside><article><p>A card.</p></article></aside><article><p>The story.</p></article>',
+     "The story."),
+    ('<div id=content><p>A long story, told in many words.</p></div>'
+     '<article class=card><p>Teaser</p></article>', "A long story, told in many words.\nTeaser"),
+    ('<article><p class="share-price">It rose.</p><p id="menu-item-history">Dishes.</p></article>',
+     "It rose.\nDishes."),
+    ('<article><p>The story.</p></article><div class="usercomments"><p>First!</p></div>'
+     '<ul class="reply-list"><li>Me too, and at much greater length than the story.</li></ul>',
+     "The story."),
+    ('<article><header><h1>Heading</h1><p>By Someone</p></header><p>The story.</p></article>',
+     "Heading\nThe story."),
+    ('<article><p>The story.</p><div class="related-posts"><p>More</p></div>'
+     '<p class="commentary">Said she.</p></article>', "The story.\nSaid she."),
+    ('<article hidden><p>Gone.</p></article><p>Here.</p>', "Here."),
+])
+def test_markup_counts_by_whole_names(html, text):
+    assert html_text.main_text(html_text.lines(html), None) == text
+
+
+def test_pages_without_articles_by_differencing_alone(spark):
+    """Templates of plain blocks: what the nearest page of the host has in the same order
+    goes, and every story stays, checked against the way the pages were made."""
+    rows, wanted = [], {}
+    for site in range(3):
+        top = [f"Site {site} menu {i}" for i in range(site + 2)]
+        end = [f"Site {site} imprint", "All rights reserved"]
+        for i in range(30):
+            story = [f"Story {i} of site {site}, part {k}: " + "x" * k for k in range(1, 9)]
+            page = "".join(f"<div>{line}</div>" for line in [*top, *story, *end])
+            rows.append((site * 100 + i, f"http://s{site}.example/a/{i // 10}/{i:02}", page))
+            wanted[site * 100 + i] = "\n".join(story)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract(pages).collect()} == wanted
