@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import functools
 import json
-import unicodedata
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from cartpulse.llm.frames import pieces, strings
 from cartpulse.llm.pretokens import Pretokens, split, spread
@@ -26,6 +27,8 @@ from cartpulse.llm.pretokens import Pretokens, split, spread
 NO_RANK = np.int32(2**31 - 1)
 #: Bytes of text that one step of a task takes at a time; longer texts go alone.
 STEP_BYTES = 8_000_000
+# Latin letters without combining marks: composed already, lower case as ever.
+_SETTLED = re.compile("[\x00-\u024f]*")
 
 
 def byte_letters() -> list[str]:
@@ -54,6 +57,10 @@ class Vocabulary:
         letters = byte_letters()
         self.style = "words" if end else "bytes"
         self.specials = {t["content"]: t["id"] for t in told["added_tokens"] if t["special"]}
+        # at one place the smaller string counts
+        self.special = re.compile("|".join(map(re.escape, sorted(self.specials)))) \
+            if self.specials else None
+        self.normalizer = Tokenizer.from_file(file).normalizer
         self.size = max([*ids.values(), *self.specials.values()]) + 1
         self.single = np.array([ids[c] for c in letters], dtype=np.int32)
         self.final = np.array([ids[c + end] for c in letters], dtype=np.int32)
@@ -142,14 +149,13 @@ class Vocabulary:
         after each (-1: none)."""
         plain, owner, after = [], [], []
         for number, text in enumerate(texts):
-            while (found := min(((text.find(s), s) for s in self.specials if s in text),
-                                default=None)) is not None:
-                place, special = found
-                plain.append(text[:place])
+            at = 0
+            for found in self.special.finditer(text) if self.special else ():
+                plain.append(text[at:found.start()])
                 owner.append(number)
-                after.append(self.specials[special])
-                text = text[place + len(special):]
-            plain.append(text)
+                after.append(self.specials[found[0]])
+                at = found.end()
+            plain.append(text[at:])
             owner.append(number)
             after.append(-1)
         return plain, owner, after
@@ -158,9 +164,9 @@ class Vocabulary:
         """``text`` as the file's normalizer leaves it, white space aside."""
         if self.style == "bytes" or not text:
             return text
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower()
+        if _SETTLED.fullmatch(text):
+            return text.lower()
+        return self.normalizer.normalize_str(text)
 
     def pretokens(self, texts: list[str]) -> Pretokens:
         return split([self.ready(t) for t in texts], self.style)

@@ -14,11 +14,11 @@ Two styles, both by the patterns of the public vocabularies:
 from __future__ import annotations
 
 import functools
-import unicodedata
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from tokenizers import Regex, pre_tokenizers
 
 LETTER, NUMBER, OTHER, SPACE, BREAK = 1, 2, 3, 4, 5
 
@@ -44,11 +44,21 @@ class Pretokens(NamedTuple):
 
 @functools.cache
 def _classes() -> np.ndarray:
-    kinds = {"L": LETTER, "N": NUMBER}
-    found = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER)
-                         for c in range(0x110000)), np.uint8, 0x110000)
-    found[WHITE_SPACE] = SPACE
-    return found
+    """The class of every code point as the tokenizers library's own patterns have it, so
+    that no other table of Unicode, nor its age, plays a part."""
+    points = [*range(0xD800), *range(0xE000, 0x110000)]     # all but surrogates
+    text = "".join(map(chr, points))
+    found = np.full(len(points), OTHER, dtype=np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
+        of_kind = np.ones(len(points), dtype=bool)
+        rest = pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text)
+        for _, (begin, end) in rest:
+            of_kind[begin:end] = False
+        found[of_kind] = kind
+    classes = np.full(0x110000, OTHER, dtype=np.uint8)
+    classes[points] = found
+    classes[WHITE_SPACE] = SPACE
+    return classes
 
 
 def _begins(cp: np.ndarray, kind: np.ndarray, style: str) -> np.ndarray:

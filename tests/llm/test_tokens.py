@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -44,6 +45,27 @@ def test_ids_equal_the_library(file):
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("file", [BYTE_BPE, WORD_BPE])
+def test_every_code_point_as_the_library_has_it(file):
+    """Alone, between letters, and before a mark, up to U+1FFFF and at the ends of planes."""
+    tokenizer, known = Tokenizer.from_file(file), bpe.vocabulary(file)
+    points = [c for c in [*range(0x20000), 0x2FFFD, 0x30000, 0x3134A, 0xE0001, 0x10FFFD]
+              if not 0xD800 <= c < 0xE000]
+    held = [f"a{chr(c)}b {chr(c)}\u0301 1{chr(c)}" for c in points]
+    encoded = known.encode(held)
+    wanted = tokenizer.encode_batch(held, add_special_tokens=False)
+    wrong = [hex(c) for c, a, b, w in zip(points, encoded.bounds, encoded.bounds[1:], wanted)
+             if encoded.ids[a:b].tolist() != w.ids]
+    assert wrong == []
+
+
+def test_very_many_special_strings_in_one_text():
+    text = "x<|endoftext|>" * 60_000
+    began = time.perf_counter()
+    encoded = bpe.vocabulary(BYTE_BPE).encode([text])
+    assert len(encoded.ids) == 120_000 and time.perf_counter() - began < 5
+
+
 def test_decoding_equals_the_library_for_any_ids():
     tokenizer, known = Tokenizer.from_file(BYTE_BPE), bpe.vocabulary(BYTE_BPE)
     ids = np.random.default_rng(3).integers(0, known.size, 3000).astype(np.int32)
