@@ -88,6 +88,19 @@ def campaign_snapshot_latest_row(spark, sf_dir):
     return rollups.snapshot_latest_row(flows.campaign_snapshots(spark, sf_dir), CAMPAIGN_KEYS)
 
 
+def _refunded_snapshots(spark, sf_dir):
+    return event_table.campaign_snapshots(event_table.with_refunds(flows.marketing(spark, sf_dir)))
+
+
+def refunded_snapshot_latest(spark, sf_dir):
+    """Highest counters where some shrink: not the latest state."""
+    return rollups.campaign_snapshot_latest(_refunded_snapshots(spark, sf_dir))
+
+
+def refunded_snapshot_latest_row(spark, sf_dir):
+    return rollups.snapshot_latest_row(_refunded_snapshots(spark, sf_dir), CAMPAIGN_KEYS)
+
+
 def cart_snapshot_latest_row(spark, sf_dir):
     return rollups.snapshot_latest_row(flows.cart_snapshots(spark, sf_dir), DEVICE_SOURCE_KEYS)
 
@@ -219,6 +232,31 @@ def stream_campaign_performance(spark, sf_dir):
     return serving.latest_version(changelog, CAMPAIGN_KEYS)
 
 
+def stream_resent_events(spark, sf_dir):
+    """The first delivery arrives twice; copies count once."""
+    first, second = _two_deliveries(flows.marketing, spark, sf_dir)
+    changelog = flows.streamed(
+        spark, "stream-resent", events.read_events, "marketing", [first, second, first],
+        lambda stream, out, checkpoint: streaming.start_campaign_performance(
+            stream, out, checkpoint, dedup="event_id"))
+    return serving.latest_version(changelog, CAMPAIGN_KEYS)
+
+
+def stream_estimated_visitors(spark, sf_dir):
+    """Estimated visitors against exact ones; three standard deviations are 15 %."""
+    changelog = flows.streamed(
+        spark, "stream-estimated", events.read_events, "marketing",
+        _two_deliveries(flows.marketing, spark, sf_dir),
+        lambda stream, out, checkpoint: streaming.start_campaign_performance(
+            stream, out, checkpoint, exact_visitors=False))
+    found = serving.latest_version(changelog, CAMPAIGN_KEYS).alias("e")
+    exact = flows.performance(spark, sf_dir).alias("x")
+    off = F.abs(F.col("e.unique_visitors") - F.col("x.unique_visitors"))
+    return found.join(exact, [F.col(f"e.{k}").eqNullSafe(F.col(f"x.{k}")) for k in CAMPAIGN_KEYS]
+                      ).select(*[f"e.{k}" for k in CAMPAIGN_KEYS], "e.impressions", "e.revenue",
+                               (off <= 0.15 * F.col("x.unique_visitors")).alias("within_error"))
+
+
 def stream_cart_funnel(spark, sf_dir):
     changelog = flows.streamed(
         spark, "stream-funnel", events.read_events, "cart",
@@ -382,17 +420,18 @@ def _funnel_changelog(spark, sf_dir):
 
 def changelog_compacted(spark, sf_dir):
     """Current campaigns from the first two batches, folded, and the newest batch."""
-    path = _campaign_changelog_path(spark, sf_dir)
-    serving.compact_changelog(spark, path, CAMPAIGN_KEYS, through=1)
-    return serving.read_latest(spark, path, CAMPAIGN_KEYS)
+    path, fold = _campaign_changelog_path(spark, sf_dir), work_dir(spark, "campaign-fold")
+    serving.fold_changelog(spark, path, CAMPAIGN_KEYS, fold, through=1)
+    return serving.read_latest(spark, path, CAMPAIGN_KEYS, fold)
 
 
 def changelog_compacted_twice(spark, sf_dir):
     """Current segments after a second fold that starts from the first one."""
     path = _funnel_changelog_path(spark, sf_dir)
-    serving.compact_changelog(spark, path, FUNNEL_KEYS, through=0)
-    serving.compact_changelog(spark, path, FUNNEL_KEYS)
-    return serving.read_latest(spark, path, FUNNEL_KEYS)
+    first, second = (work_dir(spark, "funnel-fold") for _ in range(2))
+    serving.fold_changelog(spark, path, FUNNEL_KEYS, first, through=0)
+    serving.fold_changelog(spark, path, FUNNEL_KEYS, second, through=DELIVERIES - 1, earlier=first)
+    return serving.read_latest(spark, path, FUNNEL_KEYS, second)
 
 
 def changelog_overcount(spark, sf_dir):
@@ -489,6 +528,24 @@ def serving_roundtrip(spark, sf_dir):
     return rows
 
 
+def bucketed_join(spark, sf_dir):
+    """Spend by events and by snapshots, from two tables bucketed by campaign, without a
+    shuffle of either."""
+    tables = {"campaign_performance": flows.performance(spark, sf_dir),
+              "marketing_campaigns": campaign_snapshot_latest(spark, sf_dir)}
+    saved = []
+    for name, rows in tables.items():
+        path = work_dir(spark, f"bucketed-{name}")
+        table = f"{name}_{path[-32:]}"
+        serving.save_serving_table(rows, name, table, 8, path)
+        saved.append(spark.table(table))
+    by_events, by_snapshots = saved[0].alias("e"), saved[1].alias("s")
+    return by_events.join(by_snapshots, "campaign_id").select(
+        "campaign_id", F.col("e.spend_to_date").alias("spend_by_events"),
+        F.col("s.spend_to_date").alias("spend_by_snapshots"), "e.roi",
+        (F.col("e.spend_to_date") == F.col("s.spend_to_date")).alias("agree"))
+
+
 def upsert_roundtrip(spark, sf_dir):
     """Funnel rows of the first delivery; then those of mobile segments are brought up to
     date, and all others stay as they were."""
@@ -601,6 +658,8 @@ QUERIES: dict[str, Query] = {
     "campaign_snapshot_latest": campaign_snapshot_latest,
     "cart_snapshot_latest": cart_snapshot_latest,
     "campaign_snapshot_latest_row": campaign_snapshot_latest_row,
+    "refunded_snapshot_latest": refunded_snapshot_latest,
+    "refunded_snapshot_latest_row": refunded_snapshot_latest_row,
     "cart_snapshot_latest_row": cart_snapshot_latest_row,
     "campaign_insights": campaign_insights,
     "hourly_recommendations": hourly_recommendations,
@@ -617,6 +676,8 @@ QUERIES: dict[str, Query] = {
     "cart_conservation": cart_conservation,
     "stream_campaign_performance": stream_campaign_performance,
     "stream_cart_funnel": stream_cart_funnel,
+    "stream_resent_events": stream_resent_events,
+    "stream_estimated_visitors": stream_estimated_visitors,
     "stream_quarantine": stream_quarantine,
     "stream_campaign_by_day": partial(
         _stream_by_day, "marketing", CAMPAIGN_KEYS, flows.marketing),
@@ -648,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "parse_json_quarantine": parse_json_quarantine,
     "serving_roundtrip": serving_roundtrip,
     "upsert_roundtrip": upsert_roundtrip,
+    "bucketed_join": bucketed_join,
     "top_campaigns": top_campaigns,
     "budget_reallocation": budget_reallocation,
     "budget_shift_impact": budget_shift_impact,

@@ -123,6 +123,15 @@ def _running(daily: DataFrame, keys: list[str], counters: list[str]) -> DataFram
         *keys, "snapshot_time", *[F.sum(c).over(so_far).alias(c) for c in counters])
 
 
+def with_refunds(marketing: DataFrame, category: str = "Electronics") -> DataFrame:
+    """Purchases of a category are given back a day later, so counters can shrink."""
+    bought = marketing.where(
+        (F.col("event_type") == "purchase") & (F.col("product_category") == category))
+    return marketing.unionByName(bought.withColumns({
+        "event_type": F.lit("refund"), "revenue": -F.col("revenue"),
+        "event_time": F.col("event_time") + F.make_dt_interval(F.lit(1))}))
+
+
 def _day() -> Column:
     return F.col("event_time").cast("date").cast("timestamp_ntz").alias("snapshot_time")
 
@@ -134,8 +143,9 @@ def campaign_snapshots(marketing: DataFrame) -> DataFrame:
         .alias("spend_to_date"),
         F.count_if(kind == "impression").alias("impressions"),
         F.count_if(kind == "click").alias("clicks"),
-        F.count_if(kind == "purchase").alias("purchases"),
-        F.sum(kpis.value_when(kind == "purchase", F.col("revenue"))).alias("revenue"),
+        (F.count_if(kind == "purchase") - F.count_if(kind == "refund")).alias("purchases"),
+        F.sum(kpis.value_when(kind.isin("purchase", "refund"), F.col("revenue")))
+        .alias("revenue"),
     )
     return _running(daily, CAMPAIGN_KEYS,
                     ["spend_to_date", "impressions", "clicks", "purchases", "revenue"])

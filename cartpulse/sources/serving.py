@@ -1,16 +1,12 @@
 """Serving tables, the append-only changelog behind them, and upserts.
 
-Changelogs and upserted tables commit by record: a write puts its rows into a folder
-of its own, and only when they are complete adds one small file that names the folder.
-Readers join rows with these records, so they never see a write that is under way or
-was broken off. Folders are only ever added; what no record names any more is left to
-the retention of the storage.
+All are plain Parquet folders: a changelog has one partition per micro-batch, an upserted
+table one per key bucket, and a write replaces whole partitions. Transactions between
+several writers and readers are the matter of a table format on the cluster.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +16,7 @@ from cartpulse.schemas import SERVING_TABLES
 
 BATCH_ID = "batch_id"
 
-# Names of folders, which read as columns.
-ATTEMPT, BUCKET = "write_attempt", "key_bucket"
-
-_COMMITS = (T.StructType().add("committed_at", T.TimestampType())
-            .add(BATCH_ID, T.LongType()).add(ATTEMPT, T.StringType()))
-_FOLDS = (T.StructType().add("committed_at", T.TimestampType())
-          .add("through", T.LongType()).add(ATTEMPT, T.StringType()))
-_UPSERTS = (T.StructType().add("number", T.LongType())
-            .add(BUCKET, T.IntegerType()).add(ATTEMPT, T.StringType()))
+BUCKET = "key_bucket"
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -65,102 +53,60 @@ def read_serving(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 # --- changelog: every version of every row ----------------------------------
 
-def _attempt() -> str:
-    """A new folder name; the letter keeps it from being read as a number."""
-    return f"a{uuid.uuid4().hex}"
-
-
-def _rows(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
-    """The Parquet rows below ``path``; with a schema, none before the first write."""
+def _partitions(spark: SparkSession, path: str, schema: T.StructType | None,
+                partition: T.StructField) -> DataFrame:
+    """The rows below ``path`` with their partition; with a schema, none before the first
+    write, and no file is opened to infer one."""
     if schema is None:
-        return spark.read.parquet(path)
+        rows = spark.read.parquet(path)
+        return rows.withColumn(partition.name, F.col(partition.name).cast(partition.dataType))
+    full = T.StructType([*[f for f in schema if f.name != partition.name], partition])
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(full).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-
-
-def _with(schema: T.StructType | None, **folders: T.DataType) -> T.StructType | None:
-    """``schema`` with the columns that folder names hold."""
-    if schema is None:
-        return None
-    return T.StructType([*[f for f in schema if f.name not in folders],
-                         *[T.StructField(name, kind) for name, kind in folders.items()]])
+    return spark.createDataFrame([], full)
 
 
 def append_changelog(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add one micro-batch of row versions. A replayed batch replaces itself: of several
-    committed writes of a batch, the last one counts."""
-    attempt = f"{BATCH_ID}={batch_id}/{ATTEMPT}={_attempt()}"
-    df.write.parquet(f"{path}/rows/{attempt}")
-    df.sparkSession.range(1, numPartitions=1).select(
-        F.current_timestamp().alias("committed_at")).write.parquet(f"{path}/commits/{attempt}")
-
-
-def _committed(spark: SparkSession, path: str) -> DataFrame:
-    """(batch_id, write_attempt) of the write of each batch that counts."""
-    newest = F.max_by(ATTEMPT, F.struct("committed_at", ATTEMPT)).alias(ATTEMPT)
-    return _rows(spark, f"{path}/commits", _COMMITS).groupBy(BATCH_ID).agg(newest)
+    """Add one micro-batch of row versions. A replayed batch replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
 
 
 def read_changelog(spark: SparkSession, path: str,
                    schema: T.StructType | None = None) -> DataFrame:
-    """Every version of every row of the committed batches, with its ``batch_id``.
-
-    ``schema`` is that of the rows appended; with it no file is opened to infer one, and
-    a changelog without any batch reads as empty.
-    """
-    commits = _committed(spark, path)   # listed before the rows, which are then complete
-    rows = _rows(spark, f"{path}/rows", _with(
-        schema, **{BATCH_ID: T.LongType(), ATTEMPT: T.StringType()}))
-    rows = rows.withColumn(BATCH_ID, F.col(BATCH_ID).cast("long"))
-    return rows.join(commits, [BATCH_ID, ATTEMPT], "left_semi").select(
-        *[c for c in rows.columns if c not in (BATCH_ID, ATTEMPT)], BATCH_ID)
+    """Every version of every row, with its ``batch_id``. ``schema`` is that of the rows
+    appended; with it a changelog without any batch reads as empty."""
+    return _partitions(spark, path, schema, T.StructField(BATCH_ID, T.LongType()))
 
 
-def compact_changelog(spark: SparkSession, path: str, keys: list[str],
-                      through: int | None = None, schema: T.StructType | None = None) -> None:
-    """Fold the row versions of the batches up to ``through``, or of all batches, into
-    the newest one of each key, for `read_latest`. `read_changelog` still has them all.
+def fold_changelog(spark: SparkSession, path: str, keys: list[str], target: str, through: int,
+                   earlier: str | None = None) -> None:
+    """Write the current row of each key as of batch ``through`` to ``target``.
 
-    A fold starts from the one before it. It must not run beside a replay of a batch it
-    takes in: fold up to a batch that a later one has followed.
+    ``earlier`` is a fold to start from; only batches after it are opened. Rows keep the
+    batch they come from, so a fold and later batches are versions of the same kind.
     """
-    committed = _committed(spark, path)
-    if through is not None:
-        committed = committed.where(F.col(BATCH_ID) <= through)
-    newest = committed.agg(F.max(BATCH_ID).alias("through")).where("through IS NOT NULL")
-    versions = _versions(spark, path, schema)
-    # the version to choose by and, kept among the values, the batch that it came with
-    folded = latest_version(
-        versions.where(F.col(BATCH_ID) <= newest.scalar()).withColumn("_version", F.col(BATCH_ID)),
-        keys, "_version")
-    attempt = f"{ATTEMPT}={_attempt()}"
-    folded.hint("rebalance").write.parquet(f"{path}/folded/{attempt}")
-    newest.coalesce(1).select(F.current_timestamp().alias("committed_at"), "through") \
-        .write.parquet(f"{path}/folds/{attempt}")
-
-
-def _versions(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
-    """Rows of the newest fold and of the batches after it. Both conditions are on folder
-    names, so files of other folds and of folded batches are not opened."""
-    folds = _rows(spark, f"{path}/folds", _FOLDS)
-    order = F.struct("through", "committed_at", ATTEMPT)
-    through = folds.agg(F.coalesce(F.max("through"), F.lit(-1))).scalar()
-    chosen = folds.agg(F.max_by(ATTEMPT, order)).scalar()
-    changelog = read_changelog(spark, path, schema)
-    folded = _rows(spark, f"{path}/folded", _with(
-        changelog.schema, **{ATTEMPT: T.StringType()})).where(F.col(ATTEMPT) == chosen)
-    return changelog.where(F.col(BATCH_ID) > through).unionByName(folded.drop(ATTEMPT))
+    versions = _versions(spark, path, earlier).where(F.col(BATCH_ID) <= through)
+    folded = latest_version(versions.withColumn("_version", F.col(BATCH_ID)), keys, "_version")
+    folded.hint("rebalance").write.mode("overwrite").parquet(target)
+
+
+def _versions(spark: SparkSession, path: str, folded: str | None) -> DataFrame:
+    changelog = read_changelog(spark, path)
+    if folded is None:
+        return changelog
+    before = spark.read.parquet(folded)
+    # a condition on the folder name: folded batches are not opened
+    through = before.agg(F.coalesce(F.max(BATCH_ID), F.lit(-1))).scalar()
+    return changelog.where(F.col(BATCH_ID) > through).unionByName(before)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str],
-                schema: T.StructType | None = None) -> DataFrame:
-    """The current row of each key of a changelog, from its newest fold and what came
-    after it."""
-    return latest_version(_versions(spark, path, schema), keys)
+                folded: str | None = None) -> DataFrame:
+    """The current row of each key, from a fold and the batches after it."""
+    return latest_version(_versions(spark, path, folded), keys)
 
 
 def latest_version(changelog: DataFrame, keys: list[str], version: str = BATCH_ID) -> DataFrame:
@@ -186,43 +132,25 @@ def changelog_skew(changelog: DataFrame, keys: list[str]) -> DataFrame:
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The rows of a table kept by `upsert`; with a ``schema``, none before the first."""
-    newest = F.max_by(ATTEMPT, F.struct("number", ATTEMPT)).alias(ATTEMPT)
-    commits = _rows(spark, f"{path}/commits", _UPSERTS).groupBy(BUCKET).agg(newest)
-    rows = _rows(spark, f"{path}/rows", _with(
-        schema, **{ATTEMPT: T.StringType(), BUCKET: T.IntegerType()}))
-    # One name per bucket. The condition is on folder names, so files that later
-    # writes have replaced are not opened.
-    folder = F.concat_ws("/", ATTEMPT, F.col(BUCKET).cast("string"))
-    valid = commits.agg(F.collect_set(folder)).scalar()
-    return rows.where(F.array_contains(valid, folder)).drop(ATTEMPT, BUCKET)
-
-
-def _bucket(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return _partitions(spark, path, schema, T.StructField(BUCKET, T.IntegerType())).drop(BUCKET)
 
 
 def upsert(updates: DataFrame, path: str, keys: list[str], buckets: int = 64) -> None:
     """Replace the rows of ``keys`` found in ``updates`` and keep all others.
 
-    Parquet has no merge, so rows lie in buckets by key: the buckets that ``updates``
-    touches are written anew and the others stay as they are. Readers see the new ones
-    together, once all are complete. ``updates`` holds one row per key (see
-    `latest_version`); of several, one is kept. ``buckets`` stays the same for the life
-    of a table, and one writer works on it at a time.
+    Rows lie in partitions by a hash of their key. Those that ``updates`` touches are
+    written anew by a dynamic partition overwrite, the others stay as they are.
+    ``updates`` holds one row per key (see `latest_version`); of several, one is kept.
+    ``buckets`` stays the same for the life of a table, which has one writer at a time.
     """
-    spark, attempt = updates.sparkSession, f"{ATTEMPT}={_attempt()}"
-    commits = _rows(spark, f"{path}/commits", _UPSERTS)
-    current = read_current(spark, path, updates.schema)
-    bucket = _bucket(keys, buckets).alias(BUCKET)
-    # Written first: used twice below, and perhaps the result of long work.
-    updates.write.parquet(f"{path}/incoming/{attempt}")
-    incoming = spark.read.schema(updates.schema).parquet(f"{path}/incoming/{attempt}")
-    touched = incoming.select(bucket).distinct()
-    kept = current.withColumn(BUCKET, bucket).join(touched, BUCKET, "left_semi").drop(BUCKET)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+    field = T.StructField(BUCKET, T.IntegerType())
+    current = _partitions(updates.sparkSession, path, updates.schema, field)
+    # a set of at most ``buckets`` numbers, and a condition on folder names
+    touched = updates.agg(F.collect_set(bucket)).scalar()
+    kept = current.where(F.array_contains(touched, F.col(BUCKET))).drop(BUCKET)
     both = kept.withColumn("_incoming", F.lit(0)).unionByName(
-        incoming.withColumn("_incoming", F.lit(1)))
+        updates.withColumn("_incoming", F.lit(1)))
     merged = latest_version(both, keys, version="_incoming").select(*updates.columns, bucket)
-    merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/rows/{attempt}")
-    number = commits.agg(F.coalesce(F.max("number"), F.lit(-1)) + 1).scalar()
-    touched.coalesce(1).select(number.alias("number"), BUCKET) \
-        .write.parquet(f"{path}/commits/{attempt}")
+    merged.hint("rebalance", BUCKET).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)

@@ -263,3 +263,25 @@ def test_audit_finds_what_state_and_changelog_do_not_share(spark):
 def test_closing_events_of_nothing(spark):
     none = flows.marketing(spark, SF).limit(0)
     assert closing.closing_events(none, "marketing", 4).count() == 0
+
+
+# --- rows that bite ----------------------------------------------------------------------------------
+
+def test_refunds_make_the_highest_counters_differ_from_the_latest(spark):
+    snapshots = event_table.campaign_snapshots(event_table.with_refunds(flows.marketing(spark, SF)))
+    highest = {r.campaign_id: r.revenue for r in rollups.campaign_snapshot_latest(snapshots).collect()}
+    latest = {r.campaign_id: r.revenue for r in rollups.snapshot_latest_row(
+        snapshots, schemas.CAMPAIGN_KEYS).collect()}
+    assert all(highest[c] >= latest[c] for c in latest)
+    assert any(highest[c] > latest[c] for c in latest)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from cartpulse.plans.registry import QUERIES
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    joined = QUERIES["bucketed_join"](session, SF)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.where("agree").count() == 5
