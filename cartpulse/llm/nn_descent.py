@@ -4,8 +4,8 @@ Equal vectors are one node. A first graph comes from leaves of random hyperplane
 which all vectors are compared. Then, round by round, every node sends itself to all its
 neighbours in either direction, and the neighbours that meet at a node are compared with
 each other: neighbours of neighbours. Pairs nearer than a node's worst neighbour
-replace it, until a round changes few neighbours. Vectors travel as directions in single
-precision, so that near but different ones stay apart.
+replace it, until a round changes few neighbours. Vectors travel as a centre near them and
+8-bit numbers for the way from there, so that near but different ones stay apart.
 
 A query starts from its own node and expands the nearest nodes found so far, some at a
 time, until the nearest ones have all been expanded. What it ends with is scored anew from
@@ -38,17 +38,45 @@ MEETING = 256
 #: nearest, it expands.
 BEAM = 128
 EXPANDED = 64
+#: Directions that codes start from, and the bytes of a code before its numbers.
+CENTRES = 256
+HEAD = 6
 _LIST = "node long, ids array<long>, sims array<float>"
 
 
-def coded(rows: np.ndarray) -> np.ndarray:
-    """Directions in single precision."""
-    return units(rows.astype(np.float64)).astype(np.float32)
+def _centres(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """Some directions by vector length, for the 16 most frequent lengths, spread over all
+    rows by a hash."""
+    sizes = [r.size for r in vectors.groupBy(F.size("embedding").alias("size")).count()
+             .orderBy(F.desc("count"), "size").limit(16).collect()]
+    return {size: units(np.array([r.embedding for r in vectors.where(
+        F.size("embedding") == size).select("embedding").orderBy(
+        F.xxhash64("key"), "key").limit(CENTRES).collect()])) for size in sizes}
 
 
-def _rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def coded(rows: np.ndarray, centres: np.ndarray | None) -> np.ndarray:
+    """Directions as bytes: the nearest centre, and the way from there in 8-bit numbers
+    that are stretched to the full range, so that near vectors stay apart."""
+    rows = units(rows.astype(np.float64))
+    if centres is None:
+        centres = np.zeros((1, rows.shape[1]))
+    near = (rows @ centres.T).argmax(axis=1)
+    rest = rows - centres[near]
+    scale = np.abs(rest).max(axis=1).astype(np.float32)
+    steps = np.rint(rest * (127 / np.maximum(scale, 1e-30))[:, None]).astype(np.int8)
+    return np.hstack([near.astype("<u2")[:, None].view(np.uint8),
+                      scale.astype("<f4")[:, None].view(np.uint8), steps.view(np.uint8)])
+
+
+def _rows(column: pa.Array | pa.ChunkedArray, centres: dict[int, np.ndarray]) -> np.ndarray:
     held = column.to_pylist()
-    return np.frombuffer(b"".join(held), np.float32).reshape(len(held), -1)
+    codes = np.frombuffer(b"".join(held), np.uint8).reshape(len(held), -1)
+    size = codes.shape[1] - HEAD
+    near = codes[:, :2].copy().view("<u2")[:, 0]
+    scale = codes[:, 2:HEAD].copy().view("<f4")
+    base = centres[size] if size in centres else np.zeros((1, size))
+    rows = (base[near] + codes[:, HEAD:].view(np.int8) * (scale / 127.0)).astype(np.float32)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
 def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,10 +125,10 @@ def _merged(lists: DataFrame, most: int) -> DataFrame:
     return lists.repartition("node").sortWithinPartitions("node").mapInArrow(run, _LIST)
 
 
-def _leaf_lists(proposed: int):
+def _leaf_lists(proposed: int, centres: dict[int, np.ndarray]):
     def run(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
-        rows = _rows(table.column("code"))
+        rows = _rows(table.column("code"), centres)
         near = rows @ rows.T
         np.fill_diagonal(near, -2)
         k = min(proposed, len(nodes) - 1)
@@ -116,17 +144,17 @@ def _leaf_lists(proposed: int):
 
 
 def _first_graph(coded_nodes: DataFrame, count: int, neighbours: int, trees: int,
-                 leaf: int, proposed: int) -> DataFrame:
+                 leaf: int, proposed: int, centres: dict[int, np.ndarray]) -> DataFrame:
     depth = max(0, int(np.ceil(np.log2(max(count, 1) / (0.6 * leaf)))))
 
     def fall(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            lengths = np.array([len(c) // 4 for c in batch.column("code").to_pylist()])
+            lengths = np.array([len(c) - HEAD for c in batch.column("code").to_pylist()])
             for size in np.unique(lengths):   # vectors of different lengths never meet
                 part = batch.filter(pa.array(lengths == size))
-                rows = _rows(part.column("code"))
+                rows = _rows(part.column("code"), centres)
                 for tree in range(trees):
                     planes = np.random.default_rng([tree, int(size)]).standard_normal(
                         (size, depth)).astype(np.float32)
@@ -143,7 +171,8 @@ def _first_graph(coded_nodes: DataFrame, count: int, neighbours: int, trees: int
         F.ceil(F.count("*") / leaf).alias("parts")), "nn-sizes")
     dealt = fallen.join(sizes, ["tree", "leaf"]).withColumn(
         "part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
-    lists = dealt.groupBy("tree", "leaf", "part").applyInArrow(_leaf_lists(proposed), _LIST)
+    lists = dealt.groupBy("tree", "leaf", "part").applyInArrow(
+        _leaf_lists(proposed, centres), _LIST)
     return written(_merged(lists, neighbours), "nn-graph")
 
 
@@ -153,12 +182,12 @@ def _adjacent(graph: DataFrame) -> DataFrame:
     return ahead.union(ahead.select("other", "node")).distinct()
 
 
-def _meetings(neighbours: int):
+def _meetings(neighbours: int, centres: dict[int, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, "at", MEETING * 64):
             at = table.column("at").to_numpy()
             nodes, worst = table.column("node").to_numpy(), table.column("worst").to_numpy()
-            rows = _rows(table.column("code"))
+            rows = _rows(table.column("code"), centres)
             heads = np.append(np.flatnonzero(np.diff(at, prepend=at[0] - 1)), len(at))
             found = []
             for head, over in zip(heads[:-1].tolist(), heads[1:].tolist()):
@@ -174,7 +203,8 @@ def _meetings(neighbours: int):
     return run
 
 
-def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, trees: int = TREES,
+def neighbour_graph(nodes: DataFrame, centres: dict[int, np.ndarray],
+                    neighbours: int = NEIGHBOURS, trees: int = TREES,
                     leaf: int = LEAF, rounds: int | None = None,
                     proposed: int = PROPOSED) -> DataFrame:
     """(node, ids, sims): the nearest nodes found of each of ``nodes`` (node, code).
@@ -183,7 +213,7 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, trees: int =
     of all neighbours are new in one.
     """
     count = nodes.count()
-    graph = _first_graph(nodes, count, neighbours, trees, leaf, proposed)
+    graph = _first_graph(nodes, count, neighbours, trees, leaf, proposed, centres)
     for done in itertools.count():
         if done == rounds:
             return graph
@@ -195,7 +225,7 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, trees: int =
         visits = _adjacent(graph).join(state, "node").select(
             F.col("other").alias("at"), "node", "code", "worst")
         lists = visits.repartition("at").sortWithinPartitions("at").mapInArrow(
-            _meetings(neighbours), _LIST)
+            _meetings(neighbours, centres), _LIST)
         before = graph
         graph = written(_merged(graph.unionByName(lists), neighbours), "nn-graph")
         if rounds is None:
@@ -206,12 +236,12 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, trees: int =
                 return graph
 
 
-def _scores(most: int):
+def _scores(most: int, centres: dict[int, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                one = _rows(batch.column("query"))
-                two = _rows(batch.column("code"))
+                one = _rows(batch.column("query"), centres)
+                two = _rows(batch.column("code"), centres)
                 yield nearest_lists(batch.column("node").to_numpy(),
                                     batch.column("other").to_numpy(),
                                     (one * two).sum(axis=1), most)
@@ -219,7 +249,7 @@ def _scores(most: int):
 
 
 def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame,
-           expanded: int = EXPANDED, beam: int = BEAM) -> DataFrame:
+           centres: dict[int, np.ndarray], expanded: int = EXPANDED, beam: int = BEAM) -> DataFrame:
     """(node, ids, sims): for every node of ``starts`` the nearest ``beam`` nodes that a
     greedy search from it has met; it ends when the nearest ``expanded`` of them have all
     been expanded. ``nodes`` holds (node, code)."""
@@ -236,7 +266,7 @@ def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame,
         new = written(met.join(seen, ["node", "other"], "left_anti"), "nn-met")
         scored = new.join(codes.withColumnRenamed("node", "other"), "other") \
             .join(asked, "node").select("node", "other", "query", "code").mapInArrow(
-                _scores(beam), _LIST)
+                _scores(beam, centres), _LIST)
         best = written(_merged(scored if best is None else best.unionByName(scored), beam),
                        "nn-best")
         seen = seen.unionByName(new)
@@ -265,6 +295,7 @@ def nearest(table: DataFrame, queries, k: int = 5, key: str = "vec_id",
     smaller key.
     """
     rows = written(directions(table, key, vector).distinct(), "nn-vectors")
+    centres = _centres(rows)
     alike = Window.partitionBy("embedding").orderBy("key")
     members = rows.withColumn("place", F.row_number().over(alike)).where(F.col("place") <= k + 1)
     groups = members.groupBy("embedding").agg(F.sort_array(F.collect_list("key")).alias("members"))
@@ -275,7 +306,7 @@ def nearest(table: DataFrame, queries, k: int = 5, key: str = "vec_id",
             sizes = np.diff(held.offsets.to_numpy())
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                made = coded(matrix(part.column("embedding")))
+                made = coded(matrix(part.column("embedding")), centres.get(int(size)))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([r.tobytes() for r in made], pa.binary())],
                     [*part.schema.names, "code"])
@@ -286,8 +317,8 @@ def nearest(table: DataFrame, queries, k: int = 5, key: str = "vec_id",
     asked = written(rows.where(queries(F.col("key"))).join(
         nodes.select("node", "embedding"), "embedding").select("key", "node"), "nn-asked")
     starts = asked.select("node").distinct()
-    graph = neighbour_graph(nodes, **graph_options)
-    found = search(starts, graph, nodes)
+    graph = neighbour_graph(nodes, centres, **graph_options)
+    found = search(starts, graph, nodes, centres)
     near = found.select("node", F.explode("ids").alias("other")) \
         .union(starts.select("node", F.col("node").alias("other")))
     vectors = nodes.select("node", "embedding", "members")

@@ -76,15 +76,17 @@ def test_recall_inside_a_tight_third(spark):
 def test_rounds_improve_the_graph(spark):
     rng = np.random.default_rng(10)
     vectors = rng.standard_normal((2000, 24))
-    units = nn_descent.coded(vectors)
-    nodes = spark.createDataFrame([(i, bytearray(u.tobytes())) for i, u in enumerate(units)],
+    centres = {24: vectors[:30] / np.linalg.norm(vectors[:30], axis=1, keepdims=True)}
+    codes = nn_descent.coded(vectors, centres[24])
+    nodes = spark.createDataFrame([(i, bytearray(u.tobytes())) for i, u in enumerate(codes)],
                                   "node long, code binary")
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     near = units @ units.T
     np.fill_diagonal(near, -2)
     best = np.argsort(-near, axis=1)[:, :10]
     shares = []
     for rounds in (0, None):
-        graph = nn_descent.neighbour_graph(nodes, neighbours=20, trees=3, leaf=60, rounds=rounds)
+        graph = nn_descent.neighbour_graph(nodes, centres, neighbours=20, trees=3, leaf=60, rounds=rounds)
         held = {r.node: set(r.ids) for r in graph.collect()}
         shares.append(np.mean([len(held[i] & set(best[i].tolist())) / 10 for i in range(2000)]))
     assert shares[0] < 0.5 and shares[1] > 0.9
