@@ -50,8 +50,9 @@ def start_by_day(events: DataFrame, kind: str, base: str, checkpoint: str,
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        _by_day(batch, "event_time").write.mode("overwrite").partitionBy("day").parquet(
-            f"{stored}/{BATCH_ID}={batch_id}")
+        _by_day(batch, "event_time").withColumn(BATCH_ID, F.lit(batch_id).cast("long")) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("day", BATCH_ID).parquet(stored)
         history = spark.read.schema(columns).parquet(stored).where(F.col(BATCH_ID) <= batch_id)
         arrived = history.where(F.col(BATCH_ID) == batch_id)
         # A filter on the folder column: the folders of all other days are not read.
