@@ -240,6 +240,45 @@ def test_similar_texts_against_all_pairs(spark):
     assert similar_texts.one_of_similar(twice.limit(0)).count() == 0
 
 
+def test_pairs_of_a_group_on_both_sides_of_the_limit_never_become_rows(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base, texts = rng.choice([f"w{i}" for i in range(3000)], 120), {}
+    for i in range(400):
+        words = base.copy()
+        for at in rng.integers(0, 120, int(rng.integers(1, 5))):
+            words[at] = f"x{rng.integers(10_000)}"
+        texts[i] = " ".join(words)
+    sets = [set(similar_texts.shingles(t).tolist()) for t in texts.values()]
+    alike = [len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+             for i in range(400) for j in range(i)]
+    assert min(alike.count(True), alike.count(False)) > 5000
+    steps = []
+
+    def recorded(df, label, *by):
+        steps.append((label, plain_written(df, label, *by)))
+        return steps[-1][1]
+
+    plain_written = similar_texts.written
+    monkeypatch.setattr(similar_texts, "written", recorded)
+    kept = similar_texts.one_of_similar(docs(spark, plain([(i, t, "en")
+                                                           for i, t in texts.items()])))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(
+        set(by_similarity(texts).values()))
+    assert {label: rows for label, df in steps if (rows := df.count()) > 400} == {}
+
+
+def test_bands_find_pairs_at_the_limit():
+    rng = np.random.default_rng(4)
+    for size in (1, 9, 45, 90, 900):
+        for _ in range(200):
+            shared, one, two = (rng.integers(-2**63, 2**63 - 1, n) for n in (
+                size * 8 // 9 if size > 1 else 1, size // 9, size // 9))
+            first, second = (similar_texts.bands(np.concatenate([shared, own]))
+                             for own in (one, two))
+            assert (first == second).any()
+            assert not (first == similar_texts.bands(rng.integers(-2**63, 2**63 - 1, 90))).any()
+
+
 def test_tiles_of_any_size_give_the_same_links(spark):
     rng = np.random.default_rng(2)
     numbers = np.unique(np.concatenate(
