@@ -312,6 +312,38 @@ def test_attribution_equals_batch(spark):
     same(got, journeys.attribution(full))
 
 
+def test_attribution_over_batches_decodes_the_source_once(spark):
+    """Impressions, clicks and copies that arrive in later batches, and events too late."""
+    minute, fields = timedelta(minutes=1), schemas.MARKETING_EVENTS
+
+    def event(name, kind, minutes, link=None):
+        known = {"event_id": name, "event_type": kind, "event_time": T0 + minutes * minute,
+                 "impression_id": link if kind == "click" else None,
+                 "click_id": link if kind == "purchase" else None,
+                 "revenue": 2.0 if kind == "purchase" else None}
+        return tuple(known.get(f.name) for f in fields)
+
+    batches = [
+        [event("p1", "purchase", 9, "c1"), event("c2", "click", 8, "i2"),
+         event("p2", "purchase", 9, "c2"), event("p3", "purchase", 9, "c3"),
+         event(None, "purchase", 9, "c2"), event(None, "purchase", 9, "c2")],
+        [event("c1", "click", 7, "i1"), event("i1", "impression", 6), event("c3", "click", 5, "i3")],
+        [event("p1", "purchase", 9, "c1"), event("i2", "impression", 1)],
+        [event("z", "impression", 100)], [event("i3", "impression", 4)],
+    ]
+    run, written = Run(), []
+    for rows in batches:
+        run.publish(spark.createDataFrame(rows, fields))
+        query = run.catch_up(spark, streaming_journeys.start_attribution)
+        assert [(len(p["sources"]), p["stateOperators"]) for p in query.recentProgress
+                if p["numInputRows"]] == [(1, [])]
+        rows = serving.read_changelog(spark, run.out).collect()
+        written.append(sorted((str(r.purchase_id), str(r.impression_id)) for r in rows))
+    pair = [("p1", "i1")]
+    late = [("None", "i2"), ("None", "i2"), ("p1", "i1"), ("p2", "i2")]
+    assert written == [[], pair, late, [*late, ("p3", "None")], [*late, ("p3", "None")]]
+
+
 def test_quarantine_keeps_lines_unchanged(spark):
     run = Run()
     run.publish(marketing(spark, [("1", "impression", T0, "u")]))
