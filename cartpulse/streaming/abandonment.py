@@ -2,80 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timedelta
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions import kpis
 from cartpulse.sources.serving import append_changelog
 from cartpulse.streaming.rollups import each_batch
-from cartpulse.streaming.sightings import combined
 
-_STATE = """sessions array<struct<session_id:string,last_at:timestamp_ntz,carted:int,bought:int>>,
-hours array<struct<hour:timestamp_ntz,first_at:timestamp_ntz,last_at:timestamp_ntz>>"""
+_OPEN = """user_id string, session_id string, hour timestamp_ntz, told boolean,
+first_at timestamp_ntz, last_at timestamp_ntz, carted int, bought int"""
+_KEYS = ["user_id", "session_id", "hour", "told"]
 
 
-class _Returns(StatefulProcessor):
-    """Follows the sessions of one user until they can no longer be answered.
+def _arrived(batch: DataFrame) -> DataFrame:
+    """One row per event of a known user, like those of a session and hour."""
+    kind = F.col("event_type")
+    return batch.where("user_id is not null and event_time is not null").select(
+        "user_id", "session_id", kpis.hour_of(F.col("event_time")).alias("hour"),
+        F.lit(False).alias("told"), F.col("event_time").alias("first_at"),
+        F.col("event_time").alias("last_at"),
+        F.coalesce((kind == "add_to_cart").cast("int"), F.lit(0)).alias("carted"),
+        F.coalesce((kind == "purchase").cast("int"), F.lit(0)).alias("bought"))
 
-    Events are kept as the first and last one of each hour: an event of the same hour after
-    a session's end, or the first of a later hour, tells of a return. A timer goes off when
-    the time for it is over; only then is a session given out and dropped.
-    """
 
-    def __init__(self, hours: int):
-        self.within = timedelta(hours=hours)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("visits", _STATE)
-
-    def _load(self) -> tuple[dict, dict]:
-        if not self.state.exists():
-            return {}, {}
-        sessions, hours = self.state.get()
-        return ({s["session_id"]: (s["last_at"], s["carted"], s["bought"]) for s in sessions},
-                {h["hour"]: (h["first_at"], h["last_at"]) for h in hours})
-
-    def _store(self, sessions: dict, hours: dict) -> None:
-        if not sessions:
-            self.state.clear()
-            return
-        oldest = min(last for last, _, _ in sessions.values())
-        self.state.update((
-            [(i, *held) for i, held in sessions.items()],
-            [(h, *held) for h, held in hours.items() if held[1] >= oldest]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        sessions, hours = self._load()
-        for row in rows:
-            name, first, last = row["session_id"], row["first_at"], row["last_at"]
-            at, carted, bought = sessions.get(name, (last, 0, 0))
-            sessions[name] = (max(at, last), max(carted, row["carted"]), max(bought, row["bought"]))
-            one, two = hours.get(row["hour"], (first, last))
-            hours[row["hour"]] = (min(one, first), max(two, last))
-        self._store(sessions, hours)
-        for last, _, _ in sessions.values():
-            due = last + self.within - datetime(1970, 1, 1)
-            self.handle.registerTimer(due // timedelta(milliseconds=1) + 1)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        sessions, hours = self._load()
-        now = datetime(1970, 1, 1) + timedelta(milliseconds=timerValues.getCurrentWatermarkInMs())
-        over = {i: held for i, held in sessions.items() if held[0] + self.within < now}
-        for name, (last, carted, bought) in over.items():
-            if carted and not bought:
-                back = any(last < (one if one > last else two) <= last + self.within
-                           for one, two in hours.values())
-                yield Row(user_id=key[0], session_id=name, left_at=last, returned=back)
-        self._store({i: s for i, s in sessions.items() if i not in over}, hours)
-
-    def close(self) -> None:
-        pass
+def _told(held: DataFrame, over: DataFrame, hours: int) -> DataFrame:
+    """The abandoned carts among the sessions that are ``over``, and whether their users
+    came back: the first and last event of a session's hour tell that an event lies within
+    ``hours`` of another session's end."""
+    events = held.where("user_id is not null").select(
+        "user_id", F.explode(F.array("first_at", "last_at")).alias("at"),
+        F.lit(1).alias("event"), F.lit(None).cast("string").alias("session_id"))
+    ends = over.where("carted = 1 and bought = 0").select(
+        "user_id", F.col("last_at").alias("at"), F.lit(0).alias("event"), "session_id")
+    micros = F.unix_micros(kpis.utc_instant(F.col("at")))
+    after = Window.partitionBy("user_id").orderBy("micros").rangeBetween(
+        1, hours * 3600 * 1_000_000)
+    return events.unionByName(ends).withColumn("micros", micros).withColumn(
+        "returned", F.coalesce(F.sum("event").over(after) > 0, F.lit(False))).where(
+        "event = 0").select("user_id", "session_id", F.col("at").alias("left_at"), "returned")
 
 
 def start_abandoned_carts(events: DataFrame, out: str, checkpoint: str,
@@ -85,32 +50,56 @@ def start_abandoned_carts(events: DataFrame, out: str, checkpoint: str,
     came back within ``hours`` (>= 1), once the watermark has passed that time.
 
     The definitions are those of `cartpulse.operators.decisions.return_rate`. Events are
-    reduced to one row per session and hour in each Arrow batch before they reach the
-    state. A session that goes on after it was given out counts as a new one; events later
-    than the watermark, and events without a time, are not seen.
+    reduced to one row per session and hour, which lie as a plain table in the checkpoint
+    until no session of their user can be answered by them; a batch is put together with
+    it as a table. A batch reads what the one before left and writes its own, so a replay
+    changes nothing. A session that goes on after it was given out counts as a new one;
+    events later than the watermark, and events without a time, are not seen.
     """
-    kind = F.col("event_type")
-    at = kpis.utc_instant(F.col("event_time"))
-    known = events.where("user_id is not null and event_time is not null").select(
-        "user_id", "session_id", kpis.hour_of(F.col("event_time")).alias("hour"),
-        (-F.unix_micros(at)).alias("minus_first"), F.unix_micros(at).alias("last"),
-        F.coalesce((kind == "add_to_cart").cast("int"), F.lit(0)).alias("carted"),
-        F.coalesce((kind == "purchase").cast("int"), F.lit(0)).alias("bought"))
-    held = combined(known, ["user_id", "session_id", "hour"], [],
-                    ["minus_first", "last", "carted", "bought"])
-    rows = held.select(
-        "user_id", "session_id", "hour", "carted", "bought",
-        kpis.utc_wall_clock(F.timestamp_micros(-F.col("minus_first"))).alias("first_at"),
-        kpis.utc_wall_clock(F.timestamp_micros("last")).alias("last_at"),
-        F.timestamp_micros("last").alias("at")).withWatermark("at", watermark)
-    left = rows.groupBy("user_id").transformWithState(
-        _Returns(hours), "user_id string, session_id string, left_at timestamp_ntz, "
-                         "returned boolean", "Append", "EventTime")
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        append_changelog(batch.hint("rebalance"), out, batch_id)
-
-    return each_batch(left.writeStream.outputMode("append"), append, checkpoint, every)
+    delay, within = F.expr(f"INTERVAL {watermark}"), F.make_dt_interval(F.lit(0), F.lit(hours))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def kept(rows: DataFrame, name: str) -> DataFrame:
+            # two places in turn: a replay finds what the batch before left
+            path = f"{checkpoint}/carts/{name}-{batch_id % 2}"
+            rows.write.mode("overwrite").parquet(path)
+            return spark.read.schema(rows.schema).parquet(path)
+
+        rows = _arrived(batch)
+        if batch_id:
+            before = spark.read.schema(_OPEN).parquet(
+                f"{checkpoint}/carts/open-{(batch_id - 1) % 2}")
+            mark = before.agg(F.max("last_at") - delay).scalar()
+            rows = rows.where(F.coalesce(F.col("last_at") > mark, F.lit(True))).unionByName(before)
+        held = kept(rows.groupBy(*_KEYS).agg(
+            F.min("first_at").alias("first_at"), *[F.max(c).alias(c) for c in (
+                "last_at", "carted", "bought")]), "held")
+        newest = held.agg(F.max("last_at")).scalar()
+        sessions = kept(held.where("not told").groupBy("user_id", "session_id").agg(
+            *[F.max(c).alias(c) for c in ("last_at", "carted", "bought")]).withColumn(
+            "over", F.col("last_at") + within < newest - delay), "sessions")
+        append_changelog(_told(held, sessions.where("over"), hours).hint("rebalance"),
+                         out, batch_id)
+
+        awaited = sessions.where("not over").groupBy("user_id").agg(
+            F.min("last_at").alias("oldest"))
+        over = sessions.where("over").select(
+            F.col("user_id").alias("user"), F.col("session_id").alias("session"),
+            F.lit(True).alias("now"))
+        is_over = (F.col("user_id") == F.col("user")) & F.col("session_id").eqNullSafe(
+            F.col("session"))
+        needed = held.join(awaited, "user_id").join(over, is_over, "left").withColumn(
+            "told", F.col("told") | F.coalesce("now", F.lit(False))).where(
+            "not told or last_at >= oldest").select(*held.columns)
+        # a row of nobody remembers the time
+        clock = held.agg(F.max("last_at").alias("last_at")).select(*[
+            {"told": F.lit(True), "last_at": F.col("last_at")}.get(
+                f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in held.schema])
+        kept(needed.unionByName(clock), "open")
+
+    return each_batch(events.writeStream, process, checkpoint, every)
 
 
 def return_rate(carts: DataFrame) -> DataFrame:

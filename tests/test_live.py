@@ -225,6 +225,25 @@ def test_abandoned_carts_are_told_when_they_are_certain(spark):
         feed.all.where("event_time is not null")))
 
 
+def test_carts_over_batches_are_plain_tables(spark):
+    feed = Feed(spark, "cart", abandonment.start_abandoned_carts)
+    batches = [
+        [step("add_to_cart", T0, "a", "a1"), step("add_to_cart", T0, "b", "b1"),
+         step("add_to_cart", T0 + HOUR, "c", None)],
+        [step("page_view", T0 + 40 * HOUR, "a", "a2")],
+        # a1 and b1 are over; the one goes on, which is late for no one else
+        [step("page_view", T0 + 50 * HOUR, "b", "b2")],
+        [step("add_to_cart", T0 + 51 * HOUR, "a", "a1"), step("add_to_cart", T0, "late", "l1")],
+    ]
+    for rows in batches:
+        query = feed.deliver(rows)
+        assert [p["stateOperators"] for p in query.recentProgress if p["numInputRows"]] == [[]]
+    feed.close(60)
+    got = [(r.user_id, r.session_id, r.returned) for r in feed.rows().collect()]
+    assert sorted(got, key=str) == sorted([
+        ("a", "a1", True), ("b", "b1", False), ("c", None, False), ("a", "a1", False)], key=str)
+
+
 def test_some_short_lived_users_return_and_some_do_not(spark):
     cart = event_table.with_short_lived_users(flows.cart(spark, SF), 2)
     rate = decisions.return_rate(cart).first()
