@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cartpulse.functions import kpis
@@ -27,7 +28,7 @@ from cartpulse.operators import rollups, visitors
 from cartpulse.schemas import (
     CAMPAIGN_KEYS, CART_STAGES, DEVICE_SOURCE_KEYS, FUNNEL_KEYS, MARKETING_STAGES,
 )
-from cartpulse.sources.serving import append_changelog
+from cartpulse.sources.serving import BATCH_ID, append_changelog
 from cartpulse.streaming.sightings import with_first_sightings
 
 SALTS = 256
@@ -218,6 +219,8 @@ def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
     counted = KINDS[kind]
     if watermark is None:
         timed = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
+        if exact_visitors:
+            return _start_open_hours(timed, counted, out, checkpoint, every)
         rows = _rollup(timed, counted, "hour", [*counted.keys, "hour"], exact_visitors)
         return _start(rows, counted.keys, out, checkpoint, "update", every)
     timed = events.withColumn("event_time", kpis.utc_instant(F.col("event_time")))
@@ -229,6 +232,54 @@ def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
     return _start(rows, counted.keys, out, checkpoint, "append", every)
 
 
+def _start_open_hours(timed: DataFrame, kind: Kind, out: str, checkpoint: str,
+                      every: str | None) -> StreamingQuery:
+    """Hours with exact visitors, without a call per visitor: what a batch adds to an hour,
+    and whom it saw there, lie as plain tables by day and batch in the checkpoint.
+
+    Visitors that no earlier batch saw are the difference of two tables; the rows of an hour
+    are the sum of what all batches added to it. Only the days of a batch are read. A replay
+    replaces what the batch had written, so it changes nothing.
+    """
+    from cartpulse.streaming.days import _by_day    # which itself builds on this module
+
+    name, stage, visitor = kind.visitors
+    keys, sums = [*kind.keys, "hour"], [*kind.counters, *kind.amounts]
+    visit = (F.col("event_type") == stage) & F.col(visitor).isNotNull()
+    shares = counted(timed, kind, "hour", F.when(visit, F.col(visitor)))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def stored(rows: DataFrame, table: str) -> DataFrame:
+            """The rows of the batch's days, of this and earlier batches."""
+            path = f"{checkpoint}/hours/{table}"
+            dated = _by_day(rows, "hour").withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+            dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "day", BATCH_ID).parquet(path)
+            full = T.StructType([*rows.schema, T.StructField("day", T.DateType()),
+                                 T.StructField(BATCH_ID, T.LongType())])
+            written = spark.read.schema(full).parquet(path).where(F.col(BATCH_ID) <= batch_id)
+            days = written.where(F.col(BATCH_ID) == batch_id).agg(F.collect_set("day")).scalar()
+            return written.where(F.array_contains(days, F.col("day")))
+
+        now, earlier = F.col(BATCH_ID) == batch_id, F.col(BATCH_ID) < batch_id
+        seen = stored(batch.groupBy(*keys, name).agg(*[F.sum(c).alias(c) for c in sums]), "seen")
+        met = seen.where(F.col(name).isNotNull())
+        fresh = met.where(now).select(*keys, name).subtract(met.where(earlier).select(*keys, name))
+        shares_of_batch = seen.where(now).select(*keys, *sums, _long(0).alias(name)).unionByName(
+            fresh.select(*keys, *[F.lit(None).cast(seen.schema[c].dataType).alias(c)
+                                  for c in sums], _long(1).alias(name)))
+        added = stored(shares_of_batch.groupBy(*keys).agg(
+            *[F.sum(c).alias(c) for c in [*sums, name]]), "added")
+        totals = added.groupBy(*keys).agg(
+            *[F.sum(c).alias(c) for c in [*kind.counters, name, *kind.amounts]],
+            F.max(BATCH_ID).alias("newest")).where(F.col("newest") == batch_id).drop("newest")
+        append_changelog(totals.hint("rebalance", *[F.col(k) for k in kind.keys]), out, batch_id)
+
+    return each_batch(shares.writeStream, process, checkpoint, every)
+
+
 def start_snapshot_latest(snapshots: DataFrame, kind: str, out: str, checkpoint: str,
                           every: str | None = None) -> StreamingQuery:
     """Highest counters per key of ``campaign`` or ``cart`` snapshots."""

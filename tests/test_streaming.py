@@ -104,6 +104,20 @@ def test_hours_equal_batch(spark, kind, source, batch, keys):
     same(run.latest(spark, [*keys, "hour"]), batch(source(spark, SF)))
 
 
+def test_open_hours_find_first_sightings_without_calls_per_visitor(spark):
+    source = flows.marketing(spark, SF)
+    run = Run()
+    for part in (source.where("event_time < '2024-01-12'"), source, source.limit(50)):
+        run.publish(part)
+        query = run.catch_up(spark, lambda *args: streaming.start_hourly(
+            args[0], "marketing", *args[1:]))
+        assert [(len(p["sources"]), p["stateOperators"]) for p in query.recentProgress
+                if p["numInputRows"]] == [(1, [])]
+    twice = source.unionByName(source.where("event_time < '2024-01-12'")).unionByName(
+        source.limit(50))
+    same(run.latest(spark, [*schemas.CAMPAIGN_KEYS, "hour"]), rollups.campaign_hourly(twice))
+
+
 def marketing(spark, rows):
     full = [(kind, number, time, "C", "N", "Email", user, "Mobile", None, None, None, 1.0, 2.0)
             for number, kind, time, user in rows]
