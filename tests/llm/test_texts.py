@@ -267,6 +267,47 @@ def test_pairs_of_a_group_on_both_sides_of_the_limit_never_become_rows(spark, mo
     assert {label: rows for label, df in steps if (rows := df.count()) > 400} == {}
 
 
+def test_only_texts_of_groups_move_and_a_group_has_few_edges(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    words, texts, seen = [f"w{i}" for i in range(3000)], {}, {}
+    base = rng.choice(words, 200)
+    for i in range(300):
+        changed = base.copy()
+        for at in rng.integers(0, 200, 3):
+            changed[at] = f"x{rng.integers(10_000)}"
+        texts[i] = " ".join(changed)
+    texts |= {300 + i: " ".join(rng.choice(words, 60)) for i in range(900)}
+    plain_components, plain_packed = similar_texts.components, similar_texts._packed
+
+    def components_of(edges):
+        seen.setdefault("edges", edges.count())
+        return plain_components(edges)
+
+    def packed(moved):
+        seen["moved"] = moved.count()
+        return plain_packed(moved)
+
+    monkeypatch.setattr(similar_texts, "components", components_of)
+    monkeypatch.setattr(similar_texts, "_packed", packed)
+    kept = similar_texts.one_of_similar(docs(spark, plain([(i, t, "en")
+                                                           for i, t in texts.items()])))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(by_similarity(texts).values()))
+    assert 300 <= seen["moved"] < 400 and 299 <= seen["edges"] < 2 * 300
+
+
+def test_a_bitmap_marks_every_node_and_few_others(spark, monkeypatch):
+    rows = spark.range(40_000).selectExpr("unhex(md5(cast(id as string))) as node", "id as _at")
+    for most, others in ((1 << 26, 3000), (1 << 15, 40_000)):
+        monkeypatch.setattr(similar_texts, "MOST_BITS", most)
+        found = similar_texts.marked(rows, "node", rows.where("_at % 20 = 0").select("node"), "m")
+        assert found.columns == ["node", "_at", "m"] and found.count() == 40_000
+        assert found.where("_at % 20 = 0 and not m").isEmpty()
+        assert found.where("m").count() - 2000 < others
+    assert found.where("not m").count() > 20_000
+    none = similar_texts.marked(rows, "node", rows.limit(0).select("node"), "m")
+    assert none.where("m").isEmpty() and none.count() == 40_000
+
+
 def test_bands_find_pairs_at_the_limit():
     rng = np.random.default_rng(4)
     for size in (1, 9, 45, 90, 900):
