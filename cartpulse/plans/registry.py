@@ -228,7 +228,9 @@ def _late_first(source, spark, sf_dir, column: str = "event_time") -> list[DataF
 def stream_campaign_performance(spark, sf_dir):
     changelog = flows.streamed(
         spark, "stream-campaigns", events.read_events, "marketing",
-        _late_first(flows.marketing, spark, sf_dir), streaming.start_campaign_performance)
+        _late_first(flows.marketing, spark, sf_dir),
+        lambda stream, out, checkpoint: streaming.start_campaign_performance(
+            stream, out, checkpoint, in_tables=True))
     return serving.latest_version(changelog, CAMPAIGN_KEYS)
 
 
@@ -238,7 +240,7 @@ def stream_resent_events(spark, sf_dir):
     changelog = flows.streamed(
         spark, "stream-resent", events.read_events, "marketing", [first, second, first],
         lambda stream, out, checkpoint: streaming.start_campaign_performance(
-            stream, out, checkpoint, dedup="event_id"))
+            stream, out, checkpoint, dedup="event_id", in_tables=True))
     return serving.latest_version(changelog, CAMPAIGN_KEYS)
 
 

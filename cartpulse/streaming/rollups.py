@@ -169,15 +169,24 @@ def each_batch(writer: DataStreamWriter, process: Callable[[DataFrame, int], Non
 
 def start_campaign_performance(events: DataFrame, out: str, checkpoint: str,
                                dedup: str | None = None, exact_visitors: bool = True,
-                               every: str | None = None,
-                               forget: str | None = None) -> StreamingQuery:
+                               every: str | None = None, forget: str | None = None,
+                               in_tables: bool = False) -> StreamingQuery:
     """Campaign rollup with all KPIs, updated by every event however late it is.
 
     ``exact_visitors=False`` estimates ``unique_visitors`` (5% standard deviation)
     with a small sketch per campaign instead of the state of first sightings. With
     ``forget``, a watermark, that state is bounded: the visitors of an hour go once the
-    watermark has passed it, and later events are not counted.
+    watermark has passed it, and later events are not counted. ``in_tables`` keeps the exact
+    sightings as `each_campaign_change` does, without a call per visitor.
     """
+    if in_tables:
+        if forget is not None or not exact_visitors:
+            raise ValueError("tables hold the exact visitors of all hours")
+
+        def append(batch: DataFrame, batch_id: int) -> None:
+            append_changelog(batch.hint("rebalance", *CAMPAIGN_KEYS), out, batch_id)
+
+        return each_campaign_change(events, append, checkpoint, dedup, every)
     rows = campaign_totals(events, dedup, exact_visitors, forget)
     return _start(rows, CAMPAIGN_KEYS, out, checkpoint, "update", every)
 
@@ -192,6 +201,37 @@ def campaign_totals(events: DataFrame, dedup: str | None = None, exact_visitors:
     return rollups.with_campaign_kpis(totals)
 
 
+def each_campaign_change(events: DataFrame, process: Callable[[DataFrame, int], None],
+                         checkpoint: str, dedup: str | None = None,
+                         every: str | None = None) -> StreamingQuery:
+    """Hands the campaigns that a micro-batch changed to ``process``, with all KPIs.
+
+    A batch adds what its hours add to the totals that the batch before left in the
+    checkpoint, one row per campaign, and leaves its own. A replay replaces them.
+    """
+    timed = _deduplicated(events, dedup).withColumn("hour", rollups.hour())
+    kind, path = KINDS["marketing"], f"{checkpoint}/hours/totals"
+    sums = [*kind.counters, kind.visitors[0], *kind.amounts]
+
+    def write(added: DataFrame, stored: Stored, batch_id: int) -> None:
+        spark = added.sparkSession
+        rows = added.select(
+            *CAMPAIGN_KEYS, F.col("hour").alias("start_date"), F.col("hour").alias("last_updated"),
+            *sums, _long(batch_id).alias("newest"))
+        if batch_id > 0:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(
+                f"{path}/{BATCH_ID}={batch_id - 1}"))
+        totals = rows.groupBy(*CAMPAIGN_KEYS).agg(
+            F.min("start_date").alias("start_date"),
+            *[F.max(c).alias(c) for c in ("last_updated", "newest")],
+            *[F.sum(c).alias(c) for c in sums])
+        append_changelog(totals, path, batch_id)
+        current = spark.read.schema(totals.schema).parquet(f"{path}/{BATCH_ID}={batch_id}")
+        process(rollups.with_campaign_kpis(current.where(F.col("newest") == batch_id)), batch_id)
+
+    return _start_hour_tables(timed, kind, write, checkpoint, every)
+
+
 def start_visitor_sketches(events: DataFrame, out: str, checkpoint: str,
                            every: str | None = None) -> StreamingQuery:
     """One sketch of users per campaign and hour, updated by every event however late;
@@ -232,14 +272,19 @@ def start_hourly(events: DataFrame, kind: str, out: str, checkpoint: str,
     return _start(rows, counted.keys, out, checkpoint, "append", every)
 
 
-def _start_open_hours(timed: DataFrame, kind: Kind, out: str, checkpoint: str,
-                      every: str | None) -> StreamingQuery:
-    """Hours with exact visitors, without a call per visitor: what a batch adds to an hour,
-    and whom it saw there, lie as plain tables by day and batch in the checkpoint.
+#: Writes rows as a table by day and batch, and reads those of the batch's days.
+Stored = Callable[[DataFrame, str], DataFrame]
+
 
-    Visitors that no earlier batch saw are the difference of two tables; the rows of an hour
-    are the sum of what all batches added to it. Only the days of a batch are read. A replay
-    replaces what the batch had written, so it changes nothing.
+def _start_hour_tables(timed: DataFrame, kind: Kind,
+                       write: Callable[[DataFrame, Stored, int], None], checkpoint: str,
+                       every: str | None) -> StreamingQuery:
+    """Hours with exact visitors, without a call per visitor: whom a batch saw in an hour lies
+    as a plain table by day and batch in the checkpoint.
+
+    Visitors that no earlier batch saw are the difference of two tables. ``write`` gets what
+    the batch adds to each hour. Only the days of a batch are read. A replay replaces what
+    the batch had written, so it changes nothing.
     """
     from cartpulse.streaming.days import _by_day    # which itself builds on this module
 
@@ -270,14 +315,26 @@ def _start_open_hours(timed: DataFrame, kind: Kind, out: str, checkpoint: str,
         shares_of_batch = seen.where(now).select(*keys, *sums, _long(0).alias(name)).unionByName(
             fresh.select(*keys, *[F.lit(None).cast(seen.schema[c].dataType).alias(c)
                                   for c in sums], _long(1).alias(name)))
-        added = stored(shares_of_batch.groupBy(*keys).agg(
-            *[F.sum(c).alias(c) for c in [*sums, name]]), "added")
+        write(shares_of_batch.groupBy(*keys).agg(
+            *[F.sum(c).alias(c) for c in [*sums, name]]), stored, batch_id)
+
+    return each_batch(shares.writeStream, process, checkpoint, every)
+
+
+def _start_open_hours(timed: DataFrame, kind: Kind, out: str, checkpoint: str,
+                      every: str | None) -> StreamingQuery:
+    """Hours with exact visitors; the rows of an hour are the sum of what all batches added
+    to it, which lies by day and batch as well."""
+    keys = [*kind.keys, "hour"]
+
+    def write(rows: DataFrame, stored: Stored, batch_id: int) -> None:
+        added = stored(rows, "added")
         totals = added.groupBy(*keys).agg(
-            *[F.sum(c).alias(c) for c in [*kind.counters, name, *kind.amounts]],
+            *[F.sum(c).alias(c) for c in [*kind.counters, kind.visitors[0], *kind.amounts]],
             F.max(BATCH_ID).alias("newest")).where(F.col("newest") == batch_id).drop("newest")
         append_changelog(totals.hint("rebalance", *[F.col(k) for k in kind.keys]), out, batch_id)
 
-    return each_batch(shares.writeStream, process, checkpoint, every)
+    return _start_hour_tables(timed, kind, write, checkpoint, every)
 
 
 def start_snapshot_latest(snapshots: DataFrame, kind: str, out: str, checkpoint: str,

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cartpulse.operators import insights
 from cartpulse.schemas import CAMPAIGN_KEYS
 from cartpulse.sources.serving import BATCH_ID, append_changelog, latest_version, read_changelog
-from cartpulse.streaming.rollups import campaign_totals, each_batch
+from cartpulse.streaming.rollups import each_campaign_change
 
 Budgets = Callable[[SparkSession], DataFrame]
 
@@ -33,8 +33,7 @@ def start_campaign_insights(events: DataFrame, budgets: Budgets, base: str, chec
         current = latest_version(versions, CAMPAIGN_KEYS)
         append_changelog(insights.campaign_insights(current, budgets(spark)), view, batch_id)
 
-    return each_batch(campaign_totals(events).writeStream.outputMode("update"), process,
-                      checkpoint, every)
+    return each_campaign_change(events, process, checkpoint, every=every)
 
 
 def read_view(spark: SparkSession, base: str) -> DataFrame:

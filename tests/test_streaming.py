@@ -118,6 +118,52 @@ def test_open_hours_find_first_sightings_without_calls_per_visitor(spark):
     same(run.latest(spark, [*schemas.CAMPAIGN_KEYS, "hour"]), rollups.campaign_hourly(twice))
 
 
+def test_campaigns_in_tables_without_calls_per_visitor(spark, monkeypatch):
+    """A late, a repeated and a lost batch; only campaigns of a batch get a new version."""
+    source = flows.marketing(spark, SF)
+    parts = [source.where("event_time >= '2024-01-12'"), source,
+             source.where("campaign_id = 'CAMP-003'").limit(7)]
+    run = Run()
+
+    def start(stream, out, checkpoint):
+        return streaming.start_campaign_performance(stream, out, checkpoint, in_tables=True)
+
+    def dying(batch, path, batch_id):
+        serving.append_changelog(batch, path, batch_id)
+        if batch_id == 1:
+            raise Lost
+    for number, part in enumerate(parts):
+        run.publish(part)
+        if number == 1:
+            with monkeypatch.context() as patch:
+                patch.setattr(streaming, "append_changelog", dying)
+                with pytest.raises(StreamingQueryException):
+                    run.catch_up(spark, start)
+        query = run.catch_up(spark, start)
+        assert [(len(p["sources"]), p["stateOperators"]) for p in query.recentProgress
+                if p["numInputRows"]] == [(1, [])]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    same(run.latest(spark, schemas.CAMPAIGN_KEYS), rollups.campaign_performance_from_events(every))
+    newest = serving.read_changelog(spark, run.out).where("batch_id = 2").collect()
+    assert [r.campaign_id for r in newest] == ["CAMP-003"]
+    with pytest.raises(ValueError):
+        streaming.start_campaign_performance(source, run.out, run.checkpoint, in_tables=True,
+                                             forget="1 hour")
+
+
+def test_edge_rows_in_tables_equal_batch(spark):
+    rows = [("1", "impression", T0, None), ("2", "impression", T0, "u"), ("3", "other", T0, "u"),
+            ("4", None, T0, "u"), ("5", "impression", None, "u"), ("6", "impression", None, "u"),
+            ("7", "purchase", T0 + timedelta(days=40), "v")]
+    run = Run()
+    for part in (rows[:3], rows[3:], rows[:0], rows[5:6]):
+        run.publish(marketing(spark, part))
+        run.catch_up(spark, lambda *args: streaming.start_campaign_performance(
+            *args, in_tables=True))
+    same(run.latest(spark, schemas.CAMPAIGN_KEYS),
+         rollups.campaign_performance_from_events(marketing(spark, rows + rows[5:6])))
+
+
 def marketing(spark, rows):
     full = [(kind, number, time, "C", "N", "Email", user, "Mobile", None, None, None, 1.0, 2.0)
             for number, kind, time, user in rows]
